@@ -7,8 +7,7 @@ A framed record value is::
     bytes 5..   zig-zag varint count n, then n varint message indexes
     rest        the protobuf message
 
-Each operation is one SQL expression (below), registered as a temporary SQL
-function. Spark inlines SQL functions into the plan, so stripping, classifying
+Each operation is a temporary SQL function built from built-in expressions. Spark inlines SQL functions into the plan, so stripping, classifying
 and reading schema ids run inside whole-stage codegen with no Python worker,
 and the same logic is callable from SQL (``strip_confluent_protobuf(value)``)
 and from the DataFrame API (``strip_framing(col)``).
@@ -17,8 +16,7 @@ The common frame (count byte ``00``) takes a ``substring`` fast path. Other
 index arrays are walked over a Latin-1 view of the bytes (one char per byte):
 ``split`` after each varint's last byte with limit ``n + 1`` yields the n index
 varints and the message, and one find-regex rejects any varint the reader would
-not accept. This is exact for any n and uses no lambda, so the whole
-expression stays in whole-stage codegen.
+not accept. This is exact for any n.
 """
 
 from __future__ import annotations
@@ -57,84 +55,110 @@ INVALID_VARINT_RE = (
 )
 
 
-# --- SQL bodies (macro-expanded so every branch stays lazy) -------------------
+# --- SQL functions -------------------------------------------------------------
+#
+# ``start(value)`` finds where the message begins. Its slow path binds each
+# intermediate value once with ``element_at(transform(array(x), v -> ...), 1)``
+# (a let): when the optimizer substitutes the expression into a pushed-down
+# filter, every bound value still appears once, so plans stay small whatever
+# filters users put on outcomes or schema ids.
+
+_P = "framelake_frame_"  # prefix of the library's internal SQL functions
+
+
+def _let(value: str, name: str, body: str) -> str:
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
 def _varint_value_sql(chars: str) -> str:
     terms = [f"shiftleft(CAST(ascii(substring({chars}, {i + 1}, 1)) AS BIGINT) & 127, {7 * i})" for i in range(6)]
-    return "(" + " + ".join(terms) + ")"
-
-
-def index_array_length_sql(v: str) -> str:
-    """Bytes taken by the count varint plus the n index varints, or NULL for a
-    negative count or a truncated, over-long or overflowing varint."""
-    # The count varint lies within the six bytes after the schema id.
-    head = f"decode(substring({v}, {SCHEMA_ID_BYTES + 2}, 6), 'ISO-8859-1')"
-    count = f"regexp_extract({head}, r'^({VARINT_RE})', 1)"
-    zigzag = _varint_value_sql(count)
-    n = f"CAST(shiftright({zigzag}, 1) AS INT)"
-    rest = f"decode(substring({v}, {SCHEMA_ID_BYTES + 2} + length({count})), 'ISO-8859-1')"
-    pieces = f"split({rest}, r'{AFTER_VARINT_RE}', {n} + 1)"
-    index_len = f"(length({v}) - {SCHEMA_ID_BYTES + 1} - length({count}) - length(element_at({pieces}, -1)))"
-    return (
-        "CASE"
-        f" WHEN length({count}) = 0 OR ({zigzag}) & 1 = 1 THEN CAST(NULL AS INT)"
-        f" WHEN size({pieces}) < {n} + 1 THEN CAST(NULL AS INT)"
-        f" WHEN substring({rest}, 1, {index_len}) RLIKE r'{INVALID_VARINT_RE}' THEN CAST(NULL AS INT)"
-        f" ELSE length({count}) + {index_len}"
-        " END"
+    return " + ".join(terms)
+
+
+def _slow_start_sql() -> str:
+    """Message start for a frame whose count byte is not 0: read the count
+    varint (c, zig-zag z), split the rest (r) after each varint end into at
+    most n + 1 pieces (p), take the n index varints' length (i), reject any
+    index varint the reader would not accept."""
+    n = "CAST(shiftright(z, 1) AS INT)"
+    found = (
+        f"CASE WHEN substring(r, 1, i) RLIKE r'{INVALID_VARINT_RE}' THEN CAST(NULL AS INT)"
+        f" ELSE {SCHEMA_ID_BYTES + 2} + length(c) + i END"
     )
-
-
-def strip_sql(v: str) -> str:
-    """NULL stays NULL; empty gives NULL; a first byte other than 0 means plain
-    protobuf, returned unchanged; a frame gives the bytes after its index array
-    (possibly empty); a malformed frame gives NULL."""
-    return (
-        "CASE"
-        f" WHEN {v} IS NULL OR length({v}) = 0 THEN CAST(NULL AS BINARY)"
-        f" WHEN substring({v}, 1, 1) <> X'00' THEN {v}"
-        f" WHEN length({v}) < {MIN_FRAME_SIZE} THEN CAST(NULL AS BINARY)"
-        f" WHEN substring({v}, {SCHEMA_ID_BYTES + 2}, 1) = X'00' THEN substring({v}, {MIN_FRAME_SIZE + 1})"
-        f" ELSE substring({v}, {SCHEMA_ID_BYTES + 2} + ({index_array_length_sql(v)}))"
-        " END"
+    by_pieces = (
+        f"CASE WHEN size(p) < {n} + 1 THEN CAST(NULL AS INT)"
+        f" ELSE {_let('length(r) - length(element_at(p, -1))', 'i', found)} END"
     )
-
-
-def outcome_sql(v: str) -> str:
-    return (
+    by_rest = _let(f"split(r, r'{AFTER_VARINT_RE}', {n} + 1)", "p", by_pieces)
+    by_zigzag = (
+        "CASE WHEN z & 1 = 1 THEN CAST(NULL AS INT)"
+        f" ELSE {_let(f'decode(substring(value, {SCHEMA_ID_BYTES + 2} + length(c)), {chr(39)}ISO-8859-1{chr(39)})', 'r', by_rest)} END"
+    )
+    by_count = f"CASE WHEN length(c) = 0 THEN CAST(NULL AS INT) ELSE {_let(_varint_value_sql('c'), 'z', by_zigzag)} END"
+    count = f"regexp_extract(decode(substring(value, {SCHEMA_ID_BYTES + 2}, 6), 'ISO-8859-1'), r'^({VARINT_RE})', 1)"
+    return _let(count, "c", by_count)
+
+
+# (name, parameters, return type, body), in dependency order.
+_DEFINITIONS: list[tuple[str, str, str, str]] = [
+    # 1-based position of the message in the value (1 for plain protobuf),
+    # NULL when the value carries none.
+    (
+        "start",
+        "value BINARY",
+        "INT",
+        "CASE"
+        " WHEN value IS NULL OR length(value) = 0 THEN CAST(NULL AS INT)"
+        " WHEN substring(value, 1, 1) <> X'00' THEN 1"
+        f" WHEN length(value) < {MIN_FRAME_SIZE} THEN CAST(NULL AS INT)"
+        f" WHEN substring(value, {SCHEMA_ID_BYTES + 2}, 1) = X'00' THEN {MIN_FRAME_SIZE + 1}"
+        f" ELSE {_slow_start_sql()}"
+        " END",
+    ),
+    (
+        "strip_at",
+        "value BINARY, start INT",
+        "BINARY",
+        "CASE WHEN start = 1 THEN value WHEN start > 1 THEN substring(value, start) END",
+    ),
+    (
+        "outcome_at",
+        "value BINARY, start INT",
+        "STRING",
         "CASE"
-        f" WHEN {v} IS NULL THEN '{OUTCOME_NULL}'"
-        f" WHEN length({v}) = 0 THEN '{OUTCOME_EMPTY}'"
-        f" WHEN substring({v}, 1, 1) <> X'00' THEN '{OUTCOME_PLAIN}'"
-        f" WHEN length({v}) < {MIN_FRAME_SIZE} THEN '{OUTCOME_TOO_SHORT}'"
-        f" WHEN substring({v}, {SCHEMA_ID_BYTES + 2}, 1) = X'00' THEN '{OUTCOME_FRAMED}'"
-        f" WHEN ({index_array_length_sql(v)}) IS NULL THEN '{OUTCOME_BAD_INDEX}'"
+        f" WHEN value IS NULL THEN '{OUTCOME_NULL}'"
+        f" WHEN length(value) = 0 THEN '{OUTCOME_EMPTY}'"
+        f" WHEN substring(value, 1, 1) <> X'00' THEN '{OUTCOME_PLAIN}'"
+        f" WHEN length(value) < {MIN_FRAME_SIZE} THEN '{OUTCOME_TOO_SHORT}'"
+        f" WHEN start IS NULL THEN '{OUTCOME_BAD_INDEX}'"
         f" ELSE '{OUTCOME_FRAMED}'"
-        " END"
-    )
+        " END",
+    ),
+    # Bytes 1..4 as a signed big-endian int (sign-extended by the shifts),
+    # widened to BIGINT, for frames only.
+    (
+        "schema_id_at",
+        "value BINARY, start INT",
+        "BIGINT",
+        f"CASE WHEN start > 1 THEN shiftright(shiftleft(CAST(conv(hex(substring(value, 2, {SCHEMA_ID_BYTES})), 16, 10)"
+        " AS BIGINT), 32), 32) END",
+    ),
+]
+_RETURN_TYPES = {"strip": "BINARY", "outcome": "STRING", "schema_id": "BIGINT"}
+DEFAULT_STRIP_FUNCTION = "strip_confluent_protobuf"
+_registered: dict[int, set[str]] = {}
 
 
-def schema_id_sql(v: str) -> str:
-    """Bytes 1..4 as a signed big-endian int, widened to BIGINT; NULL unless
-    the value is a well-formed frame."""
-    unsigned = f"CAST(conv(hex(substring({v}, 2, {SCHEMA_ID_BYTES})), 16, 10) AS BIGINT)"
-    return (
-        f"CASE WHEN ({outcome_sql(v)}) = '{OUTCOME_FRAMED}' THEN"
-        f" CASE WHEN {unsigned} >= 2147483648 THEN {unsigned} - 4294967296 ELSE {unsigned} END"
-        " END"
-    )
+def _create(spark: SparkSession, name: str, params: str, rtype: str, body: str) -> None:
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {rtype} RETURN {body}")
 
 
-# name -> (return type, body builder); the parameter is always ``value BINARY``.
-_FUNCTIONS = {
-    "strip": ("BINARY", strip_sql),
-    "outcome": ("STRING", outcome_sql),
-    "schema_id": ("BIGINT", schema_id_sql),
-}
-_INTERNAL_NAMES = {kind: f"framelake_frame_{kind}" for kind in _FUNCTIONS}
-DEFAULT_STRIP_FUNCTION = "strip_confluent_protobuf"
-_registered: set[int] = set()
+def _ensure_internal(spark: SparkSession) -> None:
+    done = _registered.setdefault(id(spark), set())
+    if _P + "start" not in done:
+        for name, params, rtype, body in _DEFINITIONS:
+            _create(spark, _P + name, params, rtype, body)
+        done.add(_P + "start")
 
 
 def register_sql_functions(
@@ -143,41 +167,61 @@ def register_sql_functions(
     outcome_name: str = "frame_outcome",
     schema_id_name: str = "frame_schema_id",
 ) -> dict[str, str]:
-    """Register the framing functions as temporary SQL functions under the
-    given names (and the library's internal names). Returns kind -> name."""
+    """Register ``strip_confluent_protobuf(value)``, ``frame_outcome(value)``
+    and ``frame_schema_id(value)`` (names configurable) as temporary SQL
+    functions for SQL users. Returns kind -> name."""
+    _ensure_internal(spark)
+    done = _registered[id(spark)]
     names = {"strip": strip_name, "outcome": outcome_name, "schema_id": schema_id_name}
-    for kind, (return_type, body) in _FUNCTIONS.items():
-        for name in {names[kind], _INTERNAL_NAMES[kind]}:
-            spark.sql(
-                f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value BINARY) "
-                f"RETURNS {return_type} RETURN {body('value')}"
-            )
-    _registered.add(id(spark))
+    for kind, name in names.items():
+        if name not in done:
+            _create(spark, name, "value BINARY", _RETURN_TYPES[kind], f"{_P}{kind}_at(value, {_P}start(value))")
+            done.add(name)
     return names
 
 
-def _call(kind: str, value: Column | str) -> Column:
-    spark = SparkSession.active()
-    if id(spark) not in _registered:
-        register_sql_functions(spark)
-    col = F.col(value) if isinstance(value, str) else value
-    return F.call_function(_INTERNAL_NAMES[kind], col)
+def _call(kind: str, *args: Column | str) -> Column:
+    _ensure_internal(SparkSession.active())
+    cols = [F.col(a) if isinstance(a, str) else a for a in args]
+    return F.call_function(_P + kind, *cols)
 
 
 def strip_framing(value: Column | str) -> Column:
-    """Normalise a record value to plain protobuf bytes (see ``strip_sql``)."""
-    return _call("strip", value)
+    """Normalise a record value to plain protobuf bytes: NULL stays NULL, an
+    empty value gives NULL, a value whose first byte is not 0 is plain protobuf
+    and is returned unchanged, a frame gives the bytes after its index array
+    (possibly empty), a malformed frame gives NULL."""
+    return _call("strip_at", value, message_start(value))
 
 
 def frame_outcome(value: Column | str) -> Column:
     """``null_value``, ``empty``, ``plain``, ``framed``, ``too_short`` or
     ``bad_index``; only ``plain`` and ``framed`` carry a message."""
-    return _call("outcome", value)
+    return _call("outcome_at", value, message_start(value))
 
 
 def schema_id(value: Column | str) -> Column:
-    """Schema id of a framed value, NULL for anything else."""
-    return _call("schema_id", value)
+    """Schema id of a well-formed frame, NULL for anything else."""
+    return _call("schema_id_at", value, message_start(value))
+
+
+def message_start(value: Column | str) -> Column:
+    """1-based position of the message inside the value (1 for plain
+    protobuf), NULL when there is none. Compute it once and derive the rest
+    with the ``*_at`` functions when several are needed."""
+    return _call("start", value)
+
+
+def strip_at(value: Column | str, start: Column | str) -> Column:
+    return _call("strip_at", value, start)
+
+
+def outcome_at(value: Column | str, start: Column | str) -> Column:
+    return _call("outcome_at", value, start)
+
+
+def schema_id_at(value: Column | str, start: Column | str) -> Column:
+    return _call("schema_id_at", value, start)
 
 
 # --- Encoding ----------------------------------------------------------------

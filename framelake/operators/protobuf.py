@@ -369,7 +369,9 @@ def from_protobuf(
     def decode(values: pa.Array) -> pa.Array:
         return decode_batch(values, descriptor_set, message_name, mode, arrow_type)
 
-    return decode(col)
+    # Marked nondeterministic so the optimizer never copies the call into a
+    # pushed-down filter (which would decode every message twice).
+    return decode.asNondeterministic()(col)
 
 
 def to_protobuf(data: Column | str, message_name: str, descriptor_set: bytes, impl: str = "auto") -> Column:
@@ -386,4 +388,4 @@ def to_protobuf(data: Column | str, message_name: str, descriptor_set: bytes, im
     def encode(values: pa.Array) -> pa.Array:
         return encode_batch(values, descriptor_set, message_name)
 
-    return encode(col)
+    return encode.asNondeterministic()(col)

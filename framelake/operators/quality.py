@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from framelake.functions.framing import (
     OUTCOME_DECODE_ERROR,
     USABLE_OUTCOMES,
-    frame_outcome,
-    schema_id,
-    strip_framing,
+    message_start,
+    outcome_at,
+    schema_id_at,
+    strip_at,
 )
 from framelake.operators.protobuf import PERMISSIVE, from_protobuf
 
@@ -34,9 +35,14 @@ def classify(records: DataFrame, message_name: str | None = None, descriptor_set
     usable frame whose message does not parse becomes ``decode_error``, and
     the decoded struct is kept as ``msg``.
     """
-    out = records.withColumns(
-        {"outcome": frame_outcome("value"), "schema_id": schema_id("value"), "message": strip_framing("value")}
-    )
+    located = records.withColumn("_start", message_start("value"))
+    out = located.withColumns(
+        {
+            "outcome": outcome_at("value", "_start"),
+            "schema_id": schema_id_at("value", "_start"),
+            "message": strip_at("value", "_start"),
+        }
+    ).drop("_start")
     if message_name:
         if descriptor_set is None:
             raise ValueError("decoding needs a descriptor set")
@@ -79,8 +85,14 @@ def subject_name(topic, message):
 
 def registry_table(spark: SparkSession, entries: Iterable[tuple[int, str, str]]) -> DataFrame:
     """Registered schemas as a table: ``schema_id, topic, message, subject``."""
-    rows = [(int(i), t, m) for i, t, m in entries]
-    df = spark.createDataFrame(rows, "schema_id bigint, topic string, message string")
+    rows = [
+        F.struct(F.lit(int(i)).cast("bigint").alias("schema_id"), F.lit(t).alias("topic"), F.lit(m).alias("message"))
+        for i, t, m in entries
+    ]
+    if not rows:
+        raise ValueError("empty registry")
+    # A local relation built on the JVM side (no Python worker, no RDD).
+    df = spark.range(1).select(F.inline(F.array(*rows)))
     return df.withColumn("subject", subject_name(F.col("topic"), F.col("message")))
 
 
