@@ -22,6 +22,7 @@ default options:
 from __future__ import annotations
 
 import functools
+import importlib
 from datetime import datetime, timezone
 
 import pyarrow as pa
@@ -59,6 +60,9 @@ def _ordered_files(files: list[descriptor_pb2.FileDescriptorProto]) -> list[desc
             raise ValueError(f"import cycle through {name}")
         proto = by_name.get(name)
         if proto is None:
+            if name.startswith("google/protobuf/"):
+                # Loads the runtime's copy into the default pool.
+                importlib.import_module("google.protobuf." + name.rsplit("/", 1)[-1].replace(".proto", "_pb2"))
             proto = descriptor_pb2.FileDescriptorProto()
             descriptor_pool.Default().FindFileByName(name).CopyToProto(proto)
         for dep in proto.dependency:

@@ -69,17 +69,24 @@ def start_inspect(
     return queries
 
 
-def await_queries(spark: SparkSession, queries: dict[str, StreamingQuery]) -> None:
-    """SNK-4: run until any query ends, then stop all of them."""
+def await_queries(spark: SparkSession, queries: dict[str, StreamingQuery], poll_seconds: int = 5) -> None:
+    """SNK-4: run until any of the queries ends, then stop all of them, and
+    re-raise the failure of the one that ended, if it failed. (Polls the
+    given queries rather than ``spark.streams.awaitAnyTermination()``, which
+    also returns for unrelated queries that ended earlier in the session.)"""
+    active = list(queries.values())
     try:
-        if len(queries) == 1:
-            next(iter(queries.values())).awaitTermination()
-        else:
-            spark.streams.awaitAnyTermination()
+        while all(q.isActive for q in active):
+            for q in active:
+                if q.awaitTermination(poll_seconds):
+                    break
     finally:
-        for q in queries.values():
+        for q in active:
             if q.isActive:
                 q.stop()
+    for q in active:
+        if q.exception() is not None:
+            raise q.exception()
 
 
 def event_records(

@@ -3,8 +3,8 @@
 Replay safety: Structured Streaming re-runs a micro-batch after a failure
 between the sink write and the offset commit, with the same batch id. The
 parquet target therefore overwrites the partition ``(run_id, batch_id)``
-(dynamic partition overwrite) instead of appending, so a replayed batch
-replaces its own rows. ``run_id`` is stored inside the checkpoint: a new
+(``INSERT OVERWRITE`` with a static partition spec) instead of appending, so a
+replayed batch replaces its own rows and nothing else. ``run_id`` is stored inside the checkpoint: a new
 checkpoint means a new run and can never overwrite an earlier run's batches.
 Iceberg targets use Iceberg's streaming sink, which commits each batch id once.
 """
@@ -14,7 +14,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from framelake.settings import Settings
@@ -62,10 +61,17 @@ class ReplaySafeAppend:
         self.run_id = run_id
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        out = batch.select(
-            *TARGET_COLUMNS, F.lit(self.run_id).alias("run_id"), F.lit(batch_id).cast("bigint").alias("batch_id")
-        )
-        out.write.option("partitionOverwriteMode", "dynamic").insertInto(self.table, overwrite=True)
+        # A full static partition spec replaces exactly this batch's partition,
+        # whatever the session's partitionOverwriteMode is.
+        view = f"framelake_batch_{self.run_id}_{int(batch_id)}"
+        batch.select(*TARGET_COLUMNS).createOrReplaceTempView(view)
+        try:
+            batch.sparkSession.sql(
+                f"INSERT OVERWRITE TABLE {self.table} PARTITION (run_id = '{self.run_id}', batch_id = {int(batch_id)}) "
+                f"SELECT {', '.join(f'`{c}`' for c in TARGET_COLUMNS)} FROM {view}"
+            )
+        finally:
+            batch.sparkSession.catalog.dropTempView(view)
 
 
 def append_stream(
