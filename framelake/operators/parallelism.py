@@ -1,0 +1,16 @@
+"""Parallelism before per-row Python work (the Arrow protobuf UDFs)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_for_python(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` (default: the
+    cluster's cores) when it has fewer, so a few large input splits do not
+    leave the Python workers of most cores idle. Inputs that already have
+    that many partitions (any large table) pass through without a shuffle."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -43,8 +43,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Spread a few large input files over the cores before the per-row
-    Python encode (a no-op in effect when input splits are already many)."""
+    """Events in offset order over enough partitions for the per-row encode
+    (topic files then read in parallel too)."""
     n = max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
     return df.repartitionByRange(n, "event_id")
 

@@ -14,17 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.functions.framing import register_sql_functions
+from framelake.functions.headers import cloudevents_columns
+from framelake.operators.parallelism import spread_for_python
 from framelake.operators.quality import classify, frame_census, quarantined, registry_table, schema_reconcile
 from framelake.operators.readback import latest_rows, list_catalogs, list_namespaces, list_tables, read_table, sample_rows
-from framelake.operators.views import headers_view, payload_view, raw_view, record_view
-from framelake.plans.fixtures import EVENT_TOPIC, topic_path, topic_settings
+from framelake.operators.views import decoded_message, headers_view, ingest_view, payload_view, raw_view, record_view
+from framelake.plans.fixtures import EVENT_TOPIC, topic_settings
 from framelake.schemas import DEMO_ENVELOPE, DEMO_EVENT, TEST_ROOT, demo_descriptor_set
 from framelake.session import scratch_path
-from framelake.sources.topic import read_topic
+from framelake.sources.topic import read_topic, write_topic
 from framelake.streaming.jobs import INSPECT_QUERY_NAMES, event_records, start_ingest, start_inspect
 from framelake.streaming.sinks import ReplaySafeAppend, ensure_target, run_id_for
-from framelake.sources.topic import write_topic
-from framelake.operators.views import ingest_view
 
 RECORD_KEYS = ["topic", "partition", "offset"]
 TARGET_VIEW = ["id", "payload", "topic", "partition", "offset"]
@@ -101,12 +101,11 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         topic="demo.published", topic_path=scratch_path(spark, "topic-published")
     )
     ds = demo_descriptor_set()
-    write_topic(event_records(rows, DEMO_EVENT, ds, PUBLISH_SCHEMA_ID), settings)
+    write_topic(event_records(spread_for_python(rows), DEMO_EVENT, ds, PUBLISH_SCHEMA_ID), settings)
     base = record_view(read_topic(spark, settings, streaming=False))
-    decoded = payload_view(base, DEMO_EVENT, ds, fields=None)
-    headers = headers_view(base)
-    return decoded.join(headers, ["topic", "partition", "offset", "timestamp", "key"]).select(
-        "id", "created_at_epoch_ms", "payload", "ce_id", "ce_specversion", "ce_type", "ce_source"
+    msg = decoded_message("value", DEMO_EVENT, ds)
+    return base.select(msg.alias("msg"), *cloudevents_columns("headers")).select(
+        "msg.id", "msg.created_at_epoch_ms", "msg.payload", "ce_id", "ce_specversion", "ce_type", "ce_source"
     )
 
 
