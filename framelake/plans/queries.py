@@ -17,7 +17,7 @@ from framelake.functions.framing import register_sql_functions
 from framelake.functions.headers import cloudevents_columns
 from framelake.operators.parallelism import spread_for_python
 from framelake.operators.quality import classify, frame_census, quarantined, registry_table, schema_reconcile
-from framelake.operators.readback import latest_rows, list_catalogs, list_namespaces, list_tables, read_table, sample_rows
+from framelake.operators.readback import latest_table_rows, list_catalogs, list_namespaces, list_tables, read_table, sample_rows
 from framelake.operators.views import decoded_message, headers_view, ingest_view, payload_view, raw_view, record_view
 from framelake.plans.fixtures import EVENT_TOPIC, topic_settings
 from framelake.schemas import DEMO_ENVELOPE, DEMO_EVENT, TEST_ROOT, demo_descriptor_set
@@ -169,7 +169,7 @@ def dual_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRT-1 + SRC-3: newest rows of the ingested table."""
-    return latest_rows(read_table(spark, _ingest_table(spark, sf_dir))).select(*TARGET_VIEW)
+    return latest_table_rows(spark, _ingest_table(spark, sf_dir)).select(*TARGET_VIEW)
 
 
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from framelake.settings import Settings
@@ -45,7 +46,8 @@ def run_id_for(spark: SparkSession, checkpoint: str) -> str:
     """The run id stored in ``checkpoint``, created on first use."""
     marker = f"{checkpoint.rstrip('/')}/{RUN_MARKER}"
     try:
-        spark.createDataFrame([(uuid.uuid4().hex,)], "run_id string").coalesce(1).write.mode("errorifexists").text(marker)
+        marker_row = spark.range(1).select(F.lit(uuid.uuid4().hex).alias("run_id"))  # JVM-side, no Python worker
+        marker_row.write.mode("errorifexists").text(marker)
     except Exception as exc:  # noqa: BLE001 - the marker exists: this checkpoint already has a run
         if "PATH_ALREADY_EXISTS" not in str(exc) and "already exists" not in str(exc):
             raise

@@ -45,3 +45,11 @@ def test_settings_from_env():
     assert conf["spark.sql.session.timeZone"] == "UTC"
     assert "spark.sql.extensions" not in session_conf(s.replace(table_format="parquet"))
     assert os.environ.get("NOT_SET_ANYWHERE") is None
+
+
+def test_cli_settings_and_query_job(spark, tmp_path, monkeypatch):
+    from framelake.cli import JOBS, settings_from_env
+
+    s = settings_from_env({"FRAMELAKE_TOPIC_FORMAT": "parquet", "FRAMELAKE_TOPIC_PATH": "/x", "PROTO_MESSAGE_NAME": ""})
+    assert (s.topic_format, s.topic_path, s.message_name) == ("parquet", "/x", "")
+    assert set(JOBS) == {"ingest", "inspect", "query"}
