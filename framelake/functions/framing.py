@@ -21,6 +21,7 @@ not accept. This is exact for any n.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import Column, SparkSession
@@ -146,7 +147,8 @@ _DEFINITIONS: list[tuple[str, str, str, str]] = [
 ]
 _RETURN_TYPES = {"strip": "BINARY", "outcome": "STRING", "schema_id": "BIGINT"}
 DEFAULT_STRIP_FUNCTION = "strip_confluent_protobuf"
-_registered: dict[int, set[str]] = {}
+# Functions registered per live session (a new session starts empty).
+_registered: "weakref.WeakKeyDictionary[SparkSession, set[str]]" = weakref.WeakKeyDictionary()
 
 
 def _create(spark: SparkSession, name: str, params: str, rtype: str, body: str) -> None:
@@ -154,7 +156,7 @@ def _create(spark: SparkSession, name: str, params: str, rtype: str, body: str)
 
 
 def _ensure_internal(spark: SparkSession) -> None:
-    done = _registered.setdefault(id(spark), set())
+    done = _registered.setdefault(spark, set())
     if _P + "start" not in done:
         for name, params, rtype, body in _DEFINITIONS:
             _create(spark, _P + name, params, rtype, body)
@@ -171,7 +173,7 @@ def register_sql_functions(
     and ``frame_schema_id(value)`` (names configurable) as temporary SQL
     functions for SQL users. Returns kind -> name."""
     _ensure_internal(spark)
-    done = _registered[id(spark)]
+    done = _registered[spark]
     names = {"strip": strip_name, "outcome": outcome_name, "schema_id": schema_id_name}
     for kind, name in names.items():
         if name not in done:
