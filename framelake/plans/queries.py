@@ -23,7 +23,14 @@ from framelake.plans.fixtures import EVENT_TOPIC, topic_settings
 from framelake.schemas import DEMO_ENVELOPE, DEMO_EVENT, TEST_ROOT, demo_descriptor_set
 from framelake.session import scratch_path
 from framelake.sources.topic import read_topic, write_topic
-from framelake.streaming.jobs import INSPECT_QUERY_NAMES, event_records, start_ingest, start_inspect
+from framelake.streaming.jobs import (
+    INSPECT_QUERY_NAMES,
+    event_records,
+    start_census,
+    start_ingest,
+    start_ingest_with_quarantine,
+    start_inspect,
+)
 from framelake.streaming.sinks import ReplaySafeAppend, ensure_target, run_id_for
 
 RECORD_KEYS = ["topic", "partition", "offset"]
@@ -33,6 +40,7 @@ REGISTERED = [(1, EVENT_TOPIC, DEMO_EVENT), (8, EVENT_TOPIC, DEMO_ENVELOPE)]
 PUBLISH_SCHEMA_ID = 1
 
 _ingested: dict[tuple, str] = {}
+_split: dict[tuple, tuple[str, str]] = {}
 
 
 def _topic(spark: SparkSession, sf_dir: str, kind: str = "events") -> DataFrame:
@@ -187,6 +195,52 @@ def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogs.unionByName(namespaces).unionByName(tables)
 
 
+def _split_ingest(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Run the ingest-with-quarantine stream once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _split:
+        suffix = scratch_path(spark, "t").rsplit("-", 1)[-1]
+        settings = topic_settings(spark, sf_dir, "events").replace(
+            table=f"demo_usable_{suffix}", checkpoint_location=scratch_path(spark, "checkpoint-split")
+        )
+        query = start_ingest_with_quarantine(
+            spark,
+            settings,
+            demo_descriptor_set(),
+            quarantine_table=f"demo_quarantine_{suffix}",
+            trigger={"availableNow": True},
+            table_location=scratch_path(spark, "table-usable"),
+            quarantine_location=scratch_path(spark, "table-quarantine"),
+        )
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+        _split[key] = (settings.table_name, f"{settings.catalog}.{settings.namespace}.demo_quarantine_{suffix}")
+    return _split[key]
+
+
+def ingest_usable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEC-4 in the stream: the usable side of the split ingest."""
+    return read_table(spark, _split_ingest(spark, sf_dir)[0]).select(*TARGET_VIEW)
+
+
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEC-4 in the stream: the quarantined side, raw bytes and reason."""
+    q = read_table(spark, _split_ingest(spark, sf_dir)[1])
+    return q.select(*RECORD_KEYS, F.col("key").cast("string").alias("key"), F.hex("value").alias("value_hex"), "outcome")
+
+
+def census_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEC-5 as a streaming aggregate in complete mode."""
+    settings = topic_settings(spark, sf_dir, "events", checkpoint_location=scratch_path(spark, "checkpoint-census"))
+    path = scratch_path(spark, "census")
+    query = start_census(spark, settings, path, demo_descriptor_set(), trigger={"availableNow": True})
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return spark.read.parquet(path)
+
+
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DEC-4: records with no usable message, with the reason."""
     q = quarantined(classify(_topic(spark, sf_dir), DEMO_EVENT, demo_descriptor_set()))
@@ -219,7 +273,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_rows": sample,
     "catalog_listing": catalog_listing,
     "quarantine": quarantine,
+    "ingest_usable": ingest_usable,
+    "ingest_quarantine": ingest_quarantine,
     "frame_census": census,
+    "census_stream": census_stream,
     "schema_reconcile": reconcile,
 }
 
@@ -292,6 +349,8 @@ FROM events ORDER BY event_id // 4 DESC, event_id % 4 DESC LIMIT 50""",
     WHEN 5 THEN '00000000010101' WHEN 6 THEN NULL ELSE '' END AS value_hex,
   {_OUTCOME} AS outcome
 FROM events WHERE NOT ({_GOOD})""",
+    "ingest_usable": f"""SELECT CAST(event_id AS VARCHAR) AS id, props AS payload, {_KEYS}
+FROM events WHERE {_GOOD}""",
     "frame_census": f"""WITH t AS (SELECT {_KEYS}, {_SCHEMA_ID} AS schema_id, {_OUTCOME} AS outcome FROM events)
 SELECT topic, "partition", schema_id, outcome, count(*) AS records,
   min("offset") AS min_offset, max("offset") AS max_offset
@@ -304,3 +363,5 @@ SELECT s.topic, s.schema_id, s.records, r.topic || '-' || r.message AS subject,
   r.message IS NOT NULL AS registered
 FROM seen s LEFT JOIN reg r ON s.topic = r.topic AND s.schema_id = r.schema_id""",
 }
+ORACLE_SQL["ingest_quarantine"] = ORACLE_SQL["quarantine"]
+ORACLE_SQL["census_stream"] = ORACLE_SQL["frame_census"]

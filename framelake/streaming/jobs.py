@@ -14,7 +14,17 @@ from framelake.operators.views import ingest_view, inspect_views
 from framelake.session import scratch_path
 from framelake.settings import Settings
 from framelake.sources.topic import read_topic, write_topic
-from framelake.streaming.sinks import append_stream, console_stream, ensure_target, file_stream
+from framelake.operators.quality import classify, frame_census
+from framelake.streaming.sinks import (
+    QuarantineSplitAppend,
+    append_stream,
+    complete_stream,
+    console_stream,
+    ensure_quarantine,
+    ensure_target,
+    file_stream,
+    run_id_for,
+)
 
 # Query names and checkpoint suffixes of the dual inspect job,
 # and the producer's CloudEvents type and source.
@@ -44,6 +54,47 @@ def start_ingest(
     return append_stream(decoded, settings, _checkpoint(spark, settings, "ingest"), trigger=trigger)
 
 
+def start_ingest_with_quarantine(
+    spark: SparkSession,
+    settings: Settings,
+    descriptor_set: bytes,
+    quarantine_table: str,
+    trigger: dict | None = None,
+    table_location: str | None = None,
+    quarantine_location: str | None = None,
+) -> StreamingQuery:
+    """Ingest that never stops on a bad record: records are classified (the
+    decode is PERMISSIVE), usable ones are appended to the target table and
+    the rest, raw bytes and reason, to the quarantine table (DEC-4)."""
+    records = read_topic(spark, settings.replace(include_headers=False), streaming=True)
+    classified = classify(records, settings.message_name, descriptor_set, impl=settings.protobuf_impl)
+    classified = classified.withColumn("ingested_at", F.current_timestamp())
+    table = ensure_target(spark, settings, location=table_location)
+    quarantine = ensure_quarantine(spark, settings, quarantine_table, location=quarantine_location)
+    checkpoint = _checkpoint(spark, settings, "ingest-quarantine")
+    writer = classified.writeStream.option("checkpointLocation", checkpoint)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.foreachBatch(QuarantineSplitAppend(table, quarantine, run_id_for(spark, checkpoint))).start()
+
+
+def start_census(
+    spark: SparkSession,
+    settings: Settings,
+    result_path: str,
+    descriptor_set: bytes | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Streaming frame census (DEC-5) in complete mode: counts and offset
+    range per topic, partition, schema id and outcome, kept up to date at
+    ``result_path``. With a descriptor set, decode failures count as
+    ``decode_error``."""
+    records = read_topic(spark, settings.replace(include_headers=False), streaming=True)
+    message = settings.message_name if descriptor_set is not None else None
+    census = frame_census(classify(records, message, descriptor_set, impl=settings.protobuf_impl))
+    return complete_stream(census, result_path, _checkpoint(spark, settings, "census"), trigger=trigger)
+
+
 def start_inspect(
     spark: SparkSession,
     settings: Settings,

@@ -23,6 +23,9 @@ from framelake.settings import Settings
 TARGET_DDL = "id STRING, payload STRING, ingested_at TIMESTAMP"
 LINEAGE_DDL = "topic STRING, `partition` INT, `offset` BIGINT"
 TARGET_COLUMNS = ("id", "payload", "ingested_at", "topic", "partition", "offset")
+# Quarantine table: where unusable records go, raw bytes and reason kept.
+QUARANTINE_DDL = "topic STRING, `partition` INT, `offset` BIGINT, timestamp TIMESTAMP, key BINARY, value BINARY, outcome STRING, ingested_at TIMESTAMP"
+QUARANTINE_COLUMNS = ("topic", "partition", "offset", "timestamp", "key", "value", "outcome", "ingested_at")
 RUN_MARKER = "_framelake_run"
 
 
@@ -42,6 +45,21 @@ def ensure_target(spark: SparkSession, settings: Settings, location: str | None
     return name
 
 
+def ensure_quarantine(spark: SparkSession, settings: Settings, name: str, location: str | None = None) -> str:
+    """Create the quarantine table (same catalog and namespace) if missing."""
+    full = f"{settings.catalog}.{settings.namespace}.{name}"
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {settings.catalog}.{settings.namespace}")
+    if settings.table_format == "iceberg":
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({QUARANTINE_DDL}, run_id STRING, batch_id BIGINT) USING iceberg")
+    else:
+        where = f" LOCATION '{location}'" if location else ""
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {full} ({QUARANTINE_DDL}, run_id STRING, batch_id BIGINT) "
+            f"USING parquet PARTITIONED BY (run_id, batch_id){where}"
+        )
+    return full
+
+
 def run_id_for(spark: SparkSession, checkpoint: str) -> str:
     """The run id stored in ``checkpoint``, created on first use."""
     marker = f"{checkpoint.rstrip('/')}/{RUN_MARKER}"
@@ -54,6 +72,21 @@ def run_id_for(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.text(marker).first()[0]
 
 
+def overwrite_batch_partition(batch: DataFrame, table: str, columns, run_id: str, batch_id: int) -> None:
+    """Replace partition ``(run_id, batch_id)`` of ``table`` with ``batch``
+    (a full static partition spec replaces exactly that partition, whatever
+    the session's partitionOverwriteMode is)."""
+    view = f"framelake_batch_{run_id}_{int(batch_id)}_{uuid.uuid4().hex[:8]}"
+    batch.select(*columns).createOrReplaceTempView(view)
+    try:
+        batch.sparkSession.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (run_id = '{run_id}', batch_id = {int(batch_id)}) "
+            f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {view}"
+        )
+    finally:
+        batch.sparkSession.catalog.dropTempView(view)
+
+
 class ReplaySafeAppend:
     """``foreachBatch`` function writing each micro-batch into its own
     ``(run_id, batch_id)`` partition of a parquet table."""
@@ -63,17 +96,35 @@ class ReplaySafeAppend:
         self.run_id = run_id
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        # A full static partition spec replaces exactly this batch's partition,
-        # whatever the session's partitionOverwriteMode is.
-        view = f"framelake_batch_{self.run_id}_{int(batch_id)}"
-        batch.select(*TARGET_COLUMNS).createOrReplaceTempView(view)
+        overwrite_batch_partition(batch, self.table, TARGET_COLUMNS, self.run_id, batch_id)
+
+
+class QuarantineSplitAppend:
+    """``foreachBatch`` function for a classified stream (DEC-4): usable
+    records to the target table, the rest to the quarantine table. The batch
+    is persisted once and written twice; both writes are replay-safe
+    partition overwrites."""
+
+    def __init__(self, table: str, quarantine_table: str, run_id: str):
+        self.table = table
+        self.quarantine_table = quarantine_table
+        self.run_id = run_id
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        from pyspark import StorageLevel
+
+        from framelake.functions.framing import USABLE_OUTCOMES
+
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            batch.sparkSession.sql(
-                f"INSERT OVERWRITE TABLE {self.table} PARTITION (run_id = '{self.run_id}', batch_id = {int(batch_id)}) "
-                f"SELECT {', '.join(f'`{c}`' for c in TARGET_COLUMNS)} FROM {view}"
+            good = batch.where(F.col("outcome").isin(*USABLE_OUTCOMES)).select(
+                F.col("msg.id").alias("id"), F.col("msg.payload").alias("payload"), "ingested_at", "topic", "partition", "offset"
             )
+            bad = batch.where(~F.col("outcome").isin(*USABLE_OUTCOMES))
+            overwrite_batch_partition(good, self.table, TARGET_COLUMNS, self.run_id, batch_id)
+            overwrite_batch_partition(bad, self.quarantine_table, QUARANTINE_COLUMNS, self.run_id, batch_id)
         finally:
-            batch.sparkSession.catalog.dropTempView(view)
+            batch.unpersist()
 
 
 def append_stream(
@@ -111,6 +162,20 @@ def console_stream(view: DataFrame, checkpoint: str, query_name: str | None = No
     return writer.start()
 
 
+def complete_stream(aggregated: DataFrame, table_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """A streaming aggregate in complete mode, each micro-batch replacing the
+    result table at ``table_path`` (the state is the aggregate itself, so it
+    stays as small as its key set)."""
+
+    def replace(result: DataFrame, batch_id: int) -> None:
+        result.write.mode("overwrite").parquet(table_path)
+
+    writer = aggregated.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(replace)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def file_stream(view: DataFrame, path: str, checkpoint: str, query_name: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Parquet file sink (exactly-once through its own commit log); used where
     a view must be kept rather than printed."""

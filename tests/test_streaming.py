@@ -95,3 +95,25 @@ def test_await_stops_the_other_query(spark, descriptor_set):
     endless = records.writeStream.format("noop").trigger(processingTime="1 second").option("checkpointLocation", scratch_path(spark, "cp-b")).start()
     await_queries(spark, {"a": finite, "b": endless}, poll_seconds=1)
     assert not endless.isActive
+
+
+def test_split_ingest_quarantines_without_stopping(spark, descriptor_set):
+    from framelake.sources.topic import RECORD_SCHEMA
+    from framelake.streaming.jobs import start_census, start_ingest_with_quarantine
+
+    s = _settings(spark, "split")
+    _publish(spark, s, descriptor_set, 0, 6)
+    bad = [(None, bytearray(bytes.fromhex(v)), "demo.stream", 9, 100 + i, None, 0, None) for i, v in enumerate(["010203", "0000000000"])]
+    spark.createDataFrame(bad, RECORD_SCHEMA).write.mode("append").parquet(s.topic_path)
+    q = start_ingest_with_quarantine(
+        spark, s, descriptor_set, "q_split", trigger=ONCE,
+        table_location=scratch_path(spark, "t-split"), quarantine_location=scratch_path(spark, "q-split"),
+    )
+    _run(q)
+    assert spark.table(s.table_name).count() == 6
+    reasons = sorted(r.outcome for r in spark.table(f"spark_catalog.framelake_test.q_split").collect())
+    assert reasons == ["decode_error", "too_short"]
+    path = scratch_path(spark, "census-split")
+    _run(start_census(spark, s.replace(checkpoint_location=scratch_path(spark, "cp-census")), path, descriptor_set, trigger=ONCE))
+    got = {(r.outcome, r.records) for r in spark.read.parquet(path).groupBy("outcome").agg(F.sum("records").alias("records")).collect()}
+    assert got == {("framed", 6), ("decode_error", 1), ("too_short", 1)}
