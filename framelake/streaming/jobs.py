@@ -167,3 +167,32 @@ def event_records(
 def publish(rows: DataFrame, settings: Settings, descriptor_set: bytes, schema_id: int, **kwargs) -> None:
     """Publish rows to the topic as framed CloudEvents records (batch)."""
     write_topic(event_records(rows, settings.message_name, descriptor_set, schema_id, **kwargs), settings)
+
+
+def start_publish(
+    rows: DataFrame,
+    settings: Settings,
+    descriptor_set: bytes,
+    schema_id: int,
+    trigger: dict | None = None,
+    **kwargs,
+) -> StreamingQuery:
+    """Publish a stream of rows as framed CloudEvents records: Kafka's
+    streaming sink, or (parquet topic) each micro-batch appended with fresh
+    offsets."""
+    records = event_records(rows, settings.message_name, descriptor_set, schema_id, **kwargs)
+    writer = records.writeStream.option("checkpointLocation", _checkpoint(spark_of(rows), settings, "publish"))
+    if trigger:
+        writer = writer.trigger(**trigger)
+    if settings.topic_format == "kafka":
+        return (
+            writer.format("kafka")
+            .option("kafka.bootstrap.servers", settings.bootstrap_servers)
+            .option("topic", settings.topic)
+            .start()
+        )
+    return writer.foreachBatch(lambda batch, _batch_id: write_topic(batch, settings)).start()
+
+
+def spark_of(df: DataFrame) -> SparkSession:
+    return df.sparkSession

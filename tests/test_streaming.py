@@ -117,3 +117,16 @@ def test_split_ingest_quarantines_without_stopping(spark, descriptor_set):
     _run(start_census(spark, s.replace(checkpoint_location=scratch_path(spark, "cp-census")), path, descriptor_set, trigger=ONCE))
     got = {(r.outcome, r.records) for r in spark.read.parquet(path).groupBy("outcome").agg(F.sum("records").alias("records")).collect()}
     assert got == {("framed", 6), ("decode_error", 1), ("too_short", 1)}
+
+
+def test_streaming_publish(spark, descriptor_set):
+    from framelake.streaming.jobs import start_publish
+
+    source = _settings(spark, "pub-src")
+    _publish(spark, source, descriptor_set, 0, 8)
+    rows = read_topic(spark, source, streaming=True).select(F.col("key").cast("string").alias("id"), F.lit("x").alias("payload"))
+    target = _settings(spark, "pub-dst")
+    _run(start_publish(rows, target, descriptor_set, 4, trigger=ONCE))
+    out = read_topic(spark, target, streaming=False)
+    assert out.count() == 8
+    assert {r.h for r in out.select(F.hex(F.substring("value", 1, 6)).alias("h")).collect()} == {"000000000400"}
