@@ -196,6 +196,24 @@ def _readers(descriptor) -> dict[int, tuple[int, str, object]]:
     return {fd.number: (i, fd.name, _field_reader(fd)) for i, fd in enumerate(descriptor.fields)}
 
 
+_FLAT_TYPES = {
+    FieldDescriptor.TYPE_STRING, FieldDescriptor.TYPE_BYTES, FieldDescriptor.TYPE_BOOL, FieldDescriptor.TYPE_ENUM,
+    FieldDescriptor.TYPE_INT32, FieldDescriptor.TYPE_INT64, FieldDescriptor.TYPE_UINT32, FieldDescriptor.TYPE_UINT64,
+    FieldDescriptor.TYPE_SINT32, FieldDescriptor.TYPE_SINT64, FieldDescriptor.TYPE_FIXED32, FieldDescriptor.TYPE_FIXED64,
+    FieldDescriptor.TYPE_SFIXED32, FieldDescriptor.TYPE_SFIXED64,
+}
+
+
+@functools.lru_cache(maxsize=None)
+def _flat_plan(descriptor):
+    """Per-field getters for a message whose fields are all singular
+    string/bytes/bool/enum/integer fields, else None. A field without
+    presence is absent at its zero value; one with presence asks HasField."""
+    if not all(fd.type in _FLAT_TYPES and not fd.is_repeated for fd in descriptor.fields):
+        return None
+    return [(i, fd.name, fd.has_presence, fd.default_value, _scalar_reader(fd)) for i, fd in enumerate(descriptor.fields)]
+
+
 def _message_reader(descriptor):
     def read(msg) -> dict:
         readers = _readers(descriptor)
@@ -219,26 +237,36 @@ def _malformed(message_name: str) -> ValueError:
 def decode_batch(data: pa.Array, descriptor_set: bytes, message_name: str, mode: str, arrow_type: pa.DataType) -> pa.Array:
     """Decode one Arrow batch of serialized messages into a StructArray."""
     cls = message_class(descriptor_set, message_name)
-    readers = _readers(cls.DESCRIPTOR)
-    width = len(cls.DESCRIPTOR.fields)
     rows = data.to_pylist()
-    columns: list[list] = [[None] * len(rows) for _ in range(width)]
+    columns: list[list] = [[None] * len(rows) for _ in range(len(cls.DESCRIPTOR.fields))]
     nulls = [False] * len(rows)
     failfast = mode.upper() == FAILFAST
+    parse = cls.FromString
+    flat = _flat_plan(cls.DESCRIPTOR)
+    if flat is not None:
+        getters = [(columns[i], name, presence, default, reader) for i, name, presence, default, reader in flat]
+    else:
+        readers = _readers(cls.DESCRIPTOR)
     for r, raw in enumerate(rows):
         if raw is None:
             nulls[r] = True
             continue
         try:
-            msg = cls.FromString(raw)
+            msg = parse(raw)
         except DecodeError as exc:
             if failfast:
                 raise _malformed(message_name) from exc
             nulls[r] = True
             continue
-        for fd, value in msg.ListFields():
-            i, _, reader = readers[fd.number]
-            columns[i][r] = reader(value) if reader is not None else value
+        if flat is not None:
+            for column, name, presence, default, reader in getters:
+                value = getattr(msg, name)
+                if msg.HasField(name) if presence else value != default:
+                    column[r] = value if reader is None else reader(value)
+        else:
+            for fd, value in msg.ListFields():
+                i, _, reader = readers[fd.number]
+                columns[i][r] = value if reader is None else reader(value)
     arrays = [pa.array(col, type=arrow_type.field(i).type) for i, col in enumerate(columns)]
     return pa.StructArray.from_arrays(arrays, fields=list(arrow_type), mask=pa.array(nulls, type=pa.bool_()))
 
