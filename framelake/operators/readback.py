@@ -15,7 +15,10 @@ DEFAULT_TIE_BREAK = ("offset", "partition", "topic")
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """SRC-3: a catalog table by its (catalog.namespace.table) name."""
+    """SRC-3: a catalog table by its (catalog.namespace.table) name. The
+    table is refreshed first: a streaming writer commits through its own
+    session, so this session's cached file listing may be stale."""
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
@@ -44,7 +47,7 @@ def latest_table_rows(
     back, bounded by the limit), then the same top-n over just the partitions
     that hold them (static partition pruning), which reads the wide columns
     of those partitions only. Other tables fall back to ``latest_rows``."""
-    table = spark.table(name)
+    table = read_table(spark, name)
     if not all(c in table.columns for c in partition_columns):
         return latest_rows(table, n, order_by, tie_break)
     keys = [order_by, *[c for c in tie_break if c in table.columns]]

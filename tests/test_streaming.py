@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from framelake.operators.readback import read_table
 from framelake.schemas import DEMO_EVENT
 from framelake.session import scratch_path
 from framelake.settings import Settings
@@ -44,10 +45,10 @@ def test_restart_resumes_without_duplicates(spark, descriptor_set):
     loc = scratch_path(spark, "table-restart")
     _publish(spark, s, descriptor_set, 0, 20)
     _run(start_ingest(spark, s, descriptor_set, trigger=ONCE, table_location=loc))
-    assert spark.table(s.table_name).count() == 20
+    assert read_table(spark, s.table_name).count() == 20
     _publish(spark, s, descriptor_set, 20, 30)
     _run(start_ingest(spark, s, descriptor_set, trigger=ONCE, table_location=loc))  # same checkpoint
-    table = spark.table(s.table_name)
+    table = read_table(spark, s.table_name)
     assert table.count() == 30
     assert table.select("id").distinct().count() == 30
     assert table.where("ingested_at IS NULL OR payload IS NULL").count() == 0
@@ -65,11 +66,11 @@ def test_replayed_batch_lands_once_and_new_run_never_overwrites(spark, descripto
     writer(batch, 0)
     writer(batch, 0)
     writer(batch.limit(5), 1)
-    assert spark.table(table).count() == 20
+    assert read_table(spark, table).count() == 20
     fresh = ReplaySafeAppend(table, run_id_for(spark, scratch_path(spark, "checkpoint-replay-b")))
     assert fresh.run_id != run
     fresh(batch, 0)  # a fresh checkpoint restarts batch ids at 0
-    assert spark.table(table).count() == 35
+    assert read_table(spark, table).count() == 35
 
 
 def test_dual_stream_and_console(spark, descriptor_set, capsys):
@@ -110,8 +111,8 @@ def test_split_ingest_quarantines_without_stopping(spark, descriptor_set):
         table_location=scratch_path(spark, "t-split"), quarantine_location=scratch_path(spark, "q-split"),
     )
     _run(q)
-    assert spark.table(s.table_name).count() == 6
-    reasons = sorted(r.outcome for r in spark.table(f"spark_catalog.framelake_test.q_split").collect())
+    assert read_table(spark, s.table_name).count() == 6
+    reasons = sorted(r.outcome for r in read_table(spark, f"spark_catalog.framelake_test.q_split").collect())
     assert reasons == ["decode_error", "too_short"]
     path = scratch_path(spark, "census-split")
     _run(start_census(spark, s.replace(checkpoint_location=scratch_path(spark, "cp-census")), path, descriptor_set, trigger=ONCE))
@@ -130,3 +131,36 @@ def test_streaming_publish(spark, descriptor_set):
     out = read_topic(spark, target, streaming=False)
     assert out.count() == 8
     assert {r.h for r in out.select(F.hex(F.substring("value", 1, 6)).alias("h")).collect()} == {"000000000400"}
+
+
+def test_crash_after_write_before_commit_replays_once(spark, descriptor_set):
+    """Spark replays a batch whose sink write finished but whose commit did
+    not; the replayed batch must replace, not duplicate, its rows."""
+    from framelake.streaming.sinks import append_stream
+
+    s = _settings(spark, "crash")
+    _publish(spark, s, descriptor_set, 0, 25)
+    table = ensure_target(spark, s, location=scratch_path(spark, "table-crash"))
+    run = run_id_for(spark, s.checkpoint_location)
+    writer = ReplaySafeAppend(table, run)
+
+    def crash_after_write(batch, batch_id):
+        writer(batch, batch_id)
+        raise RuntimeError("simulated crash before the offset commit")
+
+    decoded = ingest_view(read_topic(spark, s.replace(include_headers=False), streaming=True), DEMO_EVENT, descriptor_set)
+    failing = (
+        decoded.writeStream.option("checkpointLocation", s.checkpoint_location)
+        .trigger(availableNow=True)
+        .foreachBatch(crash_after_write)
+        .start()
+    )
+    try:
+        failing.awaitTermination()
+    except Exception:  # noqa: BLE001 - the injected failure
+        pass
+    assert read_table(spark, table).count() == 25  # written, but the batch is not committed
+    _run(append_stream(decoded, s, s.checkpoint_location, trigger=ONCE))  # restart: batch 0 replayed
+    t = read_table(spark, table)
+    assert t.count() == 25
+    assert t.select("batch_id").distinct().count() == 1
