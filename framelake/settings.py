@@ -66,6 +66,15 @@ class Settings:
     def replace(self, **changes) -> Settings:
         return dataclasses.replace(self, **changes)
 
+    def with_connectors(self, spark_version: str | None = None) -> Settings:
+        """Add the Kafka and protobuf connector packages for this Spark."""
+        if spark_version is None:
+            import pyspark
+
+            spark_version = pyspark.__version__
+        wanted = [KAFKA_PACKAGE.format(spark=spark_version), PROTOBUF_PACKAGE.format(spark=spark_version)]
+        return self.replace(packages=tuple(dict.fromkeys(list(self.packages) + wanted)))
+
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, **overrides) -> Settings:
         e = os.environ if env is None else env
@@ -111,8 +120,10 @@ def session_conf(settings: Settings) -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Arrow batches to the decode UDF are bounded in bytes as well as rows,
+        # so large messages cannot make one batch outgrow a worker.
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
         "spark.sql.mapKeyDedupPolicy": settings.header_dedup_policy,
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     if settings.packages:
         conf["spark.jars.packages"] = ",".join(settings.packages)

@@ -53,3 +53,9 @@ def test_cli_settings_and_query_job(spark, tmp_path, monkeypatch):
     s = settings_from_env({"FRAMELAKE_TOPIC_FORMAT": "parquet", "FRAMELAKE_TOPIC_PATH": "/x", "PROTO_MESSAGE_NAME": ""})
     assert (s.topic_format, s.topic_path, s.message_name) == ("parquet", "/x", "")
     assert set(JOBS) == {"ingest", "inspect", "query"}
+
+
+def test_connector_packages():
+    s = Settings().with_connectors("4.1.2")
+    assert "org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2" in s.packages
+    assert session_conf(s)["spark.jars.packages"].count("4.1.2") == 2
