@@ -69,7 +69,7 @@ def start_ingest_with_quarantine(
     records = read_topic(spark, settings.replace(include_headers=False), streaming=True)
     classified = classify(records, settings.message_name, descriptor_set, impl=settings.protobuf_impl)
     classified = classified.withColumn("ingested_at", F.current_timestamp())
-    table = ensure_target(spark, settings, location=table_location)
+    table = ensure_target(spark, settings, location=table_location, batch_partitioned=True)
     quarantine = ensure_quarantine(spark, settings, quarantine_table, location=quarantine_location)
     checkpoint = _checkpoint(spark, settings, "ingest-quarantine")
     writer = classified.writeStream.option("checkpointLocation", checkpoint)

@@ -29,34 +29,39 @@ QUARANTINE_COLUMNS = ("topic", "partition", "offset", "timestamp", "key", "value
 RUN_MARKER = "_framelake_run"
 
 
-def ensure_target(spark: SparkSession, settings: Settings, location: str | None = None) -> str:
+def ensure_target(
+    spark: SparkSession, settings: Settings, location: str | None = None, batch_partitioned: bool | None = None
+) -> str:
     """SNK-2: create the namespace and table if missing; issued once, before
-    the query starts. Returns the table name."""
+    the query starts. Returns the table name. Parquet targets (and Iceberg
+    targets written by the split ingest) are partitioned by
+    ``(run_id, batch_id)`` for replay-safe partition overwrites; a plain
+    Iceberg target relies on Iceberg's idempotent streaming commits."""
     name = settings.table_name
+    if batch_partitioned is None:
+        batch_partitioned = settings.table_format != "iceberg"
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {settings.catalog}.{settings.namespace}")
-    if settings.table_format == "iceberg":
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({TARGET_DDL}, {LINEAGE_DDL}) USING iceberg")
-    else:
-        where = f" LOCATION '{location}'" if location else ""
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({TARGET_DDL}, {LINEAGE_DDL}, run_id STRING, batch_id BIGINT) "
-            f"USING parquet PARTITIONED BY (run_id, batch_id){where}"
-        )
+    columns = f"{TARGET_DDL}, {LINEAGE_DDL}"
+    if batch_partitioned:
+        columns += ", run_id STRING, batch_id BIGINT"
+    fmt = "iceberg" if settings.table_format == "iceberg" else "parquet"
+    partitioned = " PARTITIONED BY (run_id, batch_id)" if batch_partitioned else ""
+    where = f" LOCATION '{location}'" if location and fmt == "parquet" else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}{partitioned}{where}")
     return name
 
 
 def ensure_quarantine(spark: SparkSession, settings: Settings, name: str, location: str | None = None) -> str:
-    """Create the quarantine table (same catalog and namespace) if missing."""
+    """Create the quarantine table (same catalog and namespace) if missing,
+    partitioned by ``(run_id, batch_id)`` like the target."""
     full = f"{settings.catalog}.{settings.namespace}.{name}"
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {settings.catalog}.{settings.namespace}")
-    if settings.table_format == "iceberg":
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({QUARANTINE_DDL}, run_id STRING, batch_id BIGINT) USING iceberg")
-    else:
-        where = f" LOCATION '{location}'" if location else ""
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {full} ({QUARANTINE_DDL}, run_id STRING, batch_id BIGINT) "
-            f"USING parquet PARTITIONED BY (run_id, batch_id){where}"
-        )
+    fmt = "iceberg" if settings.table_format == "iceberg" else "parquet"
+    where = f" LOCATION '{location}'" if location and fmt == "parquet" else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {full} ({QUARANTINE_DDL}, run_id STRING, batch_id BIGINT) "
+        f"USING {fmt} PARTITIONED BY (run_id, batch_id){where}"
+    )
     return full
 
 
