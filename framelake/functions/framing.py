@@ -7,10 +7,11 @@ A framed record value is::
     bytes 5..   zig-zag varint count n, then n varint message indexes
     rest        the protobuf message
 
-Each operation is a temporary SQL function built from built-in expressions. Spark inlines SQL functions into the plan, so stripping, classifying
-and reading schema ids run inside whole-stage codegen with no Python worker,
-and the same logic is callable from SQL (``strip_confluent_protobuf(value)``)
-and from the DataFrame API (``strip_framing(col)``).
+Each operation is a temporary SQL function built from built-in expressions.
+Spark inlines SQL functions into the plan, so stripping, classifying and
+reading schema ids run as generated JVM code with no Python worker, and the
+same logic is callable from SQL (``strip_confluent_protobuf(value)``) and from
+the DataFrame API (``strip_framing(col)``).
 
 The common frame (count byte ``00``) takes a ``substring`` fast path. Other
 index arrays are walked over a Latin-1 view of the bytes (one char per byte):
