@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from framelake.operators.quality import (
     broadcast_if_small,
