@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import functions as F
 
 from framelake.functions.framing import frame_outcome, schema_id, strip_framing, varint_bytes, zigzag
 
