@@ -69,6 +69,35 @@ def read_topic(spark: SparkSession, settings: Settings, streaming: bool = True)
     return records
 
 
+HIGH_WATER_DIR = "_framelake_high_water"  # hidden from file sources (leading underscore)
+
+
+def _high_water_path(settings: Settings) -> str:
+    return f"{settings.topic_path.rstrip('/')}/{HIGH_WATER_DIR}"
+
+
+def _next_offset(spark: SparkSession, settings: Settings) -> int:
+    """First offset for the next publish to a parquet topic: from the
+    high-water markers earlier publishes left (a few one-row files), or, for
+    a topic written by other means, one scan of its offset column."""
+    try:
+        marks = spark.read.parquet(_high_water_path(settings))
+        top = marks.where(F.col("topic") == settings.topic).agg(F.max("next_offset")).first()[0]
+        if top is not None:
+            return int(top)
+    except Exception as exc:  # noqa: BLE001 - no markers yet
+        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+            raise
+    try:
+        current = spark.read.schema(RECORD_SCHEMA).parquet(settings.topic_path)
+        top = current.where(F.col("topic") == settings.topic).agg(F.max("offset")).first()[0]
+        return 0 if top is None else int(top) + 1
+    except Exception as exc:  # noqa: BLE001 - an empty topic has no files yet
+        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+            raise
+        return 0
+
+
 def write_topic(
     records: DataFrame,
     settings: Settings,
@@ -78,8 +107,9 @@ def write_topic(
     and ``timestamp``) to the topic.
 
     Kafka assigns partitions and offsets itself. The parquet topic assigns a
-    partition from the key hash and offsets above the topic's current
-    maximum, unique and increasing (not contiguous, like a compacted topic).
+    partition from the key hash and offsets above every earlier publish,
+    unique and increasing (not contiguous, like a compacted topic), without
+    reading the topic back.
     """
     cols = set(records.columns)
     headers = F.col("headers") if "headers" in cols else F.lit(None).cast(HEADER_TYPE)
@@ -95,14 +125,8 @@ def write_topic(
     if not settings.topic_path:
         raise ValueError("topic_format 'parquet' needs topic_path")
     spark = records.sparkSession
-    base = 0
-    try:
-        current = spark.read.schema(RECORD_SCHEMA).parquet(settings.topic_path)
-        top = current.where(F.col("topic") == settings.topic).agg(F.max("offset")).first()[0]
-        base = 0 if top is None else top + 1
-    except Exception as exc:  # noqa: BLE001 - an empty topic has no files yet
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
+    parts = records.rdd.getNumPartitions()
+    base = _next_offset(spark, settings)
     timestamp = F.col("timestamp") if "timestamp" in cols else F.current_timestamp()
     out = records.select(
         F.col("key").cast("binary").alias("key"),
@@ -115,3 +139,9 @@ def write_topic(
         headers.alias("headers"),
     )
     out.write.mode("append").parquet(settings.topic_path)
+    # monotonically_increasing_id() stays below (partitions << 33), so the
+    # next publish can start there without reading this one back.
+    high_water = spark.range(1).select(
+        F.lit(settings.topic).alias("topic"), F.lit(base + (max(parts, 1) << 33)).cast("bigint").alias("next_offset")
+    )
+    high_water.write.mode("append").parquet(_high_water_path(settings))
