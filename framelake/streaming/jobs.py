@@ -3,6 +3,8 @@ one or two named queries) and publish (rows -> framed records)."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,7 +13,7 @@ from framelake.functions.framing import frame
 from framelake.functions.headers import cloudevents_headers
 from framelake.operators.protobuf import to_protobuf
 from framelake.operators.views import ingest_view, inspect_views
-from framelake.session import scratch_path
+from framelake.session import checkpoint_root
 from framelake.settings import Settings
 from framelake.sources.topic import read_topic, write_topic
 from framelake.operators.quality import classify, frame_census
@@ -34,7 +36,14 @@ PRODUCER_CE_SOURCE = "urn:acme:producer"
 
 
 def _checkpoint(spark: SparkSession, settings: Settings, name: str) -> str:
-    return settings.checkpoint_location or scratch_path(spark, f"checkpoint-{name}")
+    """The query's checkpoint: ``settings.checkpoint_location``, else a
+    stable path under the cluster's checkpoint folder derived from the job,
+    topic and table, so a restarted job resumes where it stopped (a fresh
+    path would restart from ``startingOffsets`` and lose or repeat records)."""
+    if settings.checkpoint_location:
+        return settings.checkpoint_location
+    safe = re.sub(r"[^A-Za-z0-9._-]+", "_", f"{settings.topic}--{settings.table_name}")
+    return f"{checkpoint_root(spark)}/framelake/jobs/{name}/{safe}"
 
 
 def start_ingest(

@@ -164,3 +164,20 @@ def test_crash_after_write_before_commit_replays_once(spark, descriptor_set):
     t = read_table(spark, table)
     assert t.count() == 25
     assert t.select("batch_id").distinct().count() == 1
+
+
+def test_explicit_checkpoint_wins():
+    from framelake.streaming.jobs import _checkpoint
+
+    s = Settings(topic="a.b", table="t1", checkpoint_location="/x/cp")
+    assert _checkpoint(None, s, "ingest") == "/x/cp"
+
+
+def test_default_checkpoint_derived_from_job(spark):
+    from framelake.streaming.jobs import _checkpoint
+
+    s = Settings(topic="demo.events", namespace="n", table="t1")
+    first = _checkpoint(spark, s, "ingest")
+    assert first == _checkpoint(spark, s, "ingest")  # same job, same place: restarts resume
+    assert first != _checkpoint(spark, s.replace(table="t2"), "ingest")
+    assert "/framelake/jobs/ingest/" in first
