@@ -70,6 +70,13 @@ def latest_rows_sql(spark: SparkSession, name: str, n: int = DEFAULT_LATEST_LIMI
     return spark.sql(f"SELECT * FROM {name} ORDER BY ingested_at DESC LIMIT {int(n)}")
 
 
+def contract_view(spark: SparkSession, name: str, view: str) -> DataFrame:
+    """The target's three-column contract ``(id, payload, ingested_at)`` as a
+    temporary view over a table that also carries lineage and batch columns."""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS SELECT id, payload, ingested_at FROM {name}")
+    return spark.table(view)
+
+
 def sample_rows(table: DataFrame, n: int = DEFAULT_SAMPLE_LIMIT) -> DataFrame:
     """SRT-2: any n rows (``SELECT * ... LIMIT n``), stops reading early."""
     return table.limit(n)

@@ -53,3 +53,11 @@ def test_latest_rows_reads_only_the_partitions_holding_them(spark, descriptor_se
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "batch_id" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     assert [r.id for r in latest_table_rows(spark, name, 12).collect()][-2:] == ["19", "18"]
+
+
+def test_contract_view(spark):
+    from framelake.operators.readback import contract_view
+
+    s = Settings(table_format="parquet", catalog="spark_catalog", namespace="framelake_catalog_test", table="contract_x")
+    name = ensure_target(spark, s, location=scratch_path(spark, "table-contract"))
+    assert contract_view(spark, name, "demo_events_contract").columns == ["id", "payload", "ingested_at"]
