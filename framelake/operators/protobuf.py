@@ -388,6 +388,8 @@ def from_protobuf(
     data: Column | str, message_name: str, descriptor_set: bytes, mode: str = FAILFAST, impl: str = "auto"
 ) -> Column:
     """Decode serialized ``message_name`` messages into a struct column."""
+    if mode.upper() not in (FAILFAST, PERMISSIVE):
+        raise ValueError(f"mode must be {FAILFAST} or {PERMISSIVE}, not {mode!r}")
     col = F.col(data) if isinstance(data, str) else data
     if _use_connector(impl):
         from pyspark.sql.protobuf import functions as pb
