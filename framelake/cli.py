@@ -14,7 +14,7 @@ import os
 import sys
 
 from framelake.functions.framing import register_sql_functions
-from framelake.operators.readback import latest_rows_sql, list_namespaces, list_tables
+from framelake.operators.readback import latest_table_rows, list_namespaces, list_tables
 from framelake.session import build_session
 from framelake.settings import Settings
 from framelake.sources.descriptors import load_descriptor_set
@@ -55,7 +55,9 @@ def run_query(settings: Settings) -> None:
     try:
         list_namespaces(spark, settings.catalog).show(truncate=False)
         list_tables(spark, f"{settings.catalog}.{settings.namespace}").show(truncate=False)
-        latest_rows_sql(spark, settings.table_name, settings.query_limit).show(settings.query_limit, truncate=False)
+        # Two-phase (partition-pruned) on batch-partitioned tables, else the
+        # plain ORDER BY ingested_at DESC LIMIT n.
+        latest_table_rows(spark, settings.table_name, settings.query_limit).show(settings.query_limit, truncate=False)
     finally:
         spark.stop()
 
