@@ -33,12 +33,19 @@ def settings_from_env(env=None) -> Settings:
     return Settings.from_env(e, **overrides)
 
 
+def trigger_from_env(env=None) -> dict | None:
+    """``FRAMELAKE_AVAILABLE_NOW=1``: process what is there, then stop."""
+    e = os.environ if env is None else env
+    return {"availableNow": True} if (e.get("FRAMELAKE_AVAILABLE_NOW") or "").lower() in ("1", "true", "yes") else None
+
+
 def run_ingest(settings: Settings) -> None:
     """Topic -> strip -> decode -> replay-safe append, until stopped."""
     spark = build_session(settings, app_name="framelake-ingest")
     register_sql_functions(spark, strip_name=settings.strip_function_name)
-    query = start_ingest(spark, settings, load_descriptor_set(spark, settings.descriptor_path))
-    await_queries(spark, {"ingest": query})
+    trigger = trigger_from_env()
+    query = start_ingest(spark, settings, load_descriptor_set(spark, settings.descriptor_path), trigger=trigger)
+    await_queries(spark, {"ingest": query}, finite=trigger is not None)
 
 
 def run_inspect(settings: Settings) -> None:
@@ -46,7 +53,8 @@ def run_inspect(settings: Settings) -> None:
     spark = build_session(settings.replace(table_format="parquet"), app_name="framelake-inspect")
     register_sql_functions(spark, strip_name=settings.strip_function_name)
     descriptor = load_descriptor_set(spark, settings.descriptor_path) if settings.message_name else None
-    await_queries(spark, start_inspect(spark, settings, descriptor))
+    trigger = trigger_from_env()
+    await_queries(spark, start_inspect(spark, settings, descriptor, trigger=trigger), finite=trigger is not None)
 
 
 def run_query(settings: Settings) -> None:

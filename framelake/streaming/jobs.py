@@ -129,17 +129,25 @@ def start_inspect(
     return queries
 
 
-def await_queries(spark: SparkSession, queries: dict[str, StreamingQuery], poll_seconds: int = 5) -> None:
+def await_queries(
+    spark: SparkSession, queries: dict[str, StreamingQuery], poll_seconds: int = 5, finite: bool = False
+) -> None:
     """SNK-4: run until any of the queries ends, then stop all of them, and
-    re-raise the failure of the one that ended, if it failed. (Polls the
-    given queries rather than ``spark.streams.awaitAnyTermination()``, which
-    also returns for unrelated queries that ended earlier in the session.)"""
+    re-raise the failure of one that failed. (Polls the given queries rather
+    than ``spark.streams.awaitAnyTermination()``, which also returns for
+    unrelated queries that ended earlier in the session.) With ``finite``
+    (available-now triggers, which end by themselves) every query is awaited
+    instead, so a faster one cannot cut a slower one short."""
     active = list(queries.values())
     try:
-        while all(q.isActive for q in active):
+        if finite:
             for q in active:
-                if q.awaitTermination(poll_seconds):
-                    break
+                q.awaitTermination()
+        else:
+            while all(q.isActive for q in active):
+                for q in active:
+                    if q.awaitTermination(poll_seconds):
+                        break
     finally:
         for q in active:
             if q.isActive:
