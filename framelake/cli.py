@@ -3,8 +3,9 @@
 Settings come from the environment (``Settings.from_env``), with the same
 variable names as the jobs this replaces (KAFKA_TOPIC, PROTO_MESSAGE_NAME,
 PRINT_MODE, DUAL_STREAM, ICEBERG_*, CHECKPOINT_LOCATION, ...), plus
-FRAMELAKE_TOPIC_FORMAT / FRAMELAKE_TOPIC_PATH / FRAMELAKE_TABLE_FORMAT to run
-against a parquet topic and table instead of Kafka and Iceberg.
+FRAMELAKE_TOPIC_FORMAT / FRAMELAKE_TOPIC_PATH / FRAMELAKE_TABLE_FORMAT /
+FRAMELAKE_TABLE_PATH to run against a parquet topic and table instead of Kafka
+and Iceberg, and FRAMELAKE_AVAILABLE_NOW=1 to process what is there and stop.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ def settings_from_env(env=None) -> Settings:
         overrides["topic_path"] = e["FRAMELAKE_TOPIC_PATH"]
     if e.get("FRAMELAKE_TABLE_FORMAT"):
         overrides["table_format"] = e["FRAMELAKE_TABLE_FORMAT"]
+    if e.get("FRAMELAKE_TABLE_PATH"):
+        overrides["table_path"] = e["FRAMELAKE_TABLE_PATH"]
     return Settings.from_env(e, **overrides)
 
 

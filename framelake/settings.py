@@ -46,6 +46,7 @@ class Settings:
     catalog: str = "iceberg"
     namespace: str = "demo"
     table: str = "demo_events"
+    table_path: str | None = None  # LOCATION of a parquet target (external table)
     catalog_uri: str = "http://localhost:8181"
     warehouse: str = "s3://datalake/warehouse"
     query_limit: int = 50

@@ -59,7 +59,7 @@ def start_ingest(
     decoded = ingest_view(
         records, settings.message_name, descriptor_set, mode=settings.decode_mode, impl=settings.protobuf_impl
     )
-    ensure_target(spark, settings, location=table_location)
+    ensure_target(spark, settings, location=table_location or settings.table_path)
     return append_stream(decoded, settings, _checkpoint(spark, settings, "ingest"), trigger=trigger)
 
 
