@@ -12,11 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 from framelake.functions.framing import frame
 from framelake.functions.headers import cloudevents_headers
 from framelake.operators.protobuf import to_protobuf
+from framelake.operators.quality import classify, frame_census
 from framelake.operators.views import ingest_view, inspect_views
 from framelake.session import checkpoint_root
 from framelake.settings import Settings
 from framelake.sources.topic import read_topic, write_topic
-from framelake.operators.quality import classify, frame_census
 from framelake.streaming.sinks import (
     QuarantineSplitAppend,
     append_stream,
@@ -78,7 +78,7 @@ def start_ingest_with_quarantine(
     records = read_topic(spark, settings.replace(include_headers=False), streaming=True)
     classified = classify(records, settings.message_name, descriptor_set, impl=settings.protobuf_impl)
     classified = classified.withColumn("ingested_at", F.current_timestamp())
-    table = ensure_target(spark, settings, location=table_location, batch_partitioned=True)
+    table = ensure_target(spark, settings, location=table_location or settings.table_path, batch_partitioned=True)
     quarantine = ensure_quarantine(spark, settings, quarantine_table, location=quarantine_location)
     checkpoint = _checkpoint(spark, settings, "ingest-quarantine")
     writer = classified.writeStream.option("checkpointLocation", checkpoint)
