@@ -59,3 +59,9 @@ def test_views_prune_unused_work(spark, descriptor_set):
     assert "decode" not in plan  # the header view never decodes
     plan = payload_view(base, DEMO_EVENT, descriptor_set)._jdf.queryExecution().optimizedPlan().toString()
     assert "map_from_entries" not in plan  # the payload view never builds the map
+
+
+def test_null_header_key_raises(spark):
+    hdr = [(None, bytearray(b"1"))]
+    with pytest.raises(Exception, match="NULL_MAP_KEY"):
+        headers_view(record_view(_records(spark, hdr))).collect()
