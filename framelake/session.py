@@ -3,8 +3,6 @@ package to executors."""
 
 from __future__ import annotations
 
-import hashlib
-import io
 import os
 import tempfile
 import uuid
@@ -30,54 +28,53 @@ def build_session(settings: Settings | None = None, app_name: str = "framelake",
     return spark
 
 
+def configured_root(spark: SparkSession) -> str | None:
+    """The shared folder named by ``spark.checkpoint.dir``, read from the session."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    return root.rstrip("/") if root else None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``. Only when the
-    cluster names none (local runs, tests) is a local one created and set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The configured shared folder, for anything that must survive a restart
+    (stream checkpoints). There is no fallback: a folder made up per process
+    would make a restarted job begin anew and lose or repeat records."""
+    root = configured_root(spark)
     if not root:
-        root = tempfile.mkdtemp(prefix="framelake-checkpoints-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+        raise ValueError("set CHECKPOINT_LOCATION or spark.checkpoint.dir to a folder that survives a restart and that all executors share")
+    return root
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh location under the checkpoint folder (never reused)."""
-    return f"{checkpoint_root(spark)}/framelake/{name}-{uuid.uuid4().hex[:12]}"
+def scratch_root(spark: SparkSession) -> str:
+    """Folder for tables a query writes for its own use within one
+    application: the configured shared folder; in single-process local mode
+    with none configured (tests), a folder of this application's own."""
+    root = configured_root(spark)
+    if root:
+        return root
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return os.path.join(tempfile.gettempdir(), f"framelake-{context.applicationId}")
 
 
-def _package_zip() -> tuple[bytes, str]:
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-        for folder, _, files in sorted(os.walk(_PACKAGE_DIR)):
-            for name in sorted(files):
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    arc = os.path.relpath(path, os.path.dirname(_PACKAGE_DIR))
-                    zf.writestr(zipfile.ZipInfo(arc, date_time=(2020, 1, 1, 0, 0, 0)), open(path, "rb").read())
-    data = buf.getvalue()
-    return data, hashlib.sha1(data).hexdigest()[:16]
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh location under the scratch folder (never reused)."""
+    return f"{scratch_root(spark)}/framelake/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``framelake`` importable in Python workers (the Arrow UDF
-    fallbacks run there). When the checkpoint folder is a local path (local
-    mode, tests) the package is zipped into it once per application and added
-    with ``addPyFile``. On a cluster whose shared folder is remote, deploy the
-    package with ``--py-files`` or install it on the executors instead."""
+    """Make ``framelake`` importable in Python workers, once per application.
+    The zip is made on the driver and handed out by Spark's own file server
+    (``addPyFile``), so no folder has to be shared."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
-    root = checkpoint_root(spark)
-    local = root[len("file:") :] if root.startswith("file:") else root
-    if "://" not in local:
-        data, digest = _package_zip()
-        path = os.path.join(local, "framelake-pyfiles", f"framelake-{digest}.zip")
-        if not os.path.exists(path):
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            part = f"{path}.{uuid.uuid4().hex}.part"
-            with open(part, "wb") as fh:
-                fh.write(data)
-            os.replace(part, path)
-        spark.sparkContext.addPyFile(path)
+    path = os.path.join(tempfile.mkdtemp(prefix="framelake-pyfiles-"), "framelake.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in sorted(os.walk(_PACKAGE_DIR)):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(_PACKAGE_DIR)))
+    spark.sparkContext.addPyFile(path)
     _shipped.add(app)
