@@ -1,3 +1,40 @@
-"""Placeholder."""
-STAGES: list = []
+"""The corpus pipeline: quality rules, SimHash near-duplicates, benchmark
+decontamination, mixing to target weights, token ids.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
+written as Parquet and read again as the next stage's ``docs``. All stages but
+the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from framelake.llm import mixing, quality
+from framelake.llm.common import table, written
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the adaptive rules reject go."""
+    return quality.apply_rules(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as systematic sampling to the target weights emits it."""
+    return mixing.mix(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("mixing sources to target weights", source_mix),
+]
+# The token ids of the last stage come from a tokenizer, which SQL does not have.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from framelake.llm import oracles
 from framelake.llm.common import table
+from framelake.llm.decontaminate import mark
 from framelake.llm.mixing import mix_plan
 from framelake.llm.quality import judge
 from framelake.llm.url_filter import judge_urls, rule_table
@@ -32,9 +33,20 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines", "q.n_repeat_words", "q.base_failed", "kept")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    marked = mark(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256")
+    )
+    return marked.withColumn("contaminated", F.col("n_hit") > 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
+    "op6_decontaminate": op6_decontaminate,
     "op8_source_mix": op8_source_mix,
     "op9_quality_rules": op9_quality_rules,
 }
-ORACLE_SQL: dict[str, str] = {"op4_url_filter": oracles.OP4, "op8_source_mix": oracles.OP8, "op9_quality_rules": oracles.OP9}
+ORACLE_SQL: dict[str, str] = {"op4_url_filter": oracles.OP4, "op6_decontaminate": oracles.OP6, "op8_source_mix": oracles.OP8, "op9_quality_rules": oracles.OP9}
