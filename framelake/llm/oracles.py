@@ -23,11 +23,11 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translat
   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-i AS (SELECT DISTINCT item_id, size, array_to_string(w[at:at + size - 1], ' ') AS win
-  FROM (SELECT item_id, w, least(len(w), 10) AS size, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS at FROM b WHERE len(w) > 0)),
-t AS (SELECT r, size, unnest(range(1, len(w) - size + 2)) AS at, w FROM d, (SELECT DISTINCT size FROM i) WHERE len(w) >= size),
-x AS (SELECT r, at, t.size, item_id FROM t JOIN i ON t.size = i.size AND i.win = array_to_string(w[at:at + t.size - 1], ' ')),
-h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(at, at + size)) AS p FROM (SELECT DISTINCT r, at, size FROM x)) GROUP BY r),
+i AS (SELECT DISTINCT item_id, size, array_to_string(list_slice(w, pos, pos + size - 1), ' ') AS win
+  FROM (SELECT item_id, w, least(len(w), 10) AS size, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS pos FROM b WHERE len(w) > 0)),
+t AS (SELECT r, size, unnest(range(1, len(w) - size + 2)) AS pos, w FROM d, (SELECT DISTINCT size FROM i) WHERE len(w) >= size),
+x AS (SELECT r, pos, t.size, item_id FROM t JOIN i ON t.size = i.size AND i.win = array_to_string(list_slice(w, pos, pos + t.size - 1), ' ')),
+h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(pos, pos + size)) AS p FROM (SELECT DISTINCT r, pos, size FROM x)) GROUP BY r),
 n AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM x) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN h USING (r) LEFT JOIN n USING (r)

@@ -12,8 +12,11 @@ from framelake.llm.common import table
 from framelake.llm.decontaminate import mark
 from framelake.llm.mixing import mix_plan
 from framelake.llm.quality import judge
+from framelake.llm.simhash_dedup import near_duplicates
+from framelake.llm.token_codes import token_index
 from framelake.llm.url_filter import judge_urls, rule_table
 
+END_ID = 2
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
@@ -33,6 +36,17 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines", "q.n_repeat_words", "q.base_failed", "kept")
 
 
+def word_tokenizer() -> str:
+    """Place of the vocabulary file, which every machine's Python installation has."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index(table(spark, sf_dir, "documents"), word_tokenizer(), END_ID)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     hits = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -43,10 +57,18 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.withColumn("contaminated", F.col("n_hit") > 0)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return rows.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
+    "op5_token_codes": op5_token_codes,
     "op6_decontaminate": op6_decontaminate,
     "op8_source_mix": op8_source_mix,
     "op9_quality_rules": op9_quality_rules,
+    "op10_simhash": op10_simhash,
 }
 ORACLE_SQL: dict[str, str] = {"op4_url_filter": oracles.OP4, "op6_decontaminate": oracles.OP6, "op8_source_mix": oracles.OP8, "op9_quality_rules": oracles.OP9}
