@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.llm import oracles
@@ -12,6 +12,7 @@ from framelake.llm.common import table
 from framelake.llm.decontaminate import mark
 from framelake.llm.mixing import mix_plan
 from framelake.llm.quality import judge
+from framelake.llm.secrets import KINDS, METHOD_KIND, find_secrets
 from framelake.llm.simhash_dedup import near_duplicates
 from framelake.llm.token_codes import token_index
 from framelake.llm.url_filter import judge_urls, rule_table
@@ -20,6 +21,18 @@ END_ID = 2
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
+def _span_list(spans: str) -> Column:
+    names = F.array(*[F.lit(k) for k in (*KINDS, METHOD_KIND)])
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+
+
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    return found.select("doc_id", *counts, F.sha2(_span_list("base"), 256).alias("base_sha256"), _span_list("spans").alias("spans"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
 
@@ -64,6 +77,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op4_url_filter": op4_url_filter,
     "op5_token_codes": op5_token_codes,
     "op6_decontaminate": op6_decontaminate,
