@@ -75,10 +75,10 @@ def _per(scale: int, part: str, whole: str) -> Column:
     return F.expr(f"CAST({scale} * {part} div greatest({whole}, 1) AS BIGINT)")
 
 
-def with_counts(docs: DataFrame, name: str = "q") -> DataFrame:
-    """``docs`` packed as ``row``, with ``lang``, ``source`` and a struct ``name``
-    of counts and measures."""
-    counted = docs.select(F.struct("*").alias("row"), "lang", "source", F.expr(_counts("coalesce(text, '')")).alias("c"))
+def with_counts(docs: DataFrame, carry: list[str], name: str = "q") -> DataFrame:
+    """Columns ``carry`` of ``docs`` packed as ``row``, with ``lang``, ``source``
+    and a struct ``name`` of counts and measures."""
+    counted = docs.select(F.struct(*[f"`{c}`" for c in carry]).alias("row"), "lang", "source", F.expr(_counts("coalesce(text, '')")).alias("c"))
     measures = {
         "symbols": _per(1000, "c.n_symbols", "c.word_chars"),
         "dup_lines": _per(1000, "c.n_dup_lines", "c.n_lines"),
@@ -143,9 +143,9 @@ def thresholds(sketches: DataFrame, min_docs: int = MIN_DOCS, spread: int = SPRE
     return chosen.groupBy("lang", "source").agg(*fences)
 
 
-def judge(docs: DataFrame, name: str = "quality-docs") -> DataFrame:
-    """``row`` (a struct of all columns of ``docs``), ``q`` (counts and
-    measures) and ``kept``.
+def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """``row`` (a struct of the columns ``carry`` of ``docs``, all unless
+    given), ``q`` (counts and measures) and ``kept``.
 
     ``docs`` needs ``text``, ``lang`` and ``source``; other columns, whatever
     their names, are carried along in ``row``. A null text counts as empty and
@@ -156,7 +156,7 @@ def judge(docs: DataFrame, name: str = "quality-docs") -> DataFrame:
     sketches read only their numbers, and the thresholds (one row per language
     and source) are joined back to them.
     """
-    measured = written(with_counts(docs), name)
+    measured = written(with_counts(docs, carry or docs.columns), "quality-docs")
     fences = thresholds(sketch(measured)).withColumnsRenamed({"lang": "lang_", "source": "source_"})
     met = measured.join(fences, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")), "left")
     inside = ~F.col("q.base_failed")

@@ -43,9 +43,7 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Only what the rules read is carried along: the result needs no texts.
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    judged = judge(docs)
+    judged = judge(table(spark, sf_dir, "documents"), carry=["doc_id"])  # the result needs no texts
     return judged.select("row.doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines", "q.n_repeat_words", "q.base_failed", "kept")
 
 
