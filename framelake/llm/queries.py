@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.llm import oracles
+from framelake.llm.chat import formatted_digests
 from framelake.llm.common import table
 from framelake.llm.decontaminate import mark
 from framelake.llm.mixing import mix_plan
@@ -18,6 +19,7 @@ from framelake.llm.token_codes import token_index
 from framelake.llm.url_filter import judge_urls, rule_table
 
 END_ID = 2
+PROBE = "</s>[INST] ok [/INST]"  # a conversation that says control strings
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
@@ -33,6 +35,15 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_span_list("base"), 256).alias("base_sha256"), _span_list("spans").alias("spans"))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = F.array(*[F.struct(F.lit(-1), F.lit(turn), F.lit(role), F.lit(PROBE)) for turn, role in enumerate(("user", "assistant"))])
+    probe = spark.range(1).select(F.inline(turns.cast(f"array<{given.schema.simpleString()}>")))
+    return formatted_digests(given.unionByName(probe), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
 
@@ -76,6 +87,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op3_chat_format": op3_chat_format,
     "op4_url_filter": op4_url_filter,
     "op5_token_codes": op5_token_codes,
     "op6_decontaminate": op6_decontaminate,
