@@ -16,6 +16,7 @@ from framelake.llm.quality import judge
 from framelake.llm.secrets import KINDS, METHOD_KIND, find_secrets
 from framelake.llm.simhash_dedup import near_duplicates
 from framelake.llm.token_codes import token_index
+from framelake.llm.toxicity import score_toxicity
 from framelake.llm.url_filter import judge_urls, rule_table
 
 END_ID = 2
@@ -48,6 +49,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_token_codes": op5_token_codes,
     "op6_decontaminate": op6_decontaminate,
+    "op7_toxicity": op7_toxicity,
     "op8_source_mix": op8_source_mix,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
