@@ -11,6 +11,7 @@ from framelake.llm import oracles
 from framelake.llm.chat import formatted_digests
 from framelake.llm.common import table
 from framelake.llm.decontaminate import mark
+from framelake.llm.line_dedup import duplicate_lines
 from framelake.llm.mixing import mix_plan
 from framelake.llm.quality import judge
 from framelake.llm.secrets import KINDS, METHOD_KIND, find_secrets
@@ -36,6 +37,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_span_list("base"), 256).alias("base_sha256"), _span_list("spans").alias("spans"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = duplicate_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.array_join("dropped", ",").alias("dropped"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -92,6 +98,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_line_dedup": op2_line_dedup,
     "op3_chat_format": op3_chat_format,
     "op4_url_filter": op4_url_filter,
     "op5_token_codes": op5_token_codes,

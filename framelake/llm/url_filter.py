@@ -8,10 +8,7 @@ form that could list it: each host suffix of as many labels, and each path
 prefix of as many characters, as some entry has. Those numbers are read off
 the list (one integer per distinct label count or prefix length).
 
-The filter is a table of 512-bit blocks, eight 64-bit words, one bit set in
-each word per entry. It has at most ``BLOCKS`` rows of 72 bytes, 2.4 MB however
-long the list is, so broadcasting it is safe; a longer list only raises the
-share of false positives that the join removes.
+The filter is in ``bloom``; its broadcast has a fixed bound.
 """
 
 from __future__ import annotations
@@ -22,8 +19,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCKS = 1 << 15
-WORDS = 8
+from framelake.llm.bloom import bloom_blocks, possible_hits
+
 ALLOW, BLOCK = "allow", "block"
 
 
@@ -50,34 +47,6 @@ def rule_table(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> Da
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def _block(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BLOCKS)).cast("int")
-
-
-def _masks(key: Column) -> list[Column]:
-    """The bit each word of the key's block must have set: six bits of a second hash per word."""
-    h = F.xxhash64(key, F.lit("bits"))
-    one = F.lit(1).cast("long")
-    bits = [F.shiftrightunsigned(h, 6 * word).bitwiseAND(F.lit(63)).cast("int") for word in range(WORDS)]
-    return [F.call_function("shiftleft", one, bit) for bit in bits]
-
-
-def bloom_blocks(keys: DataFrame) -> DataFrame:
-    """The filter of column ``key``: ``block`` and its words ``w0`` to ``w7``."""
-    masked = keys.select(_block(F.col("key")).alias("block"), *[m.alias(f"m{i}") for i, m in enumerate(_masks(F.col("key")))])
-    return masked.groupBy("block").agg(*[F.bit_or(f"m{i}").alias(f"w{i}") for i in range(WORDS)])
-
-
-def possible_hits(candidates: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Rows of ``candidates`` whose ``key`` the filter may hold: all that it
-    does, and a few that it does not."""
-    probe = candidates.withColumn("block", _block(F.col("key"))).join(F.broadcast(blocks), "block")
-    hit = F.lit(True)
-    for i, mask in enumerate(_masks(F.col("key"))):
-        hit = hit & (F.col(f"w{i}").bitwiseAND(mask) == mask)
-    return probe.where(hit).select(*candidates.columns)
-
-
 def judge_urls(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFrame:
     """``page_id, host, path, rule, verdict`` for each row of ``pages``
     (columns ``page_id`` and ``url``; others are not read).
