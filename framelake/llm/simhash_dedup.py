@@ -54,17 +54,17 @@ def fingerprints(texts: list[bytes], size: int = SHINGLE) -> np.ndarray:
 
     Bits are counted eight at a time: byte lanes of a word add up to 255
     hashes without overflow, so hashes are summed in runs of 255."""
-    hashes: list[int] = []
+    hashes: list[np.ndarray] = []
     counts = np.zeros(len(texts), dtype=np.int64)
     for at, text in enumerate(texts):
         own = shingles(text, size)
         counts[at] = len(own)
-        hashes.extend(map(xxhash.xxh64_intdigest, own, itertools.repeat(SEED)))
+        hashes.append(np.fromiter(map(xxhash.xxh64_intdigest, own, itertools.repeat(SEED)), np.uint64, len(own)))
     out = np.zeros(len(texts), dtype=np.uint64)
     full = np.flatnonzero(counts)
     if not len(full):
         return out
-    values = np.array(hashes, dtype=np.uint64)
+    values = np.concatenate(hashes)
     starts = np.concatenate(([0], np.cumsum(counts[full])[:-1]))
     runs = -(-counts[full] // 255)
     run_starts = np.repeat(starts, runs) + 255 * (np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs))
