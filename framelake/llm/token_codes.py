@@ -28,6 +28,7 @@ documents, about ``SEGMENT_TOKENS`` tokens or one longer document.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -48,8 +49,10 @@ MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT_TOKENS = 1 << 20
 CACHE_WORDS = 1 << 20
+MARK = "0"
 
 _HEAD = struct.Struct("<4sIQI4x")
+_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&]*)")
 
 
 def _padded(data: bytes) -> bytes:
@@ -129,31 +132,60 @@ class WordEncoder:
     """Ids of whole texts by a tokenizer that treats white-space separated
     pieces apart, each distinct piece encoded once.
 
-    It holds for a tokenizer whose normaliser and splitter never look across
-    ASCII white space and which drops white space itself; ``word_bpe_49k.json``
-    is one: canonical composition stops at a space, letters are lowered one by
-    one, and its pattern matches no white space. The cache is emptied when it
-    holds ``CACHE_WORDS`` pieces."""
+    It holds for ``word_bpe_49k.json``: canonical composition stops at a space,
+    letters are lowered one by one, and its pattern matches no white space. A
+    piece of Latin letters and closing punctuation is in turn its lower-case
+    letters and its punctuation, each a token sequence of its own; new ones of
+    these go to the merges directly, past the normaliser and the pattern, which
+    would leave them as they are. The cache is emptied when it holds
+    ``CACHE_WORDS`` pieces."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        (self.between,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.cache: dict[bytes, bytes] = {}
         self.cache_words = cache_words
 
+    def _learn(self, pieces: Iterable[bytes]) -> None:
+        """Put the ids of new pieces into the cache."""
+        made, parts = [], set()
+        for piece in pieces:
+            text = piece.decode()
+            simple = _SIMPLE.fullmatch(text)
+            if simple is None:
+                self.cache[piece] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+                continue
+            letters, closing = simple[1].lower().encode(), simple[2].encode()
+            made.append((piece, letters, closing))
+            parts.add(letters)
+            if closing:
+                parts.add(closing)
+        new = list(parts.difference(self.cache))
+        if new:
+            # All in one call, a lone digit between them, whose id shows where one ends.
+            text = f" {MARK} ".join(p.decode() for p in new)
+            ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            data, at = ids.tobytes(), 0
+            for part, end in zip(new, [*(4 * np.flatnonzero(ids == self.between)).tolist(), len(data)], strict=True):
+                self.cache[part] = data[at:end]
+                at = end + 4
+        for piece, letters, closing in made:
+            self.cache[piece] = self.cache[letters] + self.cache[closing] if closing else self.cache[letters]
+
     def encode(self, text: bytes) -> bytes:
         """The ids of the UTF-8 ``text``, four little-endian bytes each."""
         pieces = text.split()
-        cache = self.cache
-        new = list({p for p in pieces if p not in cache})
+        new = set(pieces).difference(self.cache)
         if new:
-            if len(cache) > self.cache_words:
-                cache.clear()
-                new = list(set(pieces))
-            for piece, found in zip(new, self.tokenizer.encode_batch([p.decode() for p in new], add_special_tokens=False), strict=True):
-                cache[piece] = np.array(found.ids, dtype="<u4").tobytes()
-        return b"".join(map(cache.__getitem__, pieces))
+            if len(self.cache) > self.cache_words:
+                self.cache.clear()
+                new = set(pieces)
+            self._learn(new)
+        return b"".join(map(self.cache.__getitem__, pieces))
 
 
 _encoders: dict[str, WordEncoder] = {}  # of a Python worker
