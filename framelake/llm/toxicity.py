@@ -1,14 +1,18 @@
 """Toxicity: a linear classifier over character n-grams, each scaled by its
 naive Bayes log-count ratio.
 
+The classifier is fitted on a bounded sample of labelled rows: the
+``FIT_ROWS`` labels outside the held-out fold whose ``doc_id`` has the least
+hash. That many ids at most are broadcast to the documents, so no text is
+shuffled, however many documents and labels there are.
+
 A feature is the presence, somewhere in the lower-cased text, of an n-gram's
-hash bucket (``BUCKETS`` of them, so every table below has that many rows at
-most). The log-count ratios come from the document counts of all training
-rows, summed up in Spark. Buckets whose counts differ between the classes by
-less than ``MIN_Z`` standard errors are noise and left out, which matters for
-long texts that hold nearly every common n-gram. Logistic regression over the
-scaled features is fitted on a bounded sample of training rows: ``FIT_ROWS``
-expected, taken by hash of ``doc_id``, each as its list of remaining buckets.
+hash bucket, of which there are ``BUCKETS``. The log-count ratios come from the
+sample's document counts, summed up in Spark. Buckets whose counts differ
+between the classes by less than ``MIN_Z`` standard errors are noise and left
+out, which matters for long texts that hold nearly every common n-gram; of the
+others the ``MAX_FEATURES`` clearest stay. Ridge logistic regression over the
+scaled features then takes each row as its list of remaining buckets.
 """
 
 from __future__ import annotations
@@ -28,10 +32,10 @@ BITS = 18
 BUCKETS = 1 << BITS
 SMOOTHING = 1.0
 MIN_Z = 5.0
-MAX_FEATURES = 4096
+MAX_FEATURES = 1024
 FIT_ROWS = 20_000
 RIDGE = 1e-3
-ROUNDS = 400
+ROUNDS = 300
 THRESHOLD = 0.3
 HELD_OUT = 2  # remainder, modulo 4, of the CRC-32 of doc_id as text
 
@@ -100,33 +104,28 @@ def log_count_ratios(counts: DataFrame, toxic: int, clean: int) -> tuple[np.ndar
     return np.array([b for b, _ in rows], dtype=np.int64), np.array([r for _, r in rows])
 
 
-def feature_lists(train: DataFrame, buckets: np.ndarray, rows: int) -> list[tuple[int, list[int]]]:
-    """``(toxic, features)`` of about ``rows`` training rows, taken by hash of
-    ``doc_id``, features being positions in ``buckets``."""
-    total = train.count()
-    steps = 1 << 20
-    sample = train.where(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(steps)) < F.lit(int(min(1.0, rows / max(total, 1)) * steps)))
+def feature_lists(train: DataFrame, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels of the training rows, lengths of their feature lists, and the
+    features one list after another, as positions in ``buckets``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         presence, wanted = Presence(), np.zeros(BUCKETS, dtype=bool)
         wanted[buckets] = True
         for batch in batches:
-            found = [np.searchsorted(buckets, presence.of(t or "", wanted)).astype(np.int32) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["toxic", "features"])
+            found = [np.searchsorted(buckets, presence.of(t or "", wanted)).astype("<i2").tobytes() for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.binary())], ["toxic", "features"])
 
-    found = python_ready(sample).select("text", "toxic").mapInArrow(run, "toxic int, features array<int>").collect()
-    return sorted((r["toxic"], list(r["features"])) for r in found)
+    found = python_ready(train).select("text", "toxic").mapInArrow(run, "toxic int, features binary").toArrow().sort_by([("toxic", "ascending"), ("features", "ascending")])
+    lists = found.column("features").to_pylist()
+    return found.column("toxic").to_numpy(), np.array([len(f) // 2 for f in lists], dtype=np.int64), np.frombuffer(b"".join(lists), "<i2").astype(np.int64)
 
 
-def fit(examples: list[tuple[int, list[int]]], ratios: np.ndarray) -> tuple[np.ndarray, float]:
+def fit(labels: np.ndarray, lengths: np.ndarray, columns: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
     """Ridge logistic regression over the scaled presence features, by
-    accelerated gradient steps: weight of each feature (scale included), bias."""
-    labels = np.array([t for t, _ in examples], dtype=float)
-    lengths = np.array([len(f) for _, f in examples])
-    rows = np.repeat(np.arange(len(examples)), lengths)
-    columns = np.fromiter((c for _, f in examples for c in f), dtype=np.int64, count=int(lengths.sum()))
+    adaptive gradient steps: weight of each feature (scale included), bias."""
+    n, k = len(labels), len(ratios)
+    rows = np.repeat(np.arange(n), lengths)
     values = ratios[columns]
-    n, k = len(examples), len(ratios)
     weights, bias = np.zeros(k), float(np.log((labels.sum() + 1) / (n - labels.sum() + 1)))
     first, second, first_b, second_b = np.zeros(k), np.zeros(k), 0.0, 0.0
     for step in range(1, ROUNDS + 1):
@@ -142,22 +141,26 @@ def fit(examples: list[tuple[int, list[int]]], ratios: np.ndarray) -> tuple[np.n
     return weights * ratios, bias
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
-    """Buckets, their weights and the bias, from the rows of ``docs`` that
-    ``labels`` (``doc_id, toxic``) marks and that are not held out. Rows with a
-    null label do not count; of several labels of a document the highest does.
-    Without rows of both classes no bucket is used and the bias is the smoothed
-    log-odds of the labels."""
+def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
+    """``text, toxic`` of the labelled rows to fit on. Null labels do not count;
+    of several labels of a document the highest does."""
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id")))
     marked = marked.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    rows = written(docs.select("doc_id", "text").join(marked, "doc_id"), "toxicity-train")
+    sample = marked.orderBy(F.xxhash64(F.lit("fit"), "doc_id"), "doc_id").limit(fit_rows)
+    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
+
+
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
+    """Buckets, their weights and the bias. Without rows of both classes no
+    bucket is used and the bias is the smoothed log-odds of the labels."""
+    rows = written(training_rows(docs, labels, fit_rows), "toxicity-train")
     sums = rows.agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")).first()
     toxic, clean = sums["toxic"] or 0, sums["n"] - (sums["toxic"] or 0)
     nothing = np.zeros(0)
     if not toxic or not clean:
         return nothing.astype(np.int64), nothing, float(np.log((toxic + 1) / (clean + 1)))
     buckets, ratios = log_count_ratios(document_counts(rows), toxic, clean)
-    weights, bias = fit(feature_lists(rows, buckets, fit_rows), ratios)
+    weights, bias = fit(*feature_lists(rows, buckets), ratios)
     return buckets, weights, bias
 
 
