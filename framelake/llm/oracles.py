@@ -5,6 +5,20 @@ from __future__ import annotations
 _GAPS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORD = r"[^\x20\x09-\x0D]+"
 
+_CONTROL = r"<\|turn\|>|<\|says\|>|<\|done\|>|<\|endoftext\|>|<\|startoftext\|>|<\|im_start\|>|<\|im_end\|>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<s>|</s>"
+# Escaping adds a character for each backslash and each control string; the three marks of a turn have 24.
+_ESCAPED = rf"length({{0}}) * 2 - length(replace({{0}}, chr(92), '')) + len(regexp_extract_all({{0}}, '{_CONTROL}'))"
+
+OP3 = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+  coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+  sum(24 + {_ESCAPED.format("role")} + {_ESCAPED.format("text")}) AS chars FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(chars AS BIGINT) AS formatted_chars FROM g
+"""
+
 OP4 = """
 WITH rules(host, path, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
   ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),

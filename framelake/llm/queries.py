@@ -108,4 +108,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
 }
-ORACLE_SQL: dict[str, str] = {"op4_url_filter": oracles.OP4, "op6_decontaminate": oracles.OP6, "op8_source_mix": oracles.OP8, "op9_quality_rules": oracles.OP9}
+ORACLE_SQL: dict[str, str] = {"op3_chat_format": oracles.OP3, "op4_url_filter": oracles.OP4, "op6_decontaminate": oracles.OP6, "op8_source_mix": oracles.OP8, "op9_quality_rules": oracles.OP9}
