@@ -52,7 +52,10 @@ CACHE_WORDS = 1 << 20
 MARK = "0"
 
 _HEAD = struct.Struct("<4sIQI4x")
-_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&]*)")
+# Latin letters, then closing punctuation: in UTF-8 without capitals beyond
+# A-Z (C3 9F is ß, C3 A0 to C3 BF are à to ÿ, C3 B7 is not a letter), and with.
+_SIMPLE = re.compile(rb"((?:[A-Za-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([.,;:!?#*$%&]*)")
+_SIMPLE_UPPER = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&]*)")
 
 
 def _padded(data: bytes) -> bytes:
@@ -154,16 +157,22 @@ class WordEncoder:
         """Put the ids of new pieces into the cache."""
         made, parts = [], set()
         for piece in pieces:
-            text = piece.decode()
-            simple = _SIMPLE.fullmatch(text)
-            if simple is None:
-                self.cache[piece] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-                continue
-            letters, closing = simple[1].lower().encode(), simple[2].encode()
-            made.append((piece, letters, closing))
+            simple = _SIMPLE.fullmatch(piece)
+            if simple is not None:
+                letters, closing = simple[1].lower(), simple[2]  # of bytes, lowers A-Z
+            else:
+                text = piece.decode()
+                simple = _SIMPLE_UPPER.fullmatch(text)
+                if simple is None:
+                    self.cache[piece] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+                    continue
+                letters, closing = simple[1].lower().encode(), simple[2].encode()
             parts.add(letters)
             if closing:
                 parts.add(closing)
+                made.append((piece, letters, closing))
+            elif letters != piece:
+                made.append((piece, letters, b""))
         new = list(parts.difference(self.cache))
         if new:
             # All in one call, a lone digit between them, whose id shows where one ends.
@@ -253,12 +262,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, s
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Segments of a token file, ``first`` being the number of tokens in the
-    file before the segment. Only the totals of its parts, one per writing
-    task, go through the unpartitioned window."""
+    file before the segment. Only the totals of its parts, one row per writing
+    task, go through the unpartitioned window and are broadcast."""
     segments = spark.read.parquet(path)
     parts = segments.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return segments.join(parts.select("part", before.alias("before")), "part").withColumn("first", F.col("before") + F.col("start")).drop("before")
+    return segments.join(F.broadcast(parts.select("part", before.alias("before"))), "part").withColumn("first", F.col("before") + F.col("start")).drop("before")
 
 
 def document_checks(segments: DataFrame) -> DataFrame:
