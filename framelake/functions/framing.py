@@ -7,11 +7,11 @@ A framed record value is::
     bytes 5..   zig-zag varint count n, then n varint message indexes
     rest        the protobuf message
 
-Each operation is a temporary SQL function built from built-in expressions.
-Spark inlines SQL functions into the plan, so stripping, classifying and
-reading schema ids run as generated JVM code with no Python worker, and the
-same logic is callable from SQL (``strip_confluent_protobuf(value)``) and from
-the DataFrame API (``strip_framing(col)``).
+Each operation is built from built-in expressions, so stripping, classifying
+and reading schema ids run in the JVM with no Python worker: as column
+functions (``strip_framing(col)``), which need nothing registered, and as
+temporary SQL functions (``strip_confluent_protobuf(value)``), which Spark
+inlines into the plan.
 
 The common frame (count byte ``00``) takes a ``substring`` fast path. Other
 index arrays are walked over a Latin-1 view of the bytes (one char per byte):
@@ -22,7 +22,6 @@ not accept. This is exact for any n.
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import Column, SparkSession
@@ -57,16 +56,16 @@ INVALID_VARINT_RE = (
 )
 
 
-# --- SQL functions -------------------------------------------------------------
+# --- The byte walk -------------------------------------------------------------
 #
-# ``start(value)`` finds where the message begins. The fast path (count byte
-# 0) is a few byte compares. The slow path binds each intermediate value once
-# with ``element_at(transform(array(x), v -> ...), 1)`` (a let), which keeps
-# it out of the generated code of the projection (a lambda is evaluated as an
-# opaque expression) and keeps plans small when the optimizer substitutes the
-# expression into a pushed-down filter: every bound value appears once. The
-# same logic without lets generated over 70 KB of Java for 2 KB of SQL, too
-# large for the JIT, and ran 2-3x slower.
+# The fast path (count byte 0) is a few byte compares. The slow path is a chain
+# of steps, ``transform(transform(array(value), v -> ...), s -> ...)``, each of
+# which binds what it computed in a struct for the next. A lambda is evaluated
+# as an opaque expression, which keeps the walk out of the generated code of the
+# projection (without steps it was over 70 KB of Java for 2 KB of SQL, too large
+# for the JIT) and keeps plans small when the optimizer copies the expression.
+# The steps follow each other rather than nest: a Python UDF over a lambda that
+# uses a variable of an outer lambda is not extracted by the planner.
 #
 # The index walk reads a window of the bytes after the count (at most 6 * n
 # bytes when the count is one byte: no index varint is longer than six bytes),
@@ -78,45 +77,44 @@ _P = "framelake_frame_"  # prefix of the library's internal SQL functions
 _COUNT_POS = SCHEMA_ID_BYTES + 2  # 1-based position of the count varint
 
 
-def _let(value: str, name: str, body: str) -> str:
-    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
-
-
 def _varint_value_sql(chars: str) -> str:
     terms = [f"shiftleft(CAST(ascii(substring({chars}, {i + 1}, 1)) AS BIGINT) & 127, {7 * i})" for i in range(6)]
     return " + ".join(terms)
 
 
-def _walk_sql(pos: str, n: str, window: str) -> str:
-    """Position after ``n`` index varints that start at byte ``pos``, reading
-    them from the Latin-1 ``window`` (bound as ``w``), or NULL."""
-    found = f"CASE WHEN substring(w, 1, i) RLIKE r'{INVALID_VARINT_RE}' THEN CAST(NULL AS INT) ELSE {pos} + i END"
-    by_pieces = (
-        f"CASE WHEN size(p) < {n} + 1 THEN CAST(NULL AS INT)"
-        f" ELSE {_let('length(w) - length(element_at(p, -1))', 'i', found)} END"
-    )
-    return _let(window, "w", _let(f"split(w, r'{AFTER_VARINT_RE}', {n} + 1)", "p", by_pieces))
+def _latin1(data: str) -> str:
+    return f"decode({data}, 'ISO-8859-1')"
+
+
+# Variable and body of each step, from a value whose count byte is not 0 to the
+# position of its message, or NULL.
+_SLOW_STEPS: list[tuple[str, str]] = [
+    # The count byte; below 128 it is the whole count.
+    ("v", f"struct(v AS v, ascii({_latin1(f'substring(v, {_COUNT_POS}, 1)')}) AS b)"),
+    ("s", f"struct(s.v AS v, s.b AS b, CASE WHEN s.b >= 128 THEN regexp_extract({_latin1(f'substring(s.v, {_COUNT_POS}, 6)')}, r'^({VARINT_RE})', 1) END AS c)"),
+    ("s", f"struct(s.v AS v, s.b AS b, s.c AS c, CASE WHEN s.b < 128 THEN CAST(s.b AS BIGINT) WHEN length(s.c) > 0 THEN {_varint_value_sql('s.c')} END AS z)"),
+    # Number of indexes (odd means negative) and where they start.
+    (
+        "s",
+        "struct(s.v AS v, s.b AS b, CASE WHEN s.z & 1 = 0 THEN CAST(shiftright(s.z, 1) AS INT) END AS n,"
+        f" CASE WHEN s.b < 128 THEN {_COUNT_POS + 1} ELSE {_COUNT_POS} + length(s.c) END AS at)",
+    ),
+    (
+        "s",
+        "struct(s.n AS n, s.at AS at, CASE WHEN s.n IS NULL THEN NULL WHEN s.b < 128"
+        f" THEN {_latin1('substring(s.v, s.at, 6 * s.n)')} ELSE {_latin1('substring(s.v, s.at)')} END AS w)",
+    ),
+    ("s", f"struct(s.n AS n, s.at AS at, s.w AS w, split(s.w, r'{AFTER_VARINT_RE}', s.n + 1) AS p)"),
+    ("s", "struct(s.at AS at, s.w AS w, CASE WHEN size(s.p) >= s.n + 1 THEN length(s.w) - length(element_at(s.p, -1)) END AS i)"),
+    ("s", f"CASE WHEN s.i IS NULL OR substring(s.w, 1, s.i) RLIKE r'{INVALID_VARINT_RE}' THEN CAST(NULL AS INT) ELSE s.at + s.i END"),
+]
 
 
 def _slow_start_sql() -> str:
-    """Message start for a frame whose count byte ``b`` is not 0."""
-    n1 = "shiftright(b, 1)"
-    one_byte_count = (  # b in 1..127: n = b / 2; odd means a negative count
-        f"CASE WHEN b & 1 = 1 THEN CAST(NULL AS INT) ELSE "
-        + _walk_sql(str(_COUNT_POS + 1), n1, f"decode(substring(value, {_COUNT_POS + 1}, 6 * {n1}), 'ISO-8859-1')")
-        + " END"
-    )
-    n = "CAST(shiftright(z, 1) AS INT)"
-    by_zigzag = (
-        "CASE WHEN z & 1 = 1 THEN CAST(NULL AS INT) ELSE "
-        + _walk_sql(f"({_COUNT_POS} + length(c))", n, f"decode(substring(value, {_COUNT_POS} + length(c)), 'ISO-8859-1')")
-        + " END"
-    )
-    by_count = f"CASE WHEN length(c) = 0 THEN CAST(NULL AS INT) ELSE {_let(_varint_value_sql('c'), 'z', by_zigzag)} END"
-    count = f"regexp_extract(decode(substring(value, {_COUNT_POS}, 6), 'ISO-8859-1'), r'^({VARINT_RE})', 1)"
-    multi_byte_count = _let(count, "c", by_count)
-    byte = f"ascii(decode(substring(value, {_COUNT_POS}, 1), 'ISO-8859-1'))"
-    return _let(byte, "b", f"CASE WHEN b < 128 THEN {one_byte_count} ELSE {multi_byte_count} END")
+    walk = "array(value)"
+    for name, body in _SLOW_STEPS:
+        walk = f"transform({walk}, {name} -> {body})"
+    return f"element_at({walk}, 1)"
 
 
 def _start_sql() -> str:
@@ -167,20 +165,6 @@ _DEFINITIONS: list[tuple[str, str, str, str]] = [
 ]
 _RETURN_TYPES = {"strip": "BINARY", "outcome": "STRING", "schema_id": "BIGINT"}
 DEFAULT_STRIP_FUNCTION = "strip_confluent_protobuf"
-# Functions registered per live session (a new session starts empty).
-_registered: "weakref.WeakKeyDictionary[SparkSession, set[str]]" = weakref.WeakKeyDictionary()
-
-
-def _create(spark: SparkSession, name: str, params: str, rtype: str, body: str) -> None:
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {rtype} RETURN {body}")
-
-
-def _ensure_internal(spark: SparkSession) -> None:
-    done = _registered.setdefault(spark, set())
-    if _P + "start" not in done:
-        for name, params, rtype, body in _DEFINITIONS:
-            _create(spark, _P + name, params, rtype, body)
-        done.add(_P + "start")
 
 
 def register_sql_functions(
@@ -191,59 +175,97 @@ def register_sql_functions(
 ) -> dict[str, str]:
     """Register ``strip_confluent_protobuf(value)``, ``frame_outcome(value)``
     and ``frame_schema_id(value)`` (names configurable) as temporary SQL
-    functions for SQL users. Returns kind -> name."""
-    _ensure_internal(spark)
-    done = _registered[spark]
+    functions of this session, for SQL users; again is harmless. Returns
+    kind -> name."""
+
+    def create(name: str, params: str, rtype: str, body: str) -> None:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {rtype} RETURN {body}")
+
+    for name, params, rtype, body in _DEFINITIONS:
+        create(_P + name, params, rtype, body)
     names = {"strip": strip_name, "outcome": outcome_name, "schema_id": schema_id_name}
     for kind, name in names.items():
-        if name not in done:
-            _create(spark, name, "value BINARY", _RETURN_TYPES[kind], f"{_P}{kind}_at(value, {_P}start(value))")
-            done.add(name)
+        create(name, "value BINARY", _RETURN_TYPES[kind], f"{_P}{kind}_at(value, {_P}start(value))")
     return names
 
 
-def _call(kind: str, *args: Column | str) -> Column:
-    _ensure_internal(SparkSession.active())
-    cols = [F.col(a) if isinstance(a, str) else a for a in args]
-    return F.call_function(_P + kind, *cols)
+# --- Column functions ------------------------------------------------------------
+#
+# The same rules as expressions over a column. Nothing is looked up in a
+# session, so they work on any DataFrame: of another session, or inside
+# ``foreachBatch``. The fast path stays in generated code; the slow path is the
+# steps above, over the column.
 
 
-def strip_framing(value: Column | str) -> Column:
-    """Normalise a record value to plain protobuf bytes: NULL stays NULL, an
-    empty value gives NULL, a value whose first byte is not 0 is plain protobuf
-    and is returned unchanged, a frame gives the bytes after its index array
-    (possibly empty), a malformed frame gives NULL."""
-    return _call("strip_at", value, message_start(value))
+def _column(value: Column | str) -> Column:
+    return F.col(value) if isinstance(value, str) else value
 
 
-def frame_outcome(value: Column | str) -> Column:
-    """``null_value``, ``empty``, ``plain``, ``framed``, ``too_short`` or
-    ``bad_index``; only ``plain`` and ``framed`` carry a message."""
-    return _call("outcome_at", value, message_start(value))
+def _byte(value: Column, position: int) -> Column:
+    return F.substring(value, position, 1)
 
 
-def schema_id(value: Column | str) -> Column:
-    """Schema id of a well-formed frame, NULL for anything else."""
-    return _call("schema_id_at", value, message_start(value))
+_ZERO = bytearray([MAGIC_BYTE])
 
 
 def message_start(value: Column | str) -> Column:
     """1-based position of the message inside the value (1 for plain
     protobuf), NULL when there is none. Compute it once and derive the rest
     with the ``*_at`` functions when several are needed."""
-    return _call("start", value)
+    v = _column(value)
+    none = F.lit(None).cast("int")
+    walk = F.array(v)
+    for name, body in _SLOW_STEPS:
+        walk = F.call_function("transform", walk, F.expr(f"{name} -> {body}"))
+    slow = F.element_at(walk, 1)
+    return (
+        F.when(v.isNull() | (F.length(v) == 0), none)
+        .when(_byte(v, 1) != F.lit(_ZERO), F.lit(1))
+        .when(F.length(v) < MIN_FRAME_SIZE, none)
+        .when(_byte(v, _COUNT_POS) == F.lit(_ZERO), F.lit(MIN_FRAME_SIZE + 1))
+        .otherwise(slow)
+    )
 
 
 def strip_at(value: Column | str, start: Column | str) -> Column:
-    return _call("strip_at", value, start)
+    v = _column(value)
+    return F.substring(v, _column(start), F.length(v))
 
 
 def outcome_at(value: Column | str, start: Column | str) -> Column:
-    return _call("outcome_at", value, start)
+    v = _column(value)
+    return (
+        F.when(v.isNull(), F.lit(OUTCOME_NULL))
+        .when(F.length(v) == 0, F.lit(OUTCOME_EMPTY))
+        .when(_byte(v, 1) != F.lit(_ZERO), F.lit(OUTCOME_PLAIN))
+        .when(F.length(v) < MIN_FRAME_SIZE, F.lit(OUTCOME_TOO_SHORT))
+        .when(_column(start).isNull(), F.lit(OUTCOME_BAD_INDEX))
+        .otherwise(F.lit(OUTCOME_FRAMED))
+    )
 
 
 def schema_id_at(value: Column | str, start: Column | str) -> Column:
-    return _call("schema_id_at", value, start)
+    unsigned = F.conv(F.hex(F.substring(_column(value), 2, SCHEMA_ID_BYTES)), 16, 10).cast("long")
+    return F.when(_column(start) > 1, F.shiftright(F.shiftleft(unsigned, 32), 32))
+
+
+def strip_framing(value: Column | str) -> Column:
+    """Normalise a record value to plain protobuf bytes: NULL stays NULL, an
+    empty value gives NULL, a value whose first byte is not 0 is plain protobuf
+    and is returned unchanged, a frame gives the bytes after its index array
+    (possibly empty), a malformed frame gives NULL."""
+    return strip_at(value, message_start(value))
+
+
+def frame_outcome(value: Column | str) -> Column:
+    """``null_value``, ``empty``, ``plain``, ``framed``, ``too_short`` or
+    ``bad_index``; only ``plain`` and ``framed`` carry a message."""
+    return outcome_at(value, message_start(value))
+
+
+def schema_id(value: Column | str) -> Column:
+    """Schema id of a well-formed frame, NULL for anything else."""
+    return schema_id_at(value, message_start(value))
 
 
 # --- Encoding ----------------------------------------------------------------
