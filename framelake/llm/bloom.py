@@ -1,9 +1,10 @@
 """A blocked Bloom filter as a DataFrame.
 
 The filter is a table of 512-bit blocks, eight 64-bit words, one bit set in
-each word per key. It has at most ``BLOCKS`` rows of 72 bytes, 2.4 MB however
-many keys there are, so broadcasting it is safe; more keys only raise the share
-of false positives, which the caller's exact join removes.
+each word per key. It has a fixed number of blocks, of 72 bytes each, however
+many keys there are (2.4 MB for ``BLOCKS``), so broadcasting it is safe; more
+keys only raise the share of false positives, which the caller's exact join
+removes.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ BLOCKS = 1 << 15
 WORDS = 8
 
 
-def _block(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BLOCKS)).cast("int")
+def _block(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
 
 
 def _masks(key: Column) -> list[Column]:
@@ -27,16 +28,16 @@ def _masks(key: Column) -> list[Column]:
     return [F.call_function("shiftleft", one, bit) for bit in bits]
 
 
-def bloom_blocks(keys: DataFrame) -> DataFrame:
+def bloom_blocks(keys: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     """The filter of column ``key``: ``block`` and its words ``w0`` to ``w7``."""
-    masked = keys.select(_block(F.col("key")).alias("block"), *[m.alias(f"m{i}") for i, m in enumerate(_masks(F.col("key")))])
+    masked = keys.select(_block(F.col("key"), blocks).alias("block"), *[m.alias(f"m{i}") for i, m in enumerate(_masks(F.col("key")))])
     return masked.groupBy("block").agg(*[F.bit_or(f"m{i}").alias(f"w{i}") for i in range(WORDS)])
 
 
-def possible_hits(candidates: DataFrame, blocks: DataFrame) -> DataFrame:
+def possible_hits(candidates: DataFrame, bloom: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     """Rows of ``candidates`` whose ``key`` the filter may hold: all that it
     does, and a few that it does not."""
-    probe = candidates.withColumn("block", _block(F.col("key"))).join(F.broadcast(blocks), "block")
+    probe = candidates.withColumn("block", _block(F.col("key"), blocks)).join(F.broadcast(bloom), "block")
     hit = F.lit(True)
     for i, mask in enumerate(_masks(F.col("key"))):
         hit = hit & (F.col(f"w{i}").bitwiseAND(mask) == mask)
