@@ -269,8 +269,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_c
     its words goes. Untouched documents keep their text to the byte. A column
     ``n_chars``, if there is one, is set to the new length of a changed text.
     Nulls, repeated rows and empty tables as in ``mark``."""
+    others = [c for c in docs.columns if c != "text"]
     state = python_ready(docs).select(
-        F.struct("*").alias("row"), "text", F.lit(None).cast("long").alias("words"), F.lit(0).cast("long").alias("removed"), F.lit(0).cast("long").alias("lately")
+        F.struct(*[f"`{c}`" for c in others]).alias("row"), "text", F.lit(None).cast("long").alias("words"), F.lit(0).cast("long").alias("removed"), F.lit(0).cast("long").alias("lately")
     )
     blocks = list(_blocks(items, block_bytes))
     while True:
@@ -283,9 +284,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_c
             break
         state = state.withColumn("lately", F.lit(0).cast("long"))
     state = state.where(F.col("removed") <= F.lit(max_coverage) * F.col("words"))
-    changed = {"text": F.col("text")} | {c: F.length("text").cast(docs.schema[c].dataType) for c in docs.columns if c == "n_chars"}
-    row = lambda c: F.col("row").getField(c)
-    return state.select(*[(F.when(F.col("removed") > 0, changed[c]).otherwise(row(c)) if c in changed else row(c)).alias(c) for c in docs.columns])
+    length = F.when(F.col("removed") > 0, F.length("text"))
+    own = {c: F.col("row").getField(c) for c in others} | {"text": F.col("text")}
+    if "n_chars" in own:
+        own["n_chars"] = F.coalesce(length.cast(docs.schema["n_chars"].dataType), own["n_chars"])
+    return state.select(*[own[c].alias(c) for c in docs.columns])
 
 
 def _cutter(block: Block, window: int):

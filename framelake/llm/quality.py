@@ -23,6 +23,7 @@ MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 MIN_DOCS = 100
 SPREAD = 3
+BROADCAST_GROUPS = 20_000
 # Measure -> least distance of the upper fence from the upper quartile, and of
 # the lower fence from the lower one (null: no lower fence).
 SLACK = {
@@ -154,10 +155,13 @@ def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     group none of whose documents passes the base rules has no thresholds and
     keeps nothing. Counted once: the counted documents are written, the
     sketches read only their numbers, and the thresholds (one row per language
-    and source) are joined back to them.
+    and source) are joined back to them: by broadcast if there are
+    ``BROADCAST_GROUPS`` of them at most (100 bytes each), else by a join that
+    adaptive execution splits where a group is hot.
     """
     measured = written(with_counts(docs, carry or docs.columns), "quality-docs")
-    fences = thresholds(sketch(measured)).withColumnsRenamed({"lang": "lang_", "source": "source_"})
+    fences = written(thresholds(sketch(measured)), "quality-fences").withColumnsRenamed({"lang": "lang_", "source": "source_"})
+    fences = F.broadcast(fences) if fences.count() <= BROADCAST_GROUPS else fences
     met = measured.join(fences, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")), "left")
     inside = ~F.col("q.base_failed")
     for k, (_, below) in SLACK.items():
