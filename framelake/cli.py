@@ -5,7 +5,10 @@ variable names as the jobs this replaces (KAFKA_TOPIC, PROTO_MESSAGE_NAME,
 PRINT_MODE, DUAL_STREAM, ICEBERG_*, CHECKPOINT_LOCATION, ...), plus
 FRAMELAKE_TOPIC_FORMAT / FRAMELAKE_TOPIC_PATH / FRAMELAKE_TABLE_FORMAT /
 FRAMELAKE_TABLE_PATH to run against a parquet topic and table instead of Kafka
-and Iceberg, and FRAMELAKE_AVAILABLE_NOW=1 to process what is there and stop.
+and Iceberg, FRAMELAKE_AVAILABLE_NOW=1 to process what is there and stop, and
+FRAMELAKE_DECODE_MODE, FRAMELAKE_PROTOBUF_IMPL, FRAMELAKE_PACKAGES,
+FRAMELAKE_MAX_OFFSETS_PER_TRIGGER, FRAMELAKE_MIN_PARTITIONS and
+FRAMELAKE_MAX_FILES_PER_TRIGGER for decoding and back-pressure.
 """
 
 from __future__ import annotations
@@ -22,9 +25,13 @@ from framelake.sources.descriptors import load_descriptor_set
 from framelake.streaming.jobs import await_queries, start_ingest, start_inspect
 
 
-def settings_from_env(env=None) -> Settings:
+def settings_from_env(env=None, job: str | None = None) -> Settings:
     e = os.environ if env is None else env
     overrides = {}
+    if job == "inspect":
+        overrides["table_format"] = "parquet"  # it has no table, so needs no catalog
+        if "PROTO_MESSAGE_NAME" not in e:
+            overrides["message_name"] = ""  # its default view is the raw one
     if e.get("FRAMELAKE_TOPIC_FORMAT"):
         overrides["topic_format"] = e["FRAMELAKE_TOPIC_FORMAT"]
     if e.get("FRAMELAKE_TOPIC_PATH"):
@@ -36,6 +43,13 @@ def settings_from_env(env=None) -> Settings:
     return Settings.from_env(e, **overrides)
 
 
+def with_packages(settings: Settings) -> Settings:
+    """The connector packages of the chosen formats, unless some are given or
+    none is needed: parquet topic and table run on Spark alone."""
+    offline = settings.topic_format == "parquet" and settings.table_format == "parquet"
+    return settings if offline or settings.packages else settings.with_connectors()
+
+
 def trigger_from_env(env=None) -> dict | None:
     """``FRAMELAKE_AVAILABLE_NOW=1``: process what is there, then stop."""
     e = os.environ if env is None else env
@@ -53,7 +67,7 @@ def run_ingest(settings: Settings) -> None:
 
 def run_inspect(settings: Settings) -> None:
     """Print the decoded (or raw hex) and/or header views to the console."""
-    spark = build_session(settings.replace(table_format="parquet"), app_name="framelake-inspect")
+    spark = build_session(settings, app_name="framelake-inspect")
     register_sql_functions(spark, strip_name=settings.strip_function_name)
     descriptor = load_descriptor_set(spark, settings.descriptor_path) if settings.message_name else None
     trigger = trigger_from_env()
@@ -80,7 +94,7 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="framelake")
     parser.add_argument("job", choices=sorted(JOBS))
     args = parser.parse_args(argv)
-    JOBS[args.job](settings_from_env())
+    JOBS[args.job](with_packages(settings_from_env(job=args.job)))
     return 0
 
 

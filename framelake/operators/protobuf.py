@@ -14,7 +14,8 @@ default options:
   google.protobuf.Timestamp -> TIMESTAMP, google.protobuf.Duration ->
   INTERVAL DAY TO SECOND;
 * a field that is not present (a proto3 scalar at its zero value, an unset
-  message, an empty repeated or map field) is NULL;
+  message) is NULL, but an absent proto2 field with a default has its default,
+  and an empty repeated or map field is an empty collection;
 * a NULL input gives a NULL struct; bytes that do not parse raise in
   ``FAILFAST`` mode and give a NULL struct in ``PERMISSIVE`` mode.
 """
@@ -209,16 +210,33 @@ def _flat_plan(descriptor):
     """Per-field getters for a message whose fields are all singular
     string/bytes/bool/enum/integer fields, else None. A field without
     presence is absent at its zero value; one with presence asks HasField."""
-    if not all(fd.type in _FLAT_TYPES and not fd.is_repeated for fd in descriptor.fields):
+    if not all(fd.type in _FLAT_TYPES and not fd.is_repeated and not fd.has_default_value for fd in descriptor.fields):
         return None
     return [(i, fd.name, fd.has_presence, fd.default_value, _scalar_reader(fd)) for i, fd in enumerate(descriptor.fields)]
 
 
+@functools.lru_cache(maxsize=None)
+def _always_present(descriptor) -> list:
+    """Fields that have a value even when absent: repeated and map ones, and
+    proto2 ones with a default."""
+    return [fd for fd in descriptor.fields if fd.is_repeated or fd.has_default_value]
+
+
+def _present(msg):
+    """(field, value) of the fields that decode to something other than NULL."""
+    seen = msg.ListFields()
+    extra = _always_present(msg.DESCRIPTOR)
+    if extra:
+        numbers = {fd.number for fd, _ in seen}
+        seen = [*seen, *((fd, getattr(msg, fd.name)) for fd in extra if fd.number not in numbers)]
+    return seen
+
+
 def _message_reader(descriptor):
     def read(msg) -> dict:
         readers = _readers(descriptor)
         out = {}
-        for fd, value in msg.ListFields():
+        for fd, value in _present(msg):
             _, name, reader = readers[fd.number]
             out[name] = reader(value) if reader is not None else value
         return out
@@ -264,7 +282,7 @@ def decode_batch(data: pa.Array, descriptor_set: bytes, message_name: str, mode:
                 if msg.HasField(name) if presence else value != default:
                     column[r] = value if reader is None else reader(value)
         else:
-            for fd, value in msg.ListFields():
+            for fd, value in _present(msg):
                 i, _, reader = readers[fd.number]
                 columns[i][r] = value if reader is None else reader(value)
     arrays = [pa.array(col, type=arrow_type.field(i).type) for i, col in enumerate(columns)]
@@ -370,7 +388,7 @@ def connector_available(spark: SparkSession) -> bool:
             ).schema
             _connector_state["loaded"] = True
         except Exception as exc:  # noqa: BLE001 - the connector reports absence as an error
-            if "PROTOBUF_NOT_LOADED" not in str(exc):
+            if not str(getattr(exc, "getCondition", str)() or "").startswith("PROTOBUF_NOT_LOADED"):
                 raise
             _connector_state["loaded"] = False
     return _connector_state["loaded"]
@@ -385,9 +403,13 @@ def _use_connector(impl: str) -> bool:
 
 
 def from_protobuf(
-    data: Column | str, message_name: str, descriptor_set: bytes, mode: str = FAILFAST, impl: str = "auto"
+    data: Column | str, message_name: str, descriptor_set: bytes, mode: str = FAILFAST, impl: str = "auto", once: bool = False
 ) -> Column:
-    """Decode serialized ``message_name`` messages into a struct column."""
+    """Decode serialized ``message_name`` messages into a struct column.
+
+    Filters on other columns move below the decode, so records they drop are
+    not decoded. With ``once`` they stay above it, and a filter on the decoded
+    struct itself does not make the optimizer copy the decode."""
     if mode.upper() not in (FAILFAST, PERMISSIVE):
         raise ValueError(f"mode must be {FAILFAST} or {PERMISSIVE}, not {mode!r}")
     col = F.col(data) if isinstance(data, str) else data
@@ -403,9 +425,7 @@ def from_protobuf(
     def decode(values: pa.Array) -> pa.Array:
         return decode_batch(values, descriptor_set, message_name, mode, arrow_type)
 
-    # Marked nondeterministic so the optimizer never copies the call into a
-    # pushed-down filter (which would decode every message twice).
-    return decode.asNondeterministic()(col)
+    return (decode.asNondeterministic() if once else decode)(col)
 
 
 def to_protobuf(data: Column | str, message_name: str, descriptor_set: bytes, impl: str = "auto") -> Column:

@@ -24,8 +24,6 @@ from framelake.functions.framing import (
 from framelake.operators.protobuf import PERMISSIVE, from_protobuf
 
 RECORD_ID_COLUMNS = ("topic", "partition", "offset")
-# Registries hold one row per (subject, version); far below this bound.
-MAX_BROADCAST_REGISTRY_ROWS = 1_000_000
 
 
 def classify(records: DataFrame, message_name: str | None = None, descriptor_set: bytes | None = None, impl: str = "auto") -> DataFrame:
@@ -46,7 +44,7 @@ def classify(records: DataFrame, message_name: str | None = None, descriptor_set
     if message_name:
         if descriptor_set is None:
             raise ValueError("decoding needs a descriptor set")
-        msg = from_protobuf("message", message_name, descriptor_set, mode=PERMISSIVE, impl=impl)
+        msg = from_protobuf("message", message_name, descriptor_set, mode=PERMISSIVE, impl=impl, once=True)
         out = out.withColumn("msg", msg).withColumn(
             "outcome",
             F.when(F.col("outcome").isin(*USABLE_OUTCOMES) & F.col("msg").isNull(), F.lit(OUTCOME_DECODE_ERROR)).otherwise(
@@ -96,27 +94,19 @@ def registry_table(spark: SparkSession, entries: Iterable[tuple[int, str, str]])
     return df.withColumn("subject", subject_name(F.col("topic"), F.col("message")))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows;
-    otherwise leave the join strategy to the planner (sort-merge, AQE)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def schema_reconcile(classified: DataFrame, registry: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_REGISTRY_ROWS) -> DataFrame:
+def schema_reconcile(classified: DataFrame, registry: DataFrame) -> DataFrame:
     """DEC-6: per topic and schema id seen in framed records, the record count
-    and the registered subject; ``registered`` is false for ids the registry
-    does not hold for that topic."""
+    and every subject registered for it (one schema id can stand under several
+    subjects: a row each); ``registered`` is false for ids the registry does
+    not hold for that topic. The seen side is pre-aggregated; the join strategy
+    is left to adaptive execution."""
     seen = (
         classified.where(F.col("schema_id").isNotNull())
         .groupBy("topic", "schema_id")
         .agg(F.count(F.lit(1)).alias("records"))
     )
-    reg = broadcast_if_small(
-        registry.select("topic", "schema_id", "subject", "message").dropDuplicates(["topic", "schema_id"]),
-        max_broadcast_rows,
-    )
-    return seen.join(reg, ["topic", "schema_id"], "left").select(
+    subjects = registry.select("topic", "schema_id", "subject", "message").distinct()
+    return seen.join(subjects, ["topic", "schema_id"], "left").select(
         "topic",
         "schema_id",
         "records",

@@ -42,27 +42,18 @@ def latest_table_rows(
     tie_break: Sequence[str] = DEFAULT_TIE_BREAK,
     partition_columns: Sequence[str] = ("run_id", "batch_id"),
 ) -> DataFrame:
-    """SRT-1 for a table partitioned by micro-batch, in two phases: the top-n
-    over the ordering and partition columns only (a narrow scan; n rows come
-    back, bounded by the limit), then the same top-n over just the partitions
-    that hold them (static partition pruning), which reads the wide columns
-    of those partitions only. Other tables fall back to ``latest_rows``."""
+    """SRT-1 for a table partitioned by micro-batch, in two phases of one
+    plan: the top-n over the ordering and partition columns only (a narrow
+    scan), then the same top-n over just the partitions that hold them. Their
+    names, n at most, are broadcast, and prune the wide scan at run time.
+    Other tables fall back to ``latest_rows``."""
     table = read_table(spark, name)
     if not all(c in table.columns for c in partition_columns):
         return latest_rows(table, n, order_by, tie_break)
     keys = [order_by, *[c for c in tie_break if c in table.columns]]
-    top = latest_rows(table.select(*dict.fromkeys(keys + list(partition_columns))), n, order_by, tie_break).collect()
-    if not top:
-        return table.limit(0)
-    wanted = {tuple(row[c] for c in partition_columns) for row in top}
-    condition = None
-    for values in sorted(wanted, key=str):
-        clause = None
-        for col, value in zip(partition_columns, values):
-            term = F.col(col).isNull() if value is None else F.col(col) == F.lit(value)
-            clause = term if clause is None else clause & term
-        condition = clause if condition is None else condition | clause
-    return latest_rows(table.where(condition), n, order_by, tie_break)
+    top = latest_rows(table.select(*dict.fromkeys(keys + list(partition_columns))), n, order_by, tie_break)
+    holding = top.select(*partition_columns).distinct()
+    return latest_rows(table.join(F.broadcast(holding), list(partition_columns), "left_semi"), n, order_by, tie_break)
 
 
 def latest_rows_sql(spark: SparkSession, name: str, n: int = DEFAULT_LATEST_LIMIT) -> DataFrame:

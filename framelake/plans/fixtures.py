@@ -43,10 +43,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Events in offset order over enough partitions for the per-row encode
-    (topic files then read in parallel too)."""
-    n = max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartitionByRange(n, "event_id")
+    """Events in offset order, a topic file per range."""
+    return df.repartitionByRange("event_id")
 
 
 def _record_columns(ev: DataFrame, topic: str, value: Column, headers: Column) -> DataFrame:

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from framelake.functions.framing import register_sql_functions
 from framelake.functions.headers import cloudevents_columns
-from framelake.operators.parallelism import spread_for_python
 from framelake.operators.quality import classify, frame_census, quarantined, registry_table, schema_reconcile
-from framelake.operators.readback import latest_table_rows, list_catalogs, list_namespaces, list_tables, read_table, sample_rows
+from framelake.operators.readback import latest_table_rows, read_table, sample_rows
 from framelake.operators.views import decoded_message, headers_view, ingest_view, payload_view, raw_view, record_view
 from framelake.plans.fixtures import EVENT_TOPIC, topic_settings
 from framelake.schemas import DEMO_ENVELOPE, DEMO_EVENT, TEST_ROOT, demo_descriptor_set
@@ -31,12 +30,13 @@ from framelake.streaming.jobs import (
     start_ingest_with_quarantine,
     start_inspect,
 )
-from framelake.streaming.sinks import ReplaySafeAppend, ensure_target, run_id_for
+from framelake.streaming.sinks import ReplaySafeAppend, ensure_target, read_complete, run_id_for
 
 RECORD_KEYS = ["topic", "partition", "offset"]
 TARGET_VIEW = ["id", "payload", "topic", "partition", "offset"]
-# The registry the reconciliation check uses (id 9 is absent).
-REGISTERED = [(1, EVENT_TOPIC, DEMO_EVENT), (8, EVENT_TOPIC, DEMO_ENVELOPE)]
+# The registry the reconciliation check uses (id 9 is absent, two
+# messages of one file share id 1).
+REGISTERED = [(1, EVENT_TOPIC, DEMO_EVENT), (1, EVENT_TOPIC, DEMO_ENVELOPE), (8, EVENT_TOPIC, DEMO_ENVELOPE)]
 PUBLISH_SCHEMA_ID = 1
 
 _ingested: dict[tuple, str] = {}
@@ -98,8 +98,13 @@ def imported_types_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return root.select(*RECORD_KEYS, F.col("base.id").alias("id"), F.col("common.ts").alias("ts"))
 
 
-def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-6: publish events as framed CloudEvents records, read them back."""
+def decoded_payload_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-5 under a predicate on record columns, which reaches the scan: only
+    the records it keeps are decoded."""
+    return decoded_payload(spark, sf_dir).where("partition = 1 AND timestamp >= TIMESTAMP '2024-01-15 00:00:00'")
+
+
+def _published(spark: SparkSession, sf_dir: str, replay: bool) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         F.col("event_id").cast("string").alias("id"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("created_at_epoch_ms"),
@@ -109,7 +114,8 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         topic="demo.published", topic_path=scratch_path(spark, "topic-published")
     )
     ds = demo_descriptor_set()
-    write_topic(event_records(spread_for_python(rows), DEMO_EVENT, ds, PUBLISH_SCHEMA_ID), settings)
+    for _ in range(2 if replay else 1):
+        write_topic(event_records(rows, DEMO_EVENT, ds, PUBLISH_SCHEMA_ID), settings, run_id="run", batch_id=0)
     base = record_view(read_topic(spark, settings, streaming=False))
     msg = decoded_message("value", DEMO_EVENT, ds)
     return base.select(msg.alias("msg"), *cloudevents_columns("headers")).select(
@@ -117,6 +123,16 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-6: publish events as framed CloudEvents records, read them back."""
+    return _published(spark, sf_dir, replay=False)
+
+
+def publish_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-6 replay: one batch of a run published twice lands once."""
+    return _published(spark, sf_dir, replay=True)
+
+
 def _ingest_table(spark: SparkSession, sf_dir: str, fresh: bool = False) -> str:
     """Run the ingest stream over the event topic into a new parquet table."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -158,7 +174,7 @@ def ingest_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dual_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-4: the two named inspect queries, counted per query."""
+    """SNK-4: the rows of the two named inspect queries."""
     settings = topic_settings(spark, sf_dir, "events", dual_stream=True, checkpoint_location=scratch_path(spark, "checkpoint-inspect"))
     paths = {kind: scratch_path(spark, f"inspect-{kind}") for kind in INSPECT_QUERY_NAMES}
     queries = start_inspect(spark, settings, demo_descriptor_set(), trigger={"availableNow": True}, sink_paths=paths)
@@ -166,13 +182,11 @@ def dual_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         q.awaitTermination()
         if q.exception():
             raise q.exception()
-    payload = spark.read.parquet(paths["payload"]).agg(
-        F.lit(queries["payload"].name).alias("query_name"), F.count(F.lit(1)).alias("records"), F.count("id").alias("with_value")
-    )
-    headers = spark.read.parquet(paths["headers"]).agg(
-        F.lit(queries["headers"].name).alias("query_name"), F.count(F.lit(1)).alias("records"), F.count("ce_type").alias("with_value")
-    )
-    return payload.unionByName(headers)
+    rows = [
+        spark.read.parquet(paths[kind]).select(F.lit(queries[kind].name).alias("query_name"), *RECORD_KEYS, "key", F.col(value).alias("value"))
+        for kind, value in (("payload", "payload"), ("headers", "ce_type"))
+    ]
+    return rows[0].unionByName(rows[1])
 
 
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,18 +195,22 @@ def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRT-2: ten rows of the ingested table, in no particular order."""
-    return sample_rows(read_table(spark, _ingest_table(spark, sf_dir))).select(*TARGET_VIEW)
+    """SRT-2: ten rows of the ingested table, in no particular order; counted,
+    since which ten is not determined."""
+    table = read_table(spark, _ingest_table(spark, sf_dir))
+    sampled = sample_rows(table.select(*RECORD_KEYS))
+    known = table.select(*RECORD_KEYS).withColumn("known", F.lit(1))
+    return sampled.join(known, RECORD_KEYS, "left").agg(
+        F.count(F.lit(1)).alias("sampled"), F.countDistinct(*RECORD_KEYS).alias("distinct_rows"), F.count("known").alias("in_table")
+    )
 
 
-def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CAT-1..CAT-3 after the ingest created its namespace and table."""
-    table = _ingest_table(spark, sf_dir)
-    catalog, namespace, _ = table.split(".")
-    catalogs = list_catalogs(spark).select(F.lit("catalog").alias("kind"), F.col("catalog").alias("name"))
-    namespaces = list_namespaces(spark, catalog).select(F.lit("namespace").alias("kind"), F.col("namespace").alias("name"))
-    tables = list_tables(spark, f"{catalog}.{namespace}").select(F.lit("table").alias("kind"), F.col("tableName").alias("name"))
-    return catalogs.unionByName(namespaces).unionByName(tables)
+def ingested_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN-6: ``ingested_at`` is set in every row and constant in a batch."""
+    per_batch = read_table(spark, _ingest_table(spark, sf_dir)).groupBy("run_id", "batch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("ingested_at").alias("set"), F.countDistinct("ingested_at").alias("times")
+    )
+    return per_batch.agg(F.sum("n").alias("records"), F.sum(F.col("n") - F.col("set")).alias("nulls"), F.max("times").alias("times_per_batch"))
 
 
 def _split_ingest(spark: SparkSession, sf_dir: str, fresh: bool = False) -> tuple[str, str]:
@@ -231,15 +249,30 @@ def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select(*RECORD_KEYS, F.col("key").cast("string").alias("key"), F.hex("value").alias("value_hex"), "outcome")
 
 
-def census_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DEC-5 as a streaming aggregate in complete mode."""
-    settings = topic_settings(spark, sf_dir, "events", checkpoint_location=scratch_path(spark, "checkpoint-census"))
+def _run_census(spark: SparkSession, settings) -> DataFrame:
     path = scratch_path(spark, "census")
     query = start_census(spark, settings, path, demo_descriptor_set(), trigger={"availableNow": True})
     query.awaitTermination()
     if query.exception():
         raise query.exception()
-    return spark.read.parquet(path)
+    return read_complete(spark, path)
+
+
+def census_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEC-5 as a streaming aggregate in complete mode."""
+    return _run_census(spark, topic_settings(spark, sf_dir, "events", checkpoint_location=scratch_path(spark, "checkpoint-census")))
+
+
+def census_beside_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-5: the ingest and then the census from one and the same settings;
+    neither takes the other's progress for its own."""
+    suffix = scratch_path(spark, "t").rsplit("-", 1)[-1]
+    settings = topic_settings(spark, sf_dir, "events").replace(table=f"demo_beside_{suffix}", checkpoint_location=scratch_path(spark, "checkpoint-shared"))
+    query = start_ingest(spark, settings, demo_descriptor_set(), trigger={"availableNow": True}, table_location=scratch_path(spark, "table-beside"))
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return _run_census(spark, settings)
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,6 +293,7 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decoded_payload": decoded_payload,
+    "decoded_payload_filtered": decoded_payload_filtered,
     "strip_framing": strip_framing_sql,
     "raw_hex_view": raw_hex_view,
     "header_view": header_view,
@@ -267,17 +301,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_decode": envelope_decode,
     "imported_types_decode": imported_types_decode,
     "publish_roundtrip": publish_roundtrip,
+    "publish_replay": publish_replay,
     "ingest_append": ingest_append,
     "ingest_replay": ingest_replay,
     "dual_stream": dual_stream,
     "latest_rows": latest,
     "sample_rows": sample,
-    "catalog_listing": catalog_listing,
+    "ingested_at": ingested_at,
     "quarantine": quarantine,
     "ingest_usable": ingest_usable,
     "ingest_quarantine": ingest_quarantine,
     "frame_census": census,
     "census_stream": census_stream,
+    "census_beside_ingest": census_beside_ingest,
     "schema_reconcile": reconcile,
 }
 
@@ -337,11 +373,13 @@ FROM events""",
     "ingest_replay": f"""SELECT CASE WHEN {_GOOD} THEN CAST(event_id AS VARCHAR) END AS id,
   CASE WHEN {_GOOD} THEN props END AS payload, {_KEYS}
 FROM events""",
-    "dual_stream": f"""SELECT 'kafka_consumer_payload' AS query_name, count(*) AS records,
-  count(CASE WHEN {_GOOD} THEN 1 END) AS with_value FROM events
+    "dual_stream": f"""SELECT 'kafka_consumer_payload' AS query_name, {_KEYS}, CAST(event_id AS VARCHAR) AS "key",
+  CASE WHEN {_GOOD} THEN props END AS "value" FROM events
 UNION ALL
-SELECT 'kafka_consumer_headers' AS query_name, count(*) AS records,
-  count(CASE WHEN NOT ({_HDR}) THEN 1 END) AS with_value FROM events""",
+SELECT 'kafka_consumer_headers' AS query_name, {_KEYS}, CAST(event_id AS VARCHAR) AS "key",
+  CASE WHEN NOT ({_HDR}) THEN event_type END AS "value" FROM events""",
+    "sample_rows": "SELECT least(10, count(*)) AS sampled, least(10, count(*)) AS distinct_rows, least(10, count(*)) AS in_table FROM events",
+    "ingested_at": "SELECT count(*) AS records, 0::BIGINT AS nulls, 1::BIGINT AS times_per_batch FROM events",
     "latest_rows": f"""SELECT CASE WHEN {_GOOD} THEN CAST(event_id AS VARCHAR) END AS id,
   CASE WHEN {_GOOD} THEN props END AS payload, {_KEYS}
 FROM events ORDER BY event_id // 4 DESC, event_id % 4 DESC LIMIT 50""",
@@ -359,10 +397,13 @@ FROM t GROUP BY topic, "partition", schema_id, outcome""",
     "schema_reconcile": f"""WITH seen AS (
   SELECT '{EVENT_TOPIC}' AS topic, {_SCHEMA_ID} AS schema_id, count(*) AS records
   FROM events WHERE event_id % 10 IN (0, 1, 8, 9) GROUP BY 1, 2),
-reg AS (SELECT * FROM (VALUES (1, '{EVENT_TOPIC}', '{DEMO_EVENT}'), (8, '{EVENT_TOPIC}', '{DEMO_ENVELOPE}')) AS r(schema_id, topic, message))
+reg AS (SELECT * FROM (VALUES (1, '{EVENT_TOPIC}', '{DEMO_EVENT}'), (1, '{EVENT_TOPIC}', '{DEMO_ENVELOPE}'), (8, '{EVENT_TOPIC}', '{DEMO_ENVELOPE}')) AS r(schema_id, topic, message))
 SELECT s.topic, s.schema_id, s.records, r.topic || '-' || r.message AS subject, r.message,
   r.message IS NOT NULL AS registered
 FROM seen s LEFT JOIN reg r ON s.topic = r.topic AND s.schema_id = r.schema_id""",
 }
 ORACLE_SQL["ingest_quarantine"] = ORACLE_SQL["quarantine"]
 ORACLE_SQL["census_stream"] = ORACLE_SQL["frame_census"]
+ORACLE_SQL["census_beside_ingest"] = ORACLE_SQL["frame_census"]
+ORACLE_SQL["publish_replay"] = ORACLE_SQL["publish_roundtrip"]
+ORACLE_SQL["decoded_payload_filtered"] = f"""{ORACLE_SQL["decoded_payload"]} WHERE event_id % 4 = 1 AND ts >= TIMESTAMP '2024-01-15 00:00:00'"""

@@ -15,6 +15,10 @@ def _flag(value: str | None) -> bool:
     return (value or "").strip().lower() in ("1", "true", "yes")
 
 
+def _count(value: str | None) -> int | None:
+    return int(value) if value and value.strip() else None
+
+
 @dataclasses.dataclass(frozen=True)
 class Settings:
     # Topic source: "kafka" (production) or "parquet" (a directory of records
@@ -68,12 +72,21 @@ class Settings:
         return dataclasses.replace(self, **changes)
 
     def with_connectors(self, spark_version: str | None = None) -> Settings:
-        """Add the Kafka and protobuf connector packages for this Spark."""
+        """Add the connector packages that the chosen formats need: protobuf,
+        Kafka for a Kafka topic, Iceberg and its AWS bundle for an Iceberg
+        table, S3A if a path or endpoint asks for it."""
         if spark_version is None:
             import pyspark
 
             spark_version = pyspark.__version__
-        wanted = [KAFKA_PACKAGE.format(spark=spark_version), PROTOBUF_PACKAGE.format(spark=spark_version)]
+        wanted = [PROTOBUF_PACKAGE.format(spark=spark_version)]
+        if self.topic_format == "kafka":
+            wanted.append(KAFKA_PACKAGE.format(spark=spark_version))
+        if self.table_format == "iceberg":
+            wanted += [ICEBERG_RUNTIME_PACKAGE, ICEBERG_AWS_PACKAGE]
+        paths = (self.descriptor_path, self.checkpoint_location, self.topic_path, self.table_path)
+        if self.s3_endpoint or any((p or "").startswith(("s3://", "s3a://")) for p in paths):
+            wanted.append(HADOOP_AWS_PACKAGE)
         return self.replace(packages=tuple(dict.fromkeys(list(self.packages) + wanted)))
 
     @classmethod
@@ -100,14 +113,24 @@ class Settings:
             s3_secret_key=e.get("S3_SECRET_KEY", base.s3_secret_key),
             aws_region=e.get("AWS_REGION", base.aws_region),
             checkpoint_location=e.get("CHECKPOINT_LOCATION", base.checkpoint_location),
+            decode_mode=e.get("FRAMELAKE_DECODE_MODE", base.decode_mode).strip().upper(),
+            protobuf_impl=e.get("FRAMELAKE_PROTOBUF_IMPL", base.protobuf_impl),
+            max_offsets_per_trigger=_count(e.get("FRAMELAKE_MAX_OFFSETS_PER_TRIGGER")),
+            min_partitions=_count(e.get("FRAMELAKE_MIN_PARTITIONS")),
+            max_files_per_trigger=_count(e.get("FRAMELAKE_MAX_FILES_PER_TRIGGER")),
+            packages=tuple(p.strip() for p in e.get("FRAMELAKE_PACKAGES", "").split(",") if p.strip()),
         )
         values.update(overrides)
         return cls(**values)
 
 
-# Connector coordinates for Spark 4.x / Scala 2.13.
+# Connector coordinates for Spark 4.x / Scala 2.13. The Iceberg
+# and Hadoop versions are those published for it; set FRAMELAKE_PACKAGES for others.
 KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13:{spark}"
 PROTOBUF_PACKAGE = "org.apache.spark:spark-protobuf_2.13:{spark}"
+ICEBERG_RUNTIME_PACKAGE = "org.apache.iceberg:iceberg-spark-runtime-4.0_2.13:1.10.0"
+ICEBERG_AWS_PACKAGE = "org.apache.iceberg:iceberg-aws-bundle:1.10.0"
+HADOOP_AWS_PACKAGE = "org.apache.hadoop:hadoop-aws:3.4.1"
 ICEBERG_EXTENSIONS = "org.apache.iceberg.spark.extensions.IcebergSparkSessionExtensions"
 ICEBERG_CATALOG_CLASS = "org.apache.iceberg.spark.SparkCatalog"
 ICEBERG_S3_FILE_IO = "org.apache.iceberg.aws.s3.S3FileIO"

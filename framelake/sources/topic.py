@@ -5,11 +5,13 @@ Two implementations behind one function each:
 * ``kafka`` - Spark's Kafka connector (production);
 * ``parquet`` - a directory of parquet files holding records in the Kafka
   source schema. It is what runs offline and in tests; a streaming read picks
-  up new files as they land, like new offsets.
+  up new files as they land.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +36,6 @@ RECORD_SCHEMA = T.StructType(
     ]
 )
 RECORD_COLUMNS = [f.name for f in RECORD_SCHEMA.fields]
-DEFAULT_FILE_TOPIC_PARTITIONS = 4
 
 
 def read_topic(spark: SparkSession, settings: Settings, streaming: bool = True) -> DataFrame:
@@ -63,57 +64,38 @@ def read_topic(spark: SparkSession, settings: Settings, streaming: bool = True)
     reader = (spark.readStream if streaming else spark.read).schema(RECORD_SCHEMA)
     if streaming and settings.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(settings.max_files_per_trigger))
-    records = reader.parquet(settings.topic_path).where(F.col("topic") == settings.topic)
+    records = reader.option("recursiveFileLookup", "true").parquet(settings.topic_path).where(F.col("topic") == settings.topic).select(*RECORD_COLUMNS)
     if not settings.include_headers:
         records = records.drop("headers")
     return records
 
 
-HIGH_WATER_DIR = "_framelake_high_water"  # hidden from file sources (leading underscore)
-
-
-def _high_water_path(settings: Settings) -> str:
-    return f"{settings.topic_path.rstrip('/')}/{HIGH_WATER_DIR}"
-
-
-def _next_offset(spark: SparkSession, settings: Settings) -> int:
-    """First offset for the next publish to a parquet topic: from the
-    high-water markers earlier publishes left (a few one-row files), or, for
-    a topic written by other means, one scan of its offset column."""
-    try:
-        marks = spark.read.parquet(_high_water_path(settings))
-        top = marks.where(F.col("topic") == settings.topic).agg(F.max("next_offset")).first()[0]
-        if top is not None:
-            return int(top)
-    except Exception as exc:  # noqa: BLE001 - no markers yet
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
-    try:
-        current = spark.read.schema(RECORD_SCHEMA).parquet(settings.topic_path)
-        top = current.where(F.col("topic") == settings.topic).agg(F.max("offset")).first()[0]
-        return 0 if top is None else int(top) + 1
-    except Exception as exc:  # noqa: BLE001 - an empty topic has no files yet
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
-        return 0
-
-
-def write_topic(
-    records: DataFrame,
-    settings: Settings,
-    partitions: int = DEFAULT_FILE_TOPIC_PARTITIONS,
-) -> None:
-    """Append records (columns ``key``, ``value`` and optionally ``headers``
-    and ``timestamp``) to the topic.
-
-    Kafka assigns partitions and offsets itself. The parquet topic assigns a
-    partition from the key hash and offsets above every earlier publish,
-    unique and increasing (not contiguous, like a compacted topic), without
-    reading the topic back.
-    """
+def topic_records(records: DataFrame, settings: Settings) -> DataFrame:
+    """``records`` (columns ``key``, ``value`` and optionally ``headers`` and
+    ``timestamp``) in the record schema. ``partition`` and ``offset`` are NULL:
+    they are a broker's to assign."""
     cols = set(records.columns)
     headers = F.col("headers") if "headers" in cols else F.lit(None).cast(HEADER_TYPE)
+    timestamp = F.col("timestamp") if "timestamp" in cols else F.current_timestamp()
+    return records.select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        F.lit(settings.topic).alias("topic"),
+        F.lit(None).cast("int").alias("partition"),
+        F.lit(None).cast("bigint").alias("offset"),
+        timestamp.cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+        headers.alias("headers"),
+    )
+
+
+def write_topic(records: DataFrame, settings: Settings, run_id: str | None = None, batch_id: int = 0) -> None:
+    """Append records to the topic: through Kafka, or as a folder of its own
+    in a parquet topic, named by run and batch. Writing the same batch of
+    a run again replaces it, so a replayed publish lands once; without a
+    ``run_id`` each call is a run of its own."""
     if settings.topic_format == "kafka":
+        headers = F.col("headers") if "headers" in records.columns else F.lit(None).cast(HEADER_TYPE)
         out = records.select("key", "value", headers.alias("headers"))
         (
             out.write.format("kafka")
@@ -124,24 +106,5 @@ def write_topic(
         return
     if not settings.topic_path:
         raise ValueError("topic_format 'parquet' needs topic_path")
-    spark = records.sparkSession
-    parts = records.rdd.getNumPartitions()
-    base = _next_offset(spark, settings)
-    timestamp = F.col("timestamp") if "timestamp" in cols else F.current_timestamp()
-    out = records.select(
-        F.col("key").cast("binary").alias("key"),
-        F.col("value").cast("binary").alias("value"),
-        F.lit(settings.topic).alias("topic"),
-        F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int").alias("partition"),
-        (F.lit(base) + F.monotonically_increasing_id()).alias("offset"),
-        timestamp.cast("timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-        headers.alias("headers"),
-    )
-    out.write.mode("append").parquet(settings.topic_path)
-    # monotonically_increasing_id() stays below (partitions << 33), so the
-    # next publish can start there without reading this one back.
-    high_water = spark.range(1).select(
-        F.lit(settings.topic).alias("topic"), F.lit(base + (max(parts, 1) << 33)).cast("bigint").alias("next_offset")
-    )
-    high_water.write.mode("append").parquet(_high_water_path(settings))
+    folder = f"{settings.topic_path.rstrip('/')}/run-{run_id or uuid.uuid4().hex}/batch-{int(batch_id)}"
+    topic_records(records, settings).write.mode("overwrite").parquet(folder)

@@ -29,21 +29,24 @@ from framelake.streaming.sinks import (
 )
 
 # Query names and checkpoint suffixes of the dual inspect job,
-# and the producer's CloudEvents type and source.
+# and the producer's CloudEvents type prefix and source.
 INSPECT_QUERY_NAMES = {"payload": "kafka_consumer_payload", "headers": "kafka_consumer_headers"}
-PRODUCER_CE_TYPE = "com.acme.demo.v1.DemoEvent"
+PRODUCER_CE_TYPE_PREFIX = "com."  # before the message's full name
 PRODUCER_CE_SOURCE = "urn:acme:producer"
 
 
 def _checkpoint(spark: SparkSession, settings: Settings, name: str) -> str:
-    """The query's checkpoint: ``settings.checkpoint_location``, else a
-    stable path under the cluster's checkpoint folder derived from the job,
-    topic and table, so a restarted job resumes where it stopped (a fresh
-    path would restart from ``startingOffsets`` and lose or repeat records)."""
-    if settings.checkpoint_location:
-        return settings.checkpoint_location
-    safe = re.sub(r"[^A-Za-z0-9._-]+", "_", f"{settings.topic}--{settings.table_name}")
-    return f"{checkpoint_root(spark)}/framelake/jobs/{name}/{safe}"
+    """The query's checkpoint, a folder of its own for each job under
+    ``settings.checkpoint_location``, else under a stable path in the
+    configured shared folder derived from topic and table. A restarted job
+    resumes where it stopped; jobs that share their settings do not share
+    their progress. Without either an error is raised: a path made up per run
+    would restart from ``startingOffsets`` and lose or repeat records."""
+    base = settings.checkpoint_location
+    if not base:
+        safe = re.sub(r"[^A-Za-z0-9._-]+", "_", f"{settings.topic}--{settings.table_name}")
+        base = f"{checkpoint_root(spark)}/framelake/jobs/{safe}"
+    return f"{base.rstrip('/')}/{name}"
 
 
 def start_ingest(
@@ -163,21 +166,22 @@ def event_records(
     descriptor_set: bytes,
     schema_id: int,
     id_col: str = "id",
-    ce_type: str = PRODUCER_CE_TYPE,
+    ce_type: str | None = None,
     ce_source: str = PRODUCER_CE_SOURCE,
     indexes=(0,),
     impl: str = "auto",
 ) -> DataFrame:
     """SNK-6: rows whose columns are the message's fields -> records with
     ``key`` = id, ``value`` = framed message, four CloudEvents headers. The
-    schema id is the one the registry assigned to the message's subject."""
+    schema id is the one the registry assigned to the message's subject;
+    ``ce_type`` follows from the message name unless given."""
     fields = [F.col(c) for c in rows.columns]
     message = to_protobuf(F.struct(*fields), message_name, descriptor_set, impl=impl)
     key = F.col(id_col).cast("string")
     return rows.select(
         key.cast("binary").alias("key"),
         frame(message, schema_id, indexes).alias("value"),
-        cloudevents_headers(key, ce_type, ce_source).alias("headers"),
+        cloudevents_headers(key, ce_type or PRODUCER_CE_TYPE_PREFIX + message_name, ce_source).alias("headers"),
     )
 
 
@@ -195,10 +199,11 @@ def start_publish(
     **kwargs,
 ) -> StreamingQuery:
     """Publish a stream of rows as framed CloudEvents records: Kafka's
-    streaming sink, or (parquet topic) each micro-batch appended with fresh
-    offsets."""
+    streaming sink, or (parquet topic) each micro-batch as a folder of its own,
+    which a replay of the batch replaces."""
+    spark, checkpoint = rows.sparkSession, _checkpoint(rows.sparkSession, settings, "publish")
     records = event_records(rows, settings.message_name, descriptor_set, schema_id, **kwargs)
-    writer = records.writeStream.option("checkpointLocation", _checkpoint(spark_of(rows), settings, "publish"))
+    writer = records.writeStream.option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
     if settings.topic_format == "kafka":
@@ -208,8 +213,5 @@ def start_publish(
             .option("topic", settings.topic)
             .start()
         )
-    return writer.foreachBatch(lambda batch, _batch_id: write_topic(batch, settings)).start()
-
-
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+    run_id = run_id_for(spark, checkpoint)
+    return writer.foreachBatch(lambda batch, batch_id: write_topic(batch, settings, run_id, batch_id)).start()

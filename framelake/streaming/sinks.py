@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -66,15 +67,22 @@ def ensure_quarantine(spark: SparkSession, settings: Settings, name: str, locati
 
 
 def run_id_for(spark: SparkSession, checkpoint: str) -> str:
-    """The run id stored in ``checkpoint``, created on first use."""
+    """The run id stored in ``checkpoint``, created on first use; a marker
+    that a crash left empty counts as absent."""
     marker = f"{checkpoint.rstrip('/')}/{RUN_MARKER}"
-    try:
-        marker_row = spark.range(1).select(F.lit(uuid.uuid4().hex).alias("run_id"))  # JVM-side, no Python worker
-        marker_row.write.mode("errorifexists").text(marker)
-    except Exception as exc:  # noqa: BLE001 - the marker exists: this checkpoint already has a run
-        if "PATH_ALREADY_EXISTS" not in str(exc) and "already exists" not in str(exc):
-            raise
-    return spark.read.text(marker).first()[0]
+
+    def stored() -> str | None:
+        try:
+            row = spark.read.text(marker).first()
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return row[0] if row else None
+
+    if stored() is None:
+        spark.range(1).select(F.lit(uuid.uuid4().hex).alias("run_id")).write.mode("overwrite").text(marker)
+    return stored()
 
 
 def overwrite_batch_partition(batch: DataFrame, table: str, columns, run_id: str, batch_id: int) -> None:
@@ -140,15 +148,22 @@ def append_stream(
     query_name: str | None = None,
 ) -> StreamingQuery:
     """SNK-1 + SNK-5: append the ingest projection to the target table with
-    checkpointed progress. The table must exist (``ensure_target``)."""
-    writer = decoded.select(*TARGET_COLUMNS).writeStream.option("checkpointLocation", checkpoint)
+    checkpointed progress. The table must exist (``ensure_target``). A table
+    made elsewhere with the three contract columns alone is appended to as it
+    is: it has no place for a batch id, so a replayed batch lands twice there."""
+    spark = decoded.sparkSession
+    present = set(spark.table(settings.table_name).columns)
+    columns = [c for c in TARGET_COLUMNS if c in present]
+    writer = decoded.select(*columns).writeStream.option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
     if trigger:
         writer = writer.trigger(**trigger)
     if settings.table_format == "iceberg":
         return writer.format("iceberg").outputMode("append").toTable(settings.table_name)
-    spark = decoded.sparkSession
+    if "batch_id" not in present:
+        in_order = [c for c in spark.table(settings.table_name).columns if c in columns]
+        return writer.foreachBatch(lambda batch, _: batch.select(*in_order).write.insertInto(settings.table_name)).start()
     return writer.foreachBatch(ReplaySafeAppend(settings.table_name, run_id_for(spark, checkpoint))).start()
 
 
@@ -167,13 +182,19 @@ def console_stream(view: DataFrame, checkpoint: str, query_name: str | None = No
     return writer.start()
 
 
+DONE_DIR = "_done"  # hidden from file sources: batch ids whose result is whole
+
+
 def complete_stream(aggregated: DataFrame, table_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """A streaming aggregate in complete mode, each micro-batch replacing the
-    result table at ``table_path`` (the state is the aggregate itself, so it
-    stays as small as its key set)."""
+    """A streaming aggregate in complete mode (the state is the aggregate
+    itself, so it stays as small as its key set). Each micro-batch writes its
+    result to a folder of its own and then notes that it is whole;
+    ``read_complete`` reads the newest whole one, so a reader or a crash in
+    between never sees a missing or half-written result."""
 
     def replace(result: DataFrame, batch_id: int) -> None:
-        result.write.mode("overwrite").parquet(table_path)
+        result.write.mode("overwrite").parquet(f"{table_path}/batch_id={int(batch_id)}")
+        result.sparkSession.range(1).select(F.lit(str(batch_id)).alias("value")).write.mode("append").text(f"{table_path}/{DONE_DIR}")
 
     writer = aggregated.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(replace)
     if trigger:
@@ -181,6 +202,12 @@ def complete_stream(aggregated: DataFrame, table_path: str, checkpoint: str, tri
     return writer.start()
 
 
+def read_complete(spark: SparkSession, table_path: str) -> DataFrame:
+    """The newest whole result of a ``complete_stream``."""
+    newest = spark.read.text(f"{table_path}/{DONE_DIR}").agg(F.max(F.col("value").cast("bigint"))).first()[0]
+    return spark.read.parquet(f"{table_path}/batch_id={newest}")
+
+
 def file_stream(view: DataFrame, path: str, checkpoint: str, query_name: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Parquet file sink (exactly-once through its own commit log); used where
     a view must be kept rather than printed."""

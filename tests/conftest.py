@@ -24,13 +24,13 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
+    # Tests set their own checkpoint folder only where none is configured.
+    from pyspark import SparkConf
+
+    if not SparkConf().get("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="framelake-test-checkpoints-"))
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    # Tests set their own checkpoint folder only when the environment names none.
-    if not session.conf.get("spark.checkpoint.dir", None):
-        root = tempfile.mkdtemp(prefix="framelake-test-checkpoints-")
-        session.sparkContext.setCheckpointDir(root)
-        session.conf.set("spark.checkpoint.dir", root)
     yield session
     session.stop()
 

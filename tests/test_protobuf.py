@@ -70,7 +70,7 @@ def test_nested_map_and_imports_roundtrip(spark, descriptor_set):
     ).collect()
     for r in back:
         assert r.env2.event.asDict() == r.env.event.asDict()
-        assert r.env2.headers == r.env.headers  # empty or NULL map comes back NULL
+        assert r.env2.headers == (r.env.headers or {})  # an empty or NULL map comes back empty, as from the connector
         assert r.root2.asDict(recursive=True) == r.root.asDict(recursive=True) or r.root.base.id == "0"
 
 
@@ -117,3 +117,18 @@ def test_framed_publish_then_strip(spark, descriptor_set):
     framed = df.select(frame(to_protobuf("e", DEMO_EVENT, descriptor_set), 5, (0,)).alias("v"))
     ids = [r.m.id for r in framed.select(from_protobuf(strip_framing("v"), DEMO_EVENT, descriptor_set).alias("m")).collect()]
     assert sorted(ids) == ["0", "1", "2"]
+
+
+def test_proto2_default_of_an_absent_field(spark):
+    """The connector gives an absent proto2 field its default, and NULL if it has none."""
+    from google.protobuf import descriptor_pb2
+
+    file = descriptor_pb2.FileDescriptorProto(name="t/two.proto", package="t", syntax="proto2")
+    message = file.message_type.add(name="Two")
+    kinds = descriptor_pb2.FieldDescriptorProto
+    message.field.add(name="a", number=1, type=kinds.TYPE_INT32, label=kinds.LABEL_OPTIONAL, default_value="7")
+    message.field.add(name="b", number=2, type=kinds.TYPE_INT32, label=kinds.LABEL_OPTIONAL)
+    descriptors = descriptor_pb2.FileDescriptorSet(file=[file]).SerializeToString()
+    df = spark.createDataFrame([(bytearray(b""),), (bytearray(b"\x08\x00\x10\x05"),)], "v binary")
+    out = [r.m.asDict() for r in df.select(from_protobuf("v", "t.Two", descriptors).alias("m")).collect()]
+    assert out == [{"a": 7, "b": None}, {"a": 0, "b": 5}]

@@ -52,8 +52,8 @@ def _random_message(cls, inner_cls, rng: random.Random):
 
 
 def _expected(m):
-    """The decoded row: absent fields (zero scalars, unset messages, empty
-    repeated/map fields) are NULL."""
+    """The decoded row: absent fields (zero scalars, unset messages) are NULL,
+    empty repeated and map fields empty."""
     def inner(x):
         return {"name": x.name or None, "n": x.n or None}
 
@@ -61,9 +61,9 @@ def _expected(m):
     return {
         "s": m.s or None, "b": m.b or None, "i32": m.i32 or None, "i64": m.i64 or None, "u32": u32 or None,
         "s64": m.s64 or None, "flag": True if m.flag else None, "d": m.d or None,
-        "nums": list(m.nums) or None, "tags": dict(m.tags) or None,
+        "nums": list(m.nums), "tags": dict(m.tags),
         "inner": inner(m.inner) if m.HasField("inner") else None,
-        "items": [inner(x) for x in m.items] or None,
+        "items": [inner(x) for x in m.items],
     }
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 
 from framelake.operators.quality import (
-    broadcast_if_small,
     classify,
     frame_census,
     quarantined,
@@ -44,14 +43,8 @@ def test_reconcile(spark):
     assert {r.schema_id for r in unregistered(report).collect()} == {2, 9}
 
 
-def test_broadcast_only_below_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    joined = big.join(broadcast_if_small(small, 100), big.k == small.id)
-    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = big.join(broadcast_if_small(small, 5), big.k == small.id)
-        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_reconcile_keeps_every_subject_of_an_id(spark):
+    c = classify(_topic(spark, VALUES))
+    registry = registry_table(spark, [(1, "t", DEMO_EVENT), (1, "t", "acme.demo.v1.DemoEnvelope"), (1, "t", DEMO_EVENT)])
+    subjects = sorted(r.subject for r in schema_reconcile(c, registry).where("schema_id = 1").collect())
+    assert subjects == ["t-acme.demo.v1.DemoEnvelope", "t-acme.demo.v1.DemoEvent"]

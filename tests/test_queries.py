@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 from check_oracles import TABLES, digest  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from framelake.plans.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
@@ -44,3 +45,16 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns == ["topic", "partition", "offset", "timestamp", "key", "id", "payload"]
+
+
+def test_filtered_decode_reads_and_decodes_only_what_it_keeps(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # else the list is cut off
+    plan = entry.queries()["decoded_payload_filtered"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [", 1)[1].split("]", 1)[0]
+    assert "EqualTo(partition,1)" in pushed and "GreaterThanOrEqual(timestamp" in pushed
+    assert plan.index("ArrowEvalPython") < plan.index("Filter")  # the filter runs below the decode
+
+
+def test_quarantine_decodes_once(spark):
+    plan = entry.queries()["quarantine"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

@@ -11,7 +11,7 @@ from framelake.settings import Settings
 from framelake.sources.topic import read_topic, write_topic
 from framelake.operators.views import ingest_view
 from framelake.streaming.jobs import await_queries, event_records, start_ingest, start_inspect
-from framelake.streaming.sinks import ReplaySafeAppend, ensure_target, run_id_for
+from framelake.streaming.sinks import ReplaySafeAppend, ensure_target, read_complete, run_id_for
 
 ONCE = {"availableNow": True}
 
@@ -116,7 +116,7 @@ def test_split_ingest_quarantines_without_stopping(spark, descriptor_set):
     assert reasons == ["decode_error", "too_short"]
     path = scratch_path(spark, "census-split")
     _run(start_census(spark, s.replace(checkpoint_location=scratch_path(spark, "cp-census")), path, descriptor_set, trigger=ONCE))
-    got = {(r.outcome, r.records) for r in spark.read.parquet(path).groupBy("outcome").agg(F.sum("records").alias("records")).collect()}
+    got = {(r.outcome, r.records) for r in read_complete(spark, path).groupBy("outcome").agg(F.sum("records").alias("records")).collect()}
     assert got == {("framed", 6), ("decode_error", 1), ("too_short", 1)}
 
 
@@ -166,18 +166,79 @@ def test_crash_after_write_before_commit_replays_once(spark, descriptor_set):
     assert t.select("batch_id").distinct().count() == 1
 
 
-def test_explicit_checkpoint_wins():
+def test_jobs_with_the_same_settings_have_their_own_checkpoints(spark):
     from framelake.streaming.jobs import _checkpoint
 
-    s = Settings(topic="a.b", table="t1", checkpoint_location="/x/cp")
-    assert _checkpoint(None, s, "ingest") == "/x/cp"
+    s = Settings(topic="a.b", table="t1", checkpoint_location="/x/cp/")
+    assert [_checkpoint(None, s, job) for job in ("ingest", "census")] == ["/x/cp/ingest", "/x/cp/census"]
+    default = s.replace(checkpoint_location=None)
+    assert _checkpoint(spark, default, "ingest") == _checkpoint(spark, default, "ingest")
+    assert len({_checkpoint(spark, x, "ingest") for x in (default, default.replace(table="t2"))}) == 2
 
 
-def test_default_checkpoint_derived_from_job(spark):
-    from framelake.streaming.jobs import _checkpoint
+def test_no_configured_folder_is_an_error_in_every_process(tmp_path):
+    """Two processes, no checkpoint folder configured: no job may make one up."""
+    import os
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "from framelake.settings import Settings\nfrom framelake.streaming.jobs import _checkpoint\n"
+        "try:\n    print('made', _checkpoint(s, Settings(), 'ingest'))\nexcept ValueError as e:\n    print('refused', 'CHECKPOINT_LOCATION' in str(e))\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYSPARK_SUBMIT_ARGS"} | {"PYTHONPATH": ROOT, "SPARK_CONF_DIR": str(tmp_path)}
+    for _ in range(2):
+        done = subprocess.run([sys.executable, "-c", code], env=env, cwd=str(tmp_path), capture_output=True, text=True, timeout=300)
+        assert done.stdout.strip().endswith("refused True"), done.stdout + done.stderr[-500:]
+
+
+def test_half_written_run_marker_is_written_again(spark):
+    from framelake.streaming.sinks import RUN_MARKER
+
+    checkpoint = scratch_path(spark, "cp-marker")
+    spark.range(0).selectExpr("'x' AS run_id").write.text(f"{checkpoint}/{RUN_MARKER}")
+    run = run_id_for(spark, checkpoint)
+    assert run and run_id_for(spark, checkpoint) == run
+
 
-    s = Settings(topic="demo.events", namespace="n", table="t1")
-    first = _checkpoint(spark, s, "ingest")
-    assert first == _checkpoint(spark, s, "ingest")  # same job, same place: restarts resume
-    assert first != _checkpoint(spark, s.replace(table="t2"), "ingest")
-    assert "/framelake/jobs/ingest/" in first
+def test_three_column_contract_table_is_accepted(spark, descriptor_set):
+    s = _settings(spark, "contract3")
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {s.catalog}.{s.namespace}")
+    spark.sql(f"CREATE TABLE {s.table_name} (id STRING, payload STRING, ingested_at TIMESTAMP) USING parquet LOCATION '{scratch_path(spark, 'table-contract3')}'")
+    _publish(spark, s, descriptor_set, 0, 7)
+    _run(start_ingest(spark, s, descriptor_set, trigger=ONCE))
+    assert read_table(spark, s.table_name).where("id IS NOT NULL AND payload IS NOT NULL AND ingested_at IS NOT NULL").count() == 7
+
+
+def test_framing_inside_foreach_batch_and_in_a_second_session(spark, descriptor_set):
+    from framelake.functions.framing import strip_framing
+    from framelake.operators.quality import classify
+
+    s = _settings(spark, "sessions")
+    _publish(spark, s, descriptor_set, 0, 4)
+    outcomes = []
+    records = read_topic(spark, s, streaming=True)
+    query = records.writeStream.option("checkpointLocation", scratch_path(spark, "cp-sessions")).trigger(availableNow=True)
+    _run(query.foreachBatch(lambda batch, _: outcomes.extend(r.outcome for r in classify(batch).select("outcome").collect())).start())
+    assert outcomes == ["framed"] * 4
+    other = spark.newSession()
+    value = other.createDataFrame([(bytearray(bytes.fromhex("0000000007" "0405AC02" "AABB")),)], "value binary")
+    assert bytes(value.select(strip_framing("value").alias("m")).first().m) == b"\xaa\xbb"
+
+
+def test_replayed_publish_lands_once(spark, descriptor_set):
+    """The batch of a publish stream whose commit was lost, published again."""
+    from framelake.streaming.jobs import _checkpoint, start_publish
+
+    source, target = _settings(spark, "rep-src"), _settings(spark, "rep-dst")
+    _publish(spark, source, descriptor_set, 0, 6)
+    rows = read_topic(spark, source, streaming=True).select(F.col("key").cast("string").alias("id"), F.lit("x").alias("payload"))
+    _run(start_publish(rows, target, descriptor_set, 4, trigger=ONCE))
+    run = run_id_for(spark, _checkpoint(spark, target, "publish"))
+    again = read_topic(spark, source, streaming=False).select(F.col("key").cast("string").alias("id"), F.lit("x").alias("payload"))
+    write_topic(event_records(again, DEMO_EVENT, descriptor_set, 4), target, run, 0)
+    assert read_topic(spark, target, streaming=False).count() == 6
