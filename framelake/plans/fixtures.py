@@ -32,6 +32,10 @@ PLAIN_CLASS = 2
 BROKEN_VALUES = {3: bytes.fromhex("0000000000"), 4: bytes.fromhex("000000000180"), 5: bytes.fromhex("00000000010101"), 7: b""}
 NULL_CLASS = 6
 GOOD_CLASSES = (0, 1, 2, 8, 9)
+# The hard topic: class 1 has its index count in two bytes, and where
+# event_id % 20 = 17 (half of class 7) the value is plain but not protobuf.
+HARD_INDEX_BYTES = bytes.fromhex("840005AC02")
+HARD_EVERY, HARD_REMAINDER, HARD_VALUE = 20, 17, bytes.fromhex("010203")
 ENVELOPE_SCHEMA_ID = 2
 ROOT_SCHEMA_ID = 3
 
@@ -68,10 +72,13 @@ def _headers(ev: DataFrame) -> Column:
     return F.when(F.pmod(F.col("event_id"), F.lit(HEADERLESS_EVERY)) == 0, F.lit(None)).otherwise(array)
 
 
-def _framing_classes(message: Column) -> Column:
+def _framing_classes(message: Column, hard: bool = False) -> Column:
     cls = F.pmod(F.col("event_id"), F.lit(10))
     value = F.when(cls == PLAIN_CLASS, message)
-    for c, (sid, index_bytes) in FRAMED_CLASSES.items():
+    framed = {**FRAMED_CLASSES, 1: (FRAMED_CLASSES[1][0], HARD_INDEX_BYTES)} if hard else FRAMED_CLASSES
+    if hard:
+        value = value.when(F.pmod(F.col("event_id"), F.lit(HARD_EVERY)) == HARD_REMAINDER, F.lit(bytearray(HARD_VALUE)))
+    for c, (sid, index_bytes) in framed.items():
         value = value.when(cls == c, frame(message, sid, index_bytes))
     for c, raw in BROKEN_VALUES.items():
         value = value.when(cls == c, F.lit(bytearray(raw)))
@@ -90,11 +97,12 @@ def event_message(descriptor_set: bytes) -> Column:
     )
 
 
-def event_topic(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
-    """``T`` (or ``T_raw``) as a lazy DataFrame in the Kafka record schema."""
+def event_topic(spark: SparkSession, sf_dir: str, raw: bool = False, hard: bool = False) -> DataFrame:
+    """``T`` (or ``T_raw``, or the hard topic) as a lazy DataFrame in the Kafka
+    record schema."""
     ev = _spread(events(spark, sf_dir))
     message = F.encode(F.col("props"), "UTF-8") if raw else event_message(demo_descriptor_set())
-    return _record_columns(ev, EVENT_TOPIC, _framing_classes(message), _headers(ev))
+    return _record_columns(ev, EVENT_TOPIC, _framing_classes(message, hard), _headers(ev))
 
 
 def envelope_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,10 +141,11 @@ def root_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BUILDERS = {
     "events": lambda spark, sf: event_topic(spark, sf),
     "events_raw": lambda spark, sf: event_topic(spark, sf, raw=True),
+    "events_hard": lambda spark, sf: event_topic(spark, sf, hard=True),
     "envelopes": envelope_topic,
     "roots": root_topic,
 }
-TOPIC_NAMES = {"events": EVENT_TOPIC, "events_raw": EVENT_TOPIC, "envelopes": ENVELOPE_TOPIC, "roots": ROOT_TOPIC}
+TOPIC_NAMES = {"events": EVENT_TOPIC, "events_raw": EVENT_TOPIC, "events_hard": EVENT_TOPIC, "envelopes": ENVELOPE_TOPIC, "roots": ROOT_TOPIC}
 
 
 def topic_path(spark: SparkSession, sf_dir: str, kind: str) -> str:

@@ -219,7 +219,7 @@ def _split_ingest(spark: SparkSession, sf_dir: str, fresh: bool = False) -> tupl
     key = (spark.sparkContext.applicationId, sf_dir)
     if fresh or key not in _split:
         suffix = scratch_path(spark, "t").rsplit("-", 1)[-1]
-        settings = topic_settings(spark, sf_dir, "events").replace(
+        settings = topic_settings(spark, sf_dir, "events_hard").replace(
             table=f"demo_usable_{suffix}", checkpoint_location=scratch_path(spark, "checkpoint-split")
         )
         query = start_ingest_with_quarantine(
@@ -260,7 +260,7 @@ def _run_census(spark: SparkSession, settings) -> DataFrame:
 
 def census_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DEC-5 as a streaming aggregate in complete mode."""
-    return _run_census(spark, topic_settings(spark, sf_dir, "events", checkpoint_location=scratch_path(spark, "checkpoint-census")))
+    return _run_census(spark, topic_settings(spark, sf_dir, "events_hard", checkpoint_location=scratch_path(spark, "checkpoint-census")))
 
 
 def census_beside_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,13 +277,13 @@ def census_beside_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DEC-4: records with no usable message, with the reason."""
-    q = quarantined(classify(_topic(spark, sf_dir), DEMO_EVENT, demo_descriptor_set()))
+    q = quarantined(classify(_topic(spark, sf_dir, "events_hard"), DEMO_EVENT, demo_descriptor_set()))
     return q.select(*RECORD_KEYS, F.col("key").cast("string").alias("key"), F.hex("value").alias("value_hex"), "outcome")
 
 
 def census(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DEC-5."""
-    return frame_census(classify(_topic(spark, sf_dir), DEMO_EVENT, demo_descriptor_set()))
+    return frame_census(classify(_topic(spark, sf_dir, "events_hard"), DEMO_EVENT, demo_descriptor_set()))
 
 
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,6 +323,8 @@ _GOOD = "event_id % 10 IN (0, 1, 2, 8, 9)"
 _OUTCOME = """CASE event_id % 10 WHEN 0 THEN 'framed' WHEN 1 THEN 'framed' WHEN 8 THEN 'framed'
   WHEN 9 THEN 'framed' WHEN 2 THEN 'plain' WHEN 3 THEN 'too_short' WHEN 4 THEN 'bad_index'
   WHEN 5 THEN 'bad_index' WHEN 6 THEN 'null_value' ELSE 'empty' END"""
+# The hard topic, decoded: where event_id % 20 = 17 the value is 010203.
+_HARD_OUTCOME = f"CASE WHEN event_id % 20 = 17 THEN 'decode_error' ELSE {_OUTCOME} END"
 _SCHEMA_ID = "CAST(CASE event_id % 10 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 8 THEN 8 WHEN 9 THEN 9 END AS BIGINT)"
 _MS = "epoch_us(ts) // 1000"
 _HDR = "event_id % 7 = 0"
@@ -385,12 +387,12 @@ SELECT 'kafka_consumer_headers' AS query_name, {_KEYS}, CAST(event_id AS VARCHAR
 FROM events ORDER BY event_id // 4 DESC, event_id % 4 DESC LIMIT 50""",
     "quarantine": f"""SELECT {_KEYS}, CAST(event_id AS VARCHAR) AS "key",
   CASE event_id % 10 WHEN 3 THEN '0000000000' WHEN 4 THEN '000000000180'
-    WHEN 5 THEN '00000000010101' WHEN 6 THEN NULL ELSE '' END AS value_hex,
-  {_OUTCOME} AS outcome
+    WHEN 5 THEN '00000000010101' WHEN 6 THEN NULL ELSE CASE WHEN event_id % 20 = 17 THEN '010203' ELSE '' END END AS value_hex,
+  {_HARD_OUTCOME} AS outcome
 FROM events WHERE NOT ({_GOOD})""",
     "ingest_usable": f"""SELECT CAST(event_id AS VARCHAR) AS id, props AS payload, {_KEYS}
 FROM events WHERE {_GOOD}""",
-    "frame_census": f"""WITH t AS (SELECT {_KEYS}, {_SCHEMA_ID} AS schema_id, {_OUTCOME} AS outcome FROM events)
+    "frame_census": f"""WITH t AS (SELECT {_KEYS}, {_SCHEMA_ID} AS schema_id, {_HARD_OUTCOME} AS outcome FROM events)
 SELECT topic, "partition", schema_id, outcome, count(*) AS records,
   min("offset") AS min_offset, max("offset") AS max_offset
 FROM t GROUP BY topic, "partition", schema_id, outcome""",
@@ -404,6 +406,6 @@ FROM seen s LEFT JOIN reg r ON s.topic = r.topic AND s.schema_id = r.schema_id""
 }
 ORACLE_SQL["ingest_quarantine"] = ORACLE_SQL["quarantine"]
 ORACLE_SQL["census_stream"] = ORACLE_SQL["frame_census"]
-ORACLE_SQL["census_beside_ingest"] = ORACLE_SQL["frame_census"]
+ORACLE_SQL["census_beside_ingest"] = ORACLE_SQL["frame_census"].replace(_HARD_OUTCOME, _OUTCOME)
 ORACLE_SQL["publish_replay"] = ORACLE_SQL["publish_roundtrip"]
 ORACLE_SQL["decoded_payload_filtered"] = f"""{ORACLE_SQL["decoded_payload"]} WHERE event_id % 4 = 1 AND ts >= TIMESTAMP '2024-01-15 00:00:00'"""

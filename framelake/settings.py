@@ -29,7 +29,7 @@ class Settings:
     topic_path: str | None = None
     starting_offsets: str = "latest"
     include_headers: bool = True
-    max_offsets_per_trigger: int | None = None
+    max_offsets_per_trigger: int | None = 5_000_000  # bounds the first batch over a backlog; None for no bound
     min_partitions: int | None = None
     max_files_per_trigger: int | None = None
 
@@ -115,7 +115,7 @@ class Settings:
             checkpoint_location=e.get("CHECKPOINT_LOCATION", base.checkpoint_location),
             decode_mode=e.get("FRAMELAKE_DECODE_MODE", base.decode_mode).strip().upper(),
             protobuf_impl=e.get("FRAMELAKE_PROTOBUF_IMPL", base.protobuf_impl),
-            max_offsets_per_trigger=_count(e.get("FRAMELAKE_MAX_OFFSETS_PER_TRIGGER")),
+            max_offsets_per_trigger=_count(e.get("FRAMELAKE_MAX_OFFSETS_PER_TRIGGER", str(base.max_offsets_per_trigger))),
             min_partitions=_count(e.get("FRAMELAKE_MIN_PARTITIONS")),
             max_files_per_trigger=_count(e.get("FRAMELAKE_MAX_FILES_PER_TRIGGER")),
             packages=tuple(p.strip() for p in e.get("FRAMELAKE_PACKAGES", "").split(",") if p.strip()),

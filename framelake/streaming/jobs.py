@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from framelake.functions.framing import frame
+from framelake.functions.framing import USABLE_OUTCOMES, frame
 from framelake.functions.headers import cloudevents_headers
 from framelake.operators.protobuf import to_protobuf
 from framelake.operators.quality import classify, frame_census
@@ -80,7 +80,19 @@ def start_ingest_with_quarantine(
     the rest, raw bytes and reason, to the quarantine table (DEC-4)."""
     records = read_topic(spark, settings.replace(include_headers=False), streaming=True)
     classified = classify(records, settings.message_name, descriptor_set, impl=settings.protobuf_impl)
-    classified = classified.withColumn("ingested_at", F.current_timestamp())
+    # What the two writes need, and the raw bytes of unusable records only.
+    unusable = ~F.col("outcome").isin(*USABLE_OUTCOMES)
+    classified = classified.select(
+        "topic",
+        "partition",
+        "offset",
+        "timestamp",
+        "outcome",
+        F.col("msg.id").alias("id"),
+        F.col("msg.payload").alias("payload"),
+        *[F.when(unusable, F.col(c)).alias(c) for c in ("key", "value")],
+        F.current_timestamp().alias("ingested_at"),
+    )
     table = ensure_target(spark, settings, location=table_location or settings.table_path, batch_partitioned=True)
     quarantine = ensure_quarantine(spark, settings, quarantine_table, location=quarantine_location)
     checkpoint = _checkpoint(spark, settings, "ingest-quarantine")

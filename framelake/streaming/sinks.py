@@ -130,9 +130,7 @@ class QuarantineSplitAppend:
 
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good = batch.where(F.col("outcome").isin(*USABLE_OUTCOMES)).select(
-                F.col("msg.id").alias("id"), F.col("msg.payload").alias("payload"), "ingested_at", "topic", "partition", "offset"
-            )
+            good = batch.where(F.col("outcome").isin(*USABLE_OUTCOMES))
             bad = batch.where(~F.col("outcome").isin(*USABLE_OUTCOMES))
             overwrite_batch_partition(good, self.table, TARGET_COLUMNS, self.run_id, batch_id)
             overwrite_batch_partition(bad, self.quarantine_table, QUARANTINE_COLUMNS, self.run_id, batch_id)
