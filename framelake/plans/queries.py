@@ -190,8 +190,16 @@ def dual_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRT-1 + SRC-3: newest rows of the ingested table."""
-    return latest_table_rows(spark, _ingest_table(spark, sf_dir)).select(*TARGET_VIEW)
+    """SRT-1 + SRC-3: newest rows of a table of three batches, the two newest
+    of which are small."""
+    settings = topic_settings(spark, sf_dir, "events").replace(table=f"demo_latest_{scratch_path(spark, 't').rsplit('-', 1)[-1]}")
+    table = ensure_target(spark, settings, location=scratch_path(spark, "table-latest"))
+    writer = ReplaySafeAppend(table, run_id_for(spark, scratch_path(spark, "checkpoint-latest")))
+    rows = ingest_view(read_topic(spark, settings, streaming=False), DEMO_EVENT, demo_descriptor_set())
+    kind = (F.col("offset") * 4 + F.col("partition")) % 100
+    for batch_id, (hour, keep) in enumerate(((1, kind > 1), (3, kind == 0), (2, kind == 1))):
+        writer(rows.where(keep).withColumn("ingested_at", F.expr(f"TIMESTAMP '2024-02-01 0{hour}:00:00'")), batch_id)
+    return latest_table_rows(spark, table).select(*TARGET_VIEW)
 
 
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -384,7 +392,7 @@ SELECT 'kafka_consumer_headers' AS query_name, {_KEYS}, CAST(event_id AS VARCHAR
     "ingested_at": "SELECT count(*) AS records, 0::BIGINT AS nulls, 1::BIGINT AS times_per_batch FROM events",
     "latest_rows": f"""SELECT CASE WHEN {_GOOD} THEN CAST(event_id AS VARCHAR) END AS id,
   CASE WHEN {_GOOD} THEN props END AS payload, {_KEYS}
-FROM events ORDER BY event_id // 4 DESC, event_id % 4 DESC LIMIT 50""",
+FROM events ORDER BY CASE event_id % 100 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END DESC, event_id // 4 DESC, event_id % 4 DESC LIMIT 50""",
     "quarantine": f"""SELECT {_KEYS}, CAST(event_id AS VARCHAR) AS "key",
   CASE event_id % 10 WHEN 3 THEN '0000000000' WHEN 4 THEN '000000000180'
     WHEN 5 THEN '00000000010101' WHEN 6 THEN NULL ELSE CASE WHEN event_id % 20 = 17 THEN '010203' ELSE '' END END AS value_hex,
