@@ -66,7 +66,7 @@ SELECT doc_id, size, source_size, target,
   CAST(size * least(floor(rank * expected + start) - floor((rank - 1) * expected + start), ceil(expected)) AS BIGINT) AS taken FROM k
 """
 
-_SLACK = {"symbols": (60, None), "dup_lines": (400, None), "repeats": (250, None), "capitals": (350, None), "word_length": (600, 250)}
+_SLACK = {"symbols": (60, None), "dup_lines": (400, None), "repeats": (350, None), "capitals": (350, None), "word_length": (600, 250)}
 QUALITY = rf"""
 a AS (SELECT *, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
 b AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: trim(x, {_GAPS}) <> '') AS l,

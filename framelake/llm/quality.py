@@ -29,7 +29,7 @@ BROADCAST_GROUPS = 20_000
 SLACK = {
     "symbols": (60, None),  # symbols per 1000 word characters
     "dup_lines": (400, None),  # repeated lines per 1000 lines with a word
-    "repeats": (250, None),  # repeated words per 1000 words
+    "repeats": (350, None),  # repeated words per 1000 words
     "capitals": (350, None),  # A-Z per 1000 word characters
     "word_length": (600, 250),  # word characters per 100 words
 }
