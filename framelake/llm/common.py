@@ -31,6 +31,14 @@ def python_ready(df: DataFrame) -> DataFrame:
     return df
 
 
+def id_keys() -> list[Column]:
+    """``doc_id`` as two columns ``id_key`` and ``no_id`` that are never null:
+    joins and windows on them can share one shuffle, which a null-safe join and
+    a window on ``doc_id`` itself do not."""
+    doc_id = F.col("doc_id")
+    return [F.coalesce(doc_id.cast("string"), F.lit("")).alias("id_key"), doc_id.isNull().alias("no_id")]
+
+
 def text_hash(text: Column | str) -> Column:
     """64-bit key of a text (null and empty alike), so that rows of equal
     ``doc_id`` but different texts stay apart in joins."""

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framelake.llm.common import WORD_RE, text_hash, written
+from framelake.llm.common import WORD_RE, id_keys, text_hash, written
 
 WEIGHTS = (5.0, 2.0, 1.0)  # of the sources in order of code point, null last, over and over
 SHARE = 1.5  # target words of all sources, times their words
@@ -99,12 +99,11 @@ def mix(docs: DataFrame, seed: int = SEED, **shares) -> DataFrame:
     """The mix itself: the rows of ``docs``, all columns, each as often as
     ``mix_plan`` says. Rows equal in ``doc_id``, source and text share their
     copies in turn."""
-    keys = ["doc_id", "key", "hash"]
-    plan = mix_plan(docs, seed, **shares).withColumn("key", _source_key(F.col("source")))
+    keys = ["id_key", "no_id", "key", "hash"]
+    plan = mix_plan(docs, seed, **shares).select(*id_keys(), _source_key(F.col("source")).alias("key"), "hash", "copies")
     plan = plan.groupBy(*keys).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where(F.col("copies") > 0)
-    packed = docs.select(F.struct("*").alias("row"), "doc_id", _source_key(F.col("source")).alias("key"), text_hash("text").alias("hash"))
-    met = packed.alias("d").join(plan.alias("p"), F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.key") == F.col("p.key")) & (F.col("d.hash") == F.col("p.hash")))
-    met = met.select("row", "d.doc_id", "d.key", "d.hash", "copies", "rows")
+    packed = docs.select(F.struct("*").alias("row"), *id_keys(), _source_key(F.col("source")).alias("key"), text_hash("text").alias("hash"))
+    met = packed.join(plan, keys)
     turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
     share = lambda k: F.floor(F.col("copies") * k / F.col("rows"))
     dealt = met.withColumn("turn", turn).withColumn("n", (share(F.col("turn")) - share(F.col("turn") - 1)).cast("int"))

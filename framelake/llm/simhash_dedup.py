@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.common import python_ready, text_hash, written
+from framelake.llm.common import id_keys, python_ready, text_hash, written
 from framelake.llm.components import connected_components
 
 SHINGLE = 3
@@ -231,8 +231,9 @@ def keepers(rows: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """The rows of ``docs``, all columns, that are kept: one per component. Of
     rows equal in ``doc_id`` and text the first by its other columns' hash stays."""
-    kept = keepers(near_duplicates(docs, size, radius, tile)).withColumnsRenamed({"doc_id": "kept_id", "hash": "kept_hash"})
-    packed = docs.select(F.struct("*").alias("row"), "doc_id", text_hash("text").alias("hash"))
-    met = packed.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")), "left_semi")
-    turn = F.row_number().over(Window.partitionBy("doc_id", "hash").orderBy(F.xxhash64("row")))
+    keys = ["id_key", "no_id", "hash"]
+    kept = keepers(near_duplicates(docs, size, radius, tile)).select(*id_keys(), "hash")
+    packed = docs.select(F.struct("*").alias("row"), *id_keys(), text_hash("text").alias("hash"))
+    met = packed.join(kept, keys, "left_semi")
+    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("row")))
     return met.withColumn("turn", turn).where("turn = 1").select("row.*")
