@@ -79,6 +79,20 @@ def fingerprints(texts: list[bytes], size: int = SHINGLE) -> np.ndarray:
     return out
 
 
+def _parts(texts: list[bytes], size: int = 1 << 22) -> Iterator[list[bytes]]:
+    """``texts`` in runs of about ``size`` bytes, or one longer text: the hashes
+    of a run are in memory together."""
+    part, held = [], 0
+    for text in texts:
+        part.append(text)
+        held += len(text)
+        if held >= size:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 def fingerprint_rows(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``doc_id, hash, fingerprint`` of each row; ``fingerprint`` as a signed long."""
     fields = [docs.schema["doc_id"], T.StructField("hash", T.LongType()), T.StructField("fingerprint", T.LongType())]
@@ -86,7 +100,7 @@ def fingerprint_rows(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or b"" for t in batch.column(2).cast(pa.large_binary()).to_pylist()]
-            prints = pa.array(fingerprints(texts, size).view(np.int64))
+            prints = pa.array(np.concatenate([fingerprints(part, size) for part in _parts(texts)] or [np.zeros(0, np.uint64)]).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints], ["doc_id", "hash", "fingerprint"])
 
     return python_ready(docs).select("doc_id", text_hash("text").alias("hash"), "text").mapInArrow(run, T.StructType(fields))
