@@ -48,7 +48,7 @@ WIDTH = 8
 MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT_TOKENS = 1 << 20
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 19
 MARK = "0"
 
 _HEAD = struct.Struct("<4sIQI4x")
