@@ -2,8 +2,12 @@
 
 Three patterns give the base spans. Beyond them, every run of at least
 ``MIN_LENGTH`` key characters is a candidate. Its encoding is inferred from the
-characters it uses, which gives the alphabet and each character's code. Two
-questions are asked of it:
+characters it uses, which gives the alphabet and each character's code; numbers
+and letters in one case are not judged. A run that fits no encoding, as it holds
+"+" or "/" together with "-" or "_", is split at the characters outside base64,
+base64url and base62 in turn, and the parts are candidates; of those accepted
+that overlap, the one least like text is reported. Two questions are asked of a
+candidate:
 
 * Could it be random? Chi-squared uniformity over the alphabet, a runs test
   about the middle code and a lag-1 serial correlation; it fails if the least
@@ -24,6 +28,8 @@ small table, whatever the number of candidates.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 import string
@@ -63,6 +69,7 @@ _ALPHABETS = {
     "base64": string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/",
     "base64url": string.ascii_uppercase + string.ascii_lowercase + string.digits + "-_",
 }
+_FOLDED = ("hex", "base36")
 _CODES = {name: {c: i for i, c in enumerate(alphabet)} for name, alphabet in _ALPHABETS.items()}
 _NAMES = list(_ALPHABETS)
 
@@ -99,6 +106,15 @@ def infer_encoding(token: str) -> str | None:
     return "base62"
 
 
+def key_parts(run: str) -> list[tuple[int, int]]:
+    """Start and end of the parts of a run that are judged: the whole run, or
+    its parts in each alphabet if it fits none as a whole."""
+    if not (set(run) & set("+/") and set(run) & set("-_")):
+        return [(0, len(run))]
+    found = {m.span(): None for outside in ("+/", "_-", "+/_-") for m in re.finditer(rf"[^{outside}]{{{MIN_LENGTH},}}", run)}
+    return sorted(found)
+
+
 def pearson(codes: np.ndarray, size: int) -> float:
     counts = np.bincount(codes, minlength=size)
     return float(size * (counts**2).sum() / len(codes) - len(codes))
@@ -158,15 +174,18 @@ def candidates(text: str) -> list[dict]:
     """Candidates with encoding, statistic and the battery's P, in order."""
     out = []
     for m in _RUN.finditer(text):
-        token = m[0].rstrip("=")
-        name = infer_encoding(token)
-        if name is None:
-            continue
-        code = _CODES[name]
-        folded = token.lower() if name in ("hex", "base36") else token
-        codes = np.array([code[c] for c in folded])
-        x2 = pearson(codes, len(code))
-        out.append({"start": m.start(), "end": m.end(), "encoding": _NAMES.index(name), "length": len(token), "x2": x2, "random_p": random_p(codes, x2, len(code))})
+        run = m[0].rstrip("=")
+        for start, end in key_parts(run):
+            token = run[start:end]
+            name = infer_encoding(token)
+            if name is None:
+                continue
+            code = _CODES[name]
+            folded = token.lower() if name in _FOLDED else token
+            codes = np.array([code[c] for c in folded])
+            x2 = pearson(codes, len(code))
+            upto = m.end() if end == len(run) else m.start() + end
+            out.append({"start": m.start() + start, "end": upto, "encoding": _NAMES.index(name), "length": len(token), "x2": x2, "random_p": random_p(codes, x2, len(code))})
     return out
 
 
@@ -205,7 +224,7 @@ def alphabet_sums(characters: dict[int, int]) -> list[tuple[float, float]]:
     for name, alphabet in _ALPHABETS.items():
         counts = []
         for c in alphabet:
-            both = {c, c.upper()} if name in ("hex", "base36") else {c}
+            both = {c, c.upper()} if name in _FOLDED else {c}
             counts.append(1 + sum(characters.get(ord(x), 0) for x in both))
         q = np.array(counts, dtype=float) / sum(counts)
         out.append((float((q**2).sum()), float((q**3).sum())))
@@ -225,6 +244,31 @@ def accepted_bins(scored: DataFrame, fdr: float = FDR) -> dict[int, int]:
     return {r["class"]: r["bin"] for r in passed.groupBy("class").agg(F.min("bin").alias("bin")).collect()}
 
 
+def added_spans(base: list[dict], found: list[dict], tests: list[dict], least: dict[int, int]) -> list[dict]:
+    """Accepted candidates apart from the base spans. Of those that overlap
+    (parts of one run) the one least like text is taken, then the next that
+    overlaps none taken."""
+    starts = [s["start"] for s in base]
+    ends = list(itertools.accumulate((s["end"] for s in base), max))
+    ok = []
+    for c, t in zip(found, tests, strict=True):
+        before = bisect.bisect_left(starts, c["end"])
+        if t["random_p"] >= ALPHA and t["bin"] >= least.get(t["class"], math.inf) and not (before and ends[before - 1] > c["start"]):
+            ok.append((c["start"], c["end"], t["bin"]))
+    taken, chain, upto = [], [], 0
+    for c in [*sorted(ok), (math.inf, math.inf, 0)]:
+        if c[0] >= upto:
+            apart: list[tuple] = []
+            for x in sorted(chain, key=lambda x: (-x[2], x[0], -x[1])):
+                if all(x[1] <= y[0] or x[0] >= y[1] for y in apart):
+                    apart.append(x)
+            taken += apart
+            chain = []
+        chain.append(c)
+        upto = max(upto, c[1])
+    return [{"start": start, "kind": len(KINDS), "end": end} for start, end, _ in taken]
+
+
 def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """``doc_id``, ``base`` and ``spans`` (arrays of ``start, kind, end``, code points, end
     exclusive, by start, then kind) for each row of ``docs`` (columns
@@ -257,14 +301,13 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
 
     scored = written(found.drop("characters").mapInArrow(score_batches, schema), "secrets-tests")
     least = accepted_bins(scored, fdr)
-    def is_secret(c, base):
-        t = c["tests"]
-        ok = F.lit(False)
-        for length_class, bin_ in sorted(least.items()):
-            ok = ok | ((t["class"] == length_class) & (t["bin"] >= bin_))
-        apart = ~F.exists(base, lambda s: (s["start"] < c["candidates"]["end"]) & (s["end"] > c["candidates"]["start"]))
-        return ok & (t["random_p"] >= ALPHA) & apart
-
-    pairs = F.filter(F.arrays_zip("candidates", "tests"), lambda c: is_secret(c, F.col("base")))
-    added = F.transform(pairs, lambda c: F.struct(c["candidates"]["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), c["candidates"]["end"].alias("end")))
-    return scored.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))
+    out = T.StructType([*scored.schema.fields[:2], T.StructField("spans", _SPAN)])
+    arrow_out = to_arrow_schema(out)
+
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True)
+            spans = [sorted([*base, *added_spans(base, of, tests, least)], key=lambda s: (s["start"], s["kind"], s["end"])) for base, of, tests in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, arrow_out.field(2).type)], schema=arrow_out)
+
+    return scored.mapInArrow(select, out)
