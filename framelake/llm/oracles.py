@@ -98,3 +98,53 @@ judged AS (SELECT q.*, coalesce(NOT base_failed AND {" AND ".join(
   FROM q LEFT JOIN fence f ON q.lang IS NOT DISTINCT FROM f.lang AND q.source IS NOT DISTINCT FROM f.source)
 """
 OP9 = f"WITH {QUALITY.strip()}\nSELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged"
+
+# CRC-32 of an ASCII string, reflected, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, [CAST(ascii(ch) AS BIGINT) FOR ch IN string_split({0}, '')]), lambda c, b:
+  list_reduce(list_prepend(xor(c, b), [0, 1, 2, 3, 4, 5, 6, 7]), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+OP11 = rf"""
+WITH RECURSIVE t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS i FROM conversations),
+s AS (SELECT c, CAST(c AS VARCHAR) AS name FROM (SELECT DISTINCT c FROM t)),
+h AS (SELECT c, {_CRC32.format("name")} % 9 AS h FROM s),
+r AS (SELECT h.c, t.i, t.role, t.text FROM h JOIN t ON t.c = h.c - h.c % 5 AND t.i < h.h
+  UNION ALL SELECT h.c, 100 + t.i, t.role, t.text FROM h JOIN t ON t.c = h.c AND t.i >= h.h),
+p AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY i) AS d, list(sha256(role) || sha256(text)) OVER (PARTITION BY c ORDER BY i) AS seq,
+  strlen(text) AS bytes, count(*) OVER (PARTITION BY c) AS n FROM r),
+o AS (SELECT c, d, sha256(array_to_string(seq, '')) AS node, CASE WHEN d > 1 THEN sha256(array_to_string(seq[:d - 1], '')) ELSE '' END AS up, bytes, n = d AS ends FROM p
+  UNION ALL SELECT c, 0, '', NULL, 0, c NOT IN (SELECT c FROM p) FROM h),
+n AS (SELECT node, d, up, bytes, min(c) AS conv_id, count(*) AS n_convs,
+  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM o GROUP BY ALL),
+k AS (SELECT up AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY up),
+w AS (SELECT n.*, coalesce(n_children, 0) AS n_children, n_children IS NULL AS leaf FROM n LEFT JOIN k USING (node)),
+below AS (SELECT node AS top, node, d FROM w UNION ALL SELECT b.top, w.node, w.d FROM below b JOIN w ON w.up = b.node AND w.d = b.d + 1),
+g AS (SELECT top AS node, count(*) FILTER (leaf) AS n_leaves, sum((n_convs - 1) * bytes) AS saved FROM below JOIN w USING (node) GROUP BY top)
+SELECT w.conv_id, w.d AS depth, a.conv_id AS parent_conv_id, w.n_convs, w.n_children, g.n_leaves, CAST(g.saved AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM w JOIN g USING (node) LEFT JOIN w a ON w.up = a.node
+"""
+
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || {0}, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || " + _FIELD + ")"
+
+OP13 = f"""
+WITH RECURSIVE l AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {_LEAF.format("text")} AS leaf,
+  {_LEAF.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lowered, CAST(doc_id AS VARCHAR) AS name,
+  row_number() OVER (PARTITION BY coalesce('=' || lang, '') ORDER BY doc_id NULLS FIRST) - 1 AS pos FROM documents),
+low AS (SELECT tree, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY tree) AS size FROM l
+  UNION ALL SELECT tree, max(level) + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), max(size + 7) // 8 FROM low WHERE size > 1 GROUP BY tree, pos // 8),
+sub AS (SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos FROM low WHERE size = 1),
+high AS (SELECT '/' AS tree, 0 AS level, pos, subroot AS digest, count(*) OVER () AS size FROM sub
+  UNION ALL SELECT tree, max(level) + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), max(size + 7) // 8 FROM high WHERE size > 1 GROUP BY tree, pos // 8),
+runs AS (SELECT tree, level, pos // 8 AS run, list(digest ORDER BY pos) AS nodes FROM (FROM low UNION ALL FROM high) WHERE size > 1 GROUP BY ALL),
+walk AS (SELECT doc_id, pos AS leaf_pos, tree AS lang, tree, 0 AS level, pos, '' AS proof, CASE WHEN {_CRC32.format("name")} % 3 = 0 THEN lowered ELSE leaf END AS folded FROM l
+  UNION ALL SELECT doc_id, leaf_pos, lang, w.tree, w.level + 1, w.pos // 8, proof || array_to_string(nodes[:w.pos % 8] || nodes[w.pos % 8 + 2:], ''),
+    sha256(array_to_string(nodes[:w.pos % 8] || [folded] || nodes[w.pos % 8 + 2:], '')) FROM walk w JOIN runs r ON r.tree = w.tree AND r.level = w.level AND r.run = w.pos // 8),
+subs AS (SELECT w.* FROM walk w JOIN (SELECT tree, max(level) AS level FROM low GROUP BY tree) t ON w.lang = t.tree AND w.level = t.level),
+up AS (SELECT doc_id, leaf_pos, lang, 0 AS level, s.pos, proof, folded, subroot FROM subs JOIN sub s ON s.tree = lang
+  UNION ALL SELECT doc_id, leaf_pos, lang, u.level + 1, u.pos // 8, proof || array_to_string(nodes[:u.pos % 8] || nodes[u.pos % 8 + 2:], ''),
+    sha256(array_to_string(nodes[:u.pos % 8] || [folded] || nodes[u.pos % 8 + 2:], '')), subroot FROM up u JOIN runs r ON r.tree = '/' AND r.level = u.level AND r.run = u.pos // 8),
+top AS (SELECT max(level) AS level, max(digest) FILTER (size = 1) AS root FROM high)
+SELECT u.doc_id, l.leaf, u.subroot, t.root, sha256(u.proof) AS proof_sha256, u.folded AS folded_root, u.folded = t.root AS verified
+FROM up u JOIN top t ON u.level = t.level JOIN l ON l.tree = u.lang AND l.pos = u.leaf_pos
+"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,9 @@ from framelake.llm.chat import formatted_digests
 from framelake.llm.common import table
 from framelake.llm.decontaminate import mark
 from framelake.llm.line_dedup import duplicate_lines
+from framelake.llm.merkle import FIELDS, leaf_digest, manifest, proof_digest
 from framelake.llm.mixing import mix_plan
+from framelake.llm.prefix_trie import prefix_trie
 from framelake.llm.quality import judge
 from framelake.llm.secrets import KINDS, METHOD_KIND, find_secrets
 from framelake.llm.simhash_dedup import near_duplicates
@@ -96,6 +99,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, checked against rows a third of which have their letters lowered."""
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    shown = F.when(hit, leaf_digest(*[lowered if c == "text" else F.col(c) for c in FIELDS]))
+    rows = proof_digest(manifest(table(spark, sf_dir, "documents"), shown))
+    digits = [F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root")]
+    return rows.select("doc_id", *digits, F.col("proof").alias("proof_sha256"), F.lower(F.hex("folded")).alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_line_dedup": op2_line_dedup,
@@ -107,5 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
-ORACLE_SQL: dict[str, str] = {"op3_chat_format": oracles.OP3, "op4_url_filter": oracles.OP4, "op6_decontaminate": oracles.OP6, "op8_source_mix": oracles.OP8, "op9_quality_rules": oracles.OP9}
+ORACLE_SQL: dict[str, str] = {"op3_chat_format": oracles.OP3, "op4_url_filter": oracles.OP4, "op6_decontaminate": oracles.OP6, "op8_source_mix": oracles.OP8, "op9_quality_rules": oracles.OP9, "op11_prefix_trie": oracles.OP11, "op13_merkle_manifest": oracles.OP13}
