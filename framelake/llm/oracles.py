@@ -124,6 +124,18 @@ SELECT w.conv_id, w.d AS depth, a.conv_id AS parent_conv_id, w.n_convs, w.n_chil
 FROM w JOIN g USING (node) LEFT JOIN w a ON w.up = a.node
 """
 
+OP12 = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w FROM documents),
+s AS (SELECT r, doc_id, list_distinct(CASE WHEN len(w) = 1 THEN w ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END) AS g FROM d),
+e AS (SELECT r, len(g) AS n, unnest(g) AS x FROM s),
+l AS (SELECT a.r AS a, b.r AS b FROM e a JOIN e b ON a.x = b.x AND a.r <> b.r AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+c AS (SELECT r AS a, r AS b FROM s UNION SELECT c.a, l.b FROM c JOIN l ON c.b = l.a),
+m AS (SELECT c.a AS r, min(doc_id) AS component_id FROM c JOIN s ON c.b = s.r GROUP BY c.a)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM s JOIN m USING (r)
+"""
+
 _FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || {0}, '-')"
 _LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || " + _FIELD + ")"
 

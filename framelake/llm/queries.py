@@ -14,6 +14,7 @@ from framelake.llm.common import table
 from framelake.llm.decontaminate import mark
 from framelake.llm.line_dedup import duplicate_lines
 from framelake.llm.merkle import FIELDS, leaf_digest, manifest, proof_digest
+from framelake.llm.minhash_dedup import near_duplicates as minhash_duplicates
 from framelake.llm.mixing import mix_plan
 from framelake.llm.prefix_trie import prefix_trie
 from framelake.llm.quality import judge
@@ -103,6 +104,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_duplicates(table(spark, sf_dir, "documents")).drop("hash")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest, checked against rows a third of which have their letters lowered."""
     hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
@@ -125,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_minhash": op12_minhash,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
-ORACLE_SQL: dict[str, str] = {"op3_chat_format": oracles.OP3, "op4_url_filter": oracles.OP4, "op6_decontaminate": oracles.OP6, "op8_source_mix": oracles.OP8, "op9_quality_rules": oracles.OP9, "op11_prefix_trie": oracles.OP11, "op13_merkle_manifest": oracles.OP13}
+ORACLE_SQL: dict[str, str] = {"op3_chat_format": oracles.OP3, "op4_url_filter": oracles.OP4, "op6_decontaminate": oracles.OP6, "op8_source_mix": oracles.OP8, "op9_quality_rules": oracles.OP9, "op11_prefix_trie": oracles.OP11, "op12_minhash": oracles.OP12, "op13_merkle_manifest": oracles.OP13}
