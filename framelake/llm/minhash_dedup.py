@@ -8,12 +8,15 @@ values. They are cut into ``BANDS`` bands of ``ROWS`` values; documents with an
 equal band share a bucket. Two sets with similarity s share none with
 probability ``(1 - s ** ROWS) ** BANDS``: 3 in a million at 0.8.
 
-All pairs of a bucket are not needed to connect its documents. In ``STARS``
-rounds each is held against one hub of the bucket, then the pairs that are
-still in different components are compared by signature, tile by tile; those
-that may reach the threshold are verified too. A link counts when the full sets
-are similar enough, and a group of thousands of near copies costs about one
-verification per copy and round. Equal texts are one node from the start.
+All pairs of a bucket are not needed to connect its documents. First each is
+held against the bucket's hub, the document with the most neighbours, then
+against the one in another component that its signature is most like. Documents
+that had such a partner are few by now. At last they are brought together by
+hub with their full sets, in tiles, and all their pairs that are still in
+different components, share a bucket's hub and are near by signature are
+verified where they lie: a task gives back only the links that join components.
+A link counts when the full sets are similar enough. Equal texts are one node
+from the start.
 """
 
 from __future__ import annotations
@@ -29,17 +32,18 @@ from pyspark.sql import types as T
 
 from framelake.llm.common import python_ready, text_hash, written
 from framelake.llm.components import connected_components
+from framelake.llm.simhash_dedup import Forest
 
 SHINGLE = 2
 SIMILARITY_PERCENT = 80
-PERMUTATIONS = 80
-ROWS = 5
+PERMUTATIONS = 126
+ROWS = 6
 BANDS = 2 * PERMUTATIONS // ROWS
-STARS = 2
-# Of the signature's 160 values 128 agree on average at the threshold; fewer
-# than 100 do once in ten million pairs, and such pairs alone are not verified.
-MIN_AGREE = 100
+# Of a signature's 252 values 202 agree on average at the threshold, fewer than
+# 177 (70 %) once in 10,000 pairs; such pairs are verified only with hubs.
+MIN_AGREE = 177
 TILE = 512
+TILE_SHINGLES = 1 << 18  # of a tile with full sets, unless one set has more
 SALT = 1024  # members that a task holds against one copy of their hub
 _CHUNK = 1 << 17  # hashes at a time: in cache
 _WORDS = 1 << 18
@@ -127,83 +131,139 @@ def signed_rows(docs: DataFrame) -> DataFrame:
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
-    """``key, node, n_shingles`` of the buckets of several nodes."""
+    """``key, node, n_shingles, hub, hub_size`` of the buckets of several
+    nodes. The hub is the node whose own buckets have most members in all."""
     entries = nodes.select(F.explode("keys").alias("key"), "node", "n_shingles")
-    shared = entries.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("key")
-    return entries.join(shared, "key")
+    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = written(entries.join(shared, "key"), "minhash-shared")
+    weighed = members.drop("n").join(members.groupBy("node").agg(F.sum("n").alias("weight")), "node")
+    hub = F.max(F.struct("weight", F.col("node").alias("hub"), F.col("n_shingles").alias("hub_size"))).alias("h")
+    return weighed.drop("weight").join(weighed.groupBy("key").agg(hub).select("key", "h.hub", "h.hub_size"), "key")
 
 
 def _sizes_allow(a: str, b: str):
     return 100 * F.least(a, b) >= SIMILARITY_PERCENT * F.greatest(a, b)
 
 
-def star_pairs(members: DataFrame, number: int) -> DataFrame:
-    """Pairs ``a, b`` of a node and the hub of a bucket of ``members`` (``key,
-    node, n_shingles, label``) that have different labels; another hub for each
-    ``number``."""
-    hub = F.min(F.struct(F.xxhash64("node", F.lit(number)), F.col("node").alias("hub"), F.col("n_shingles").alias("hub_size"), F.col("label").alias("hub_label")))
-    hubs = members.groupBy("key").agg(hub.alias("h")).select("key", "h.hub", "h.hub_size", "h.hub_label")
-    met = members.join(hubs, "key").where((F.col("label") != F.col("hub_label")) & _sizes_allow("n_shingles", "hub_size"))
+def hub_pairs(members: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of a node and its bucket's hub."""
+    met = members.where((F.col("node") != F.col("hub")) & _sizes_allow("n_shingles", "hub_size"))
     return met.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
 
 
 def open_members(members: DataFrame, components: DataFrame) -> DataFrame:
     """``members`` with their component as ``label``, of the buckets that have several."""
-    labelled = members.select("key", "node", "n_shingles").join(components.withColumnRenamed("component", "label"), "node", "left")
+    labelled = members.select("key", "node", "n_shingles", "hub").join(components.withColumnRenamed("component", "label"), "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "node"))
     several = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    return labelled.join(several, "key").select("key", "node", "n_shingles", "label")
+    return labelled.join(several, "key").select("key", "node", "n_shingles", "hub", "label")
 
 
-def _near(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Members of two tiles, by index, of different labels, whose sizes and
-    signatures allow the similarity."""
+def _near(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Members of two tiles, by index, of different labels, whose sizes allow
+    the similarity, and in how many values they agree, if in ``MIN_AGREE``."""
     least, most = np.minimum.outer(a["size"], b["size"]), np.maximum.outer(a["size"], b["size"])
-    near = (a["label"][:, None] != b["label"][None, :]) & (100 * least >= SIMILARITY_PERCENT * most)
-    i, j = np.nonzero(near)
-    out = [np.zeros(0, np.int64)] * 2
-    for at in range(0, len(i), 1 << 15):
-        x, y = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
-        agree = (a["signature"][x] == b["signature"][y]).sum(axis=1) >= MIN_AGREE
-        out = [np.concatenate((o, v[agree])) for o, v in zip(out, (x, y), strict=True)]
-    return out[0], out[1]
-
-
-def open_pairs(members: DataFrame, nodes: DataFrame, tile: int = TILE) -> DataFrame:
-    """Pairs ``a, b`` of an open bucket's nodes with different labels that
-    their signatures do not rule out. A bucket is cut into tiles; pairs of
-    tiles are dealt out, so a large bucket is many tasks."""
-    cuts = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("tiles"))
-    member = F.struct("node", "n_shingles", "label", "signature")
+    i, j = np.nonzero((a["label"][:, None] != b["label"][None, :]) & (100 * least >= SIMILARITY_PERCENT * most))
+    for at in range(0, len(i), 1 << 14):
+        x, y = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+        agree = (a["signature"][x] == b["signature"][y]).sum(axis=1)
+        near = agree >= MIN_AGREE
+        yield x[near], y[near], agree[near]
+
+
+def _tile_pairs(rows: DataFrame, group: str, tiles: DataFrame, fields: list[str], name: str) -> DataFrame:
+    """Pairs ``a, b`` of tiles of a ``group``'s rows, as arrays of structs; a
+    group is cut into as many as ``tiles`` says, so a large one is many tasks."""
     part = F.pmod(F.xxhash64("node", F.lit("tile")), F.col("tiles")).cast("int")
-    tiles = members.join(cuts, "key").join(nodes.select("node", "signature"), "node").groupBy("key", part.alias("part"), "tiles").agg(F.collect_list(member).alias("members"))
-    tiles = written(tiles, "minhash-tiles")
-    visits = tiles.select("key", F.col("members").alias("a"), F.explode(F.sequence(F.col("part"), F.col("tiles") - 1)).alias("part"))
-    pairs = visits.join(tiles.select("key", "part", F.col("members").alias("b")), ["key", "part"]).select("a", "b")
+    cut = rows.join(tiles, group).groupBy(group, part.alias("part"), "tiles").agg(F.collect_list(F.struct(*fields)).alias("members"))
+    cut = written(cut, name)
+    visits = cut.select(group, F.col("members").alias("a"), F.explode(F.sequence(F.col("part"), F.col("tiles") - 1)).alias("part"))
+    return visits.join(cut.select(group, "part", F.col("members").alias("b")), [group, "part"]).select("a", "b")
+
+
+def _arrays(members: pa.Array) -> dict:
+    signature = np.frombuffer(b"".join(members.field("signature").to_pylist()), np.uint8).reshape(len(members), -1)
+    return {"node": members.field("node").to_numpy(), "size": members.field("n_shingles").to_numpy(), "label": members.field("label").to_numpy(), "signature": signature}
+
+
+def best_pairs(members: DataFrame, nodes: DataFrame, tile: int = TILE) -> DataFrame:
+    """Pairs ``a, b`` of each node of the open buckets and the one of another
+    label that its signature is most like, unless it is ruled out."""
+    tiles = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("tiles"))
+    rows = members.join(nodes.select("node", "signature"), "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            partner: dict[int, tuple[int, int]] = {}  # agreement and node
+            for row in range(batch.num_rows):
+                a, b = (_arrays(batch.column(c)[row].values) for c in (0, 1))
+                for i, j, agree in _near(a, b):
+                    for x, y, n in zip(a["node"][i].tolist(), b["node"][j].tolist(), agree.tolist(), strict=True):
+                        partner[x] = max(partner.get(x, (0, 0)), (n, y))
+                        partner[y] = max(partner.get(y, (0, 0)), (n, x))
+            columns = [pa.array(c, pa.int64()) for c in (list(partner), [y for _, y in partner.values()], [n for n, _ in partner.values()])]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "agree"])
+
+    pairs = _tile_pairs(rows, "key", tiles, ["node", "n_shingles", "label", "signature"], "minhash-tiles")
+    near = python_ready(pairs).mapInArrow(run, "a long, b long, agree long")
+    near = near.groupBy("a").agg(F.max(F.struct("agree", "b")).alias("m"))
+    return near.select(F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b")).distinct()
+
 
-    def arrays(members: pa.Array) -> dict[str, np.ndarray]:
-        fields = {n: members.field(n) for n in ("node", "n_shingles", "label", "signature")}
-        signature = np.frombuffer(b"".join(fields["signature"].to_pylist()), np.uint8).reshape(len(members), -1)
-        return {"node": fields["node"].to_numpy(), "size": fields["n_shingles"].to_numpy(), "label": fields["label"].to_numpy(), "signature": signature}
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two (ascending) sets are similar enough."""
+    places = np.searchsorted(a, b)
+    places[places == len(a)] = 0
+    both = int((a[places] == b).sum())
+    return 100 * both >= SIMILARITY_PERCENT * (len(a) + len(b) - both)
+
+
+def open_links(members: DataFrame, candidates: DataFrame, nodes: DataFrame, docs: DataFrame, tile_shingles: int = TILE_SHINGLES) -> DataFrame:
+    """Links ``a, b`` that join the components of all near pairs of the
+    ``candidates`` (``node``) in the open buckets, verified on full sets."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([shingle_set(t.as_py()).tobytes() for t in batch.column(1).cast(pa.large_binary())], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["node", "shingles"])
+
+    full = written(python_ready(node_texts(candidates, docs)).mapInArrow(sets, "node long, shingles binary"), "minhash-sets")
+    rows = written(members.join(candidates, "node", "left_semi").select("hub", "node", "n_shingles", "label").distinct(), "minhash-left")
+    tiles = rows.groupBy("hub").agg(F.ceil(F.sum("n_shingles") / F.lit(tile_shingles)).cast("int").alias("tiles"))
+    rows = rows.join(nodes.select("node", "signature"), "node").join(full, "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()  # of labels
         for batch in batches:
+            found = []
             for row in range(batch.num_rows):
-                a, b = (arrays(batch.column(c)[row].values) for c in (0, 1))
-                i, j = _near(a, b)
-                x, y = a["node"][i], b["node"][j]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+                (a, x), (b, y) = ((_arrays(m), [np.frombuffer(s, np.uint64) for s in m.field("shingles").to_pylist()]) for m in (batch.column(c)[row].values for c in (0, 1)))
+                for i, j, agree in _near(a, b):
+                    order = np.argsort(-agree, kind="stable")
+                    for p, q in zip(i[order].tolist(), j[order].tolist(), strict=True):
+                        left, right = (forest.root(int(v)) for v in (a["label"][p], b["label"][q]))
+                        if left != right and similar(x[p], y[q]):
+                            forest.link(left, right)
+                            found.append((a["node"][p], b["node"][q]))
+            yield pa.RecordBatch.from_arrays([pa.array([f[side] for f in found], pa.int64()) for side in (0, 1)], ["a", "b"])
+
+    pairs = _tile_pairs(rows, "hub", tiles, ["node", "n_shingles", "label", "signature", "shingles"], "minhash-full")
+    return written(python_ready(pairs).mapInArrow(run, "a long, b long"), "minhash-links")
+
 
-    return python_ready(pairs).mapInArrow(run, "a long, b long").distinct()
+def node_texts(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, text`` of some nodes."""
+    return docs.select(text_hash("text").alias("node"), "text").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough. A task reads a hub's text
     once and holds up to about ``SALT`` members against it, one at a time."""
-    pairs = written(pairs, "minhash-pairs")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = docs.select(text_hash("text").alias("node"), "text").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    texts = written(texts, "minhash-texts")
+    texts = written(node_texts(_ends(pairs), docs), "minhash-texts")
     dealt = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / F.lit(SALT)).alias("salts"))
     pairs = pairs.join(dealt, "b").select("a", "b", F.pmod(F.xxhash64("a", "b"), F.col("salts")).alias("salt"))
     members = pairs.join(texts.withColumnRenamed("node", "a"), "a").select("b", "salt", "a", "text")
@@ -220,10 +280,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 if node is None:
                     hub = own
                     continue
-                places = np.searchsorted(hub, own)
-                places[places == len(hub)] = 0
-                both = int((hub[places] == own).sum())
-                if 100 * both >= SIMILARITY_PERCENT * (len(hub) + len(own) - both):
+                if similar(hub, own):
                     found.append((node, b[at]))
             yield pa.RecordBatch.from_arrays([pa.array([f[side] for f in found], pa.int64()) for side in (0, 1)], ["a", "b"])
 
@@ -233,14 +290,15 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 def node_components(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """``node, component`` of the nodes that are linked to another."""
     members = written(bucket_members(nodes), "minhash-members")
-    links = verified(star_pairs(members.withColumn("label", F.col("node")), 0), docs)
+    links = verified(written(hub_pairs(members), "minhash-pairs"), docs)
+    components = connected_components(links, "minhash-components")
+    left = written(open_members(members, components), "minhash-open")
+    pairs = written(best_pairs(left, nodes), "minhash-best")
+    links = links.union(verified(pairs, docs))
     components = connected_components(links, "minhash-components")
-    for number in range(1, STARS + 1):
-        left = written(open_members(members, components), "minhash-open")
-        pairs = star_pairs(left, number) if number < STARS else open_pairs(left, nodes)
-        links = links.union(verified(pairs, docs))
-        components = connected_components(links, "minhash-components")
-    return components
+    left = open_members(members, components)
+    links = links.union(open_links(left, _ends(pairs), nodes, docs))
+    return connected_components(links, "minhash-components")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
