@@ -48,14 +48,18 @@ WIDTH = 8
 MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT_TOKENS = 1 << 20
-CACHE_WORDS = 1 << 19
+CACHE_BYTES = 48 << 20  # of each of the two generations
+_ENTRY = 200  # bytes of a cache entry beside its piece and ids
 MARK = "0"
 
 _HEAD = struct.Struct("<4sIQI4x")
-# Latin letters, then closing punctuation: in UTF-8 without capitals beyond
-# A-Z (C3 9F is ß, C3 A0 to C3 BF are à to ÿ, C3 B7 is not a letter), and with.
-_SIMPLE = re.compile(rb"((?:[A-Za-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([.,;:!?#*$%&]*)")
-_SIMPLE_UPPER = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&]*)")
+# Latin letters: in UTF-8 without capitals beyond A-Z (C3 9F is ß, C3 A0 to
+# C3 BF are à to ÿ, C3 B7 is not a letter), and as text with them.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+_LETTERS_UPPER = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# One closing punctuation mark at the end of a piece, after a letter. The mark
+# comes first in the pattern, so the search skips to marks.
+_CLOSING = re.compile(rb"([.,;:!?#*$%&])(?:(?<=[a-z].)|(?<=\xc3[\x9f-\xb6\xb8-\xbf].))(?![^\x20\x09-\x0D])")
 
 
 def _padded(data: bytes) -> bytes:
@@ -136,14 +140,17 @@ class WordEncoder:
     pieces apart, each distinct piece encoded once.
 
     It holds for ``word_bpe_49k.json``: canonical composition stops at a space,
-    letters are lowered one by one, and its pattern matches no white space. A
-    piece of Latin letters and closing punctuation is in turn its lower-case
-    letters and its punctuation, each a token sequence of its own; new ones of
-    these go to the merges directly, past the normaliser and the pattern, which
-    would leave them as they are. The cache is emptied when it holds
-    ``CACHE_WORDS`` pieces."""
-
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    letters are lowered one by one, so A-Z can be lowered first, and its pattern
+    matches no white space and parts letters from punctuation, so a piece's
+    closing punctuation mark is a piece of its own. New pieces of Latin letters go to
+    the merges directly, past the normaliser and the pattern, which would leave
+    them as they are.
+
+    The cache has two generations of ``cache_bytes`` each: when the young one is
+    full it becomes the old one, whose pieces come back as they are met, so
+    frequent pieces stay and rare ones go."""
+
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -151,49 +158,54 @@ class WordEncoder:
         self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         (self.between,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.cache: dict[bytes, bytes] = {}
-        self.cache_words = cache_words
+        self.old: dict[bytes, bytes] = {}
+        self.cache_bytes, self.held = cache_bytes, 0
 
     def _learn(self, pieces: Iterable[bytes]) -> None:
         """Put the ids of new pieces into the cache."""
-        made, parts = [], set()
+        letters, as_written = [], []
         for piece in pieces:
-            simple = _SIMPLE.fullmatch(piece)
-            if simple is not None:
-                letters, closing = simple[1].lower(), simple[2]  # of bytes, lowers A-Z
+            if _LETTERS.fullmatch(piece) is not None:
+                letters.append(piece)
+                as_written.append(piece)
+                continue
+            text = piece.decode()
+            if _LETTERS_UPPER.fullmatch(text) is not None:
+                letters.append(text.lower().encode())
+                as_written.append(piece)
             else:
-                text = piece.decode()
-                simple = _SIMPLE_UPPER.fullmatch(text)
-                if simple is None:
-                    self.cache[piece] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-                    continue
-                letters, closing = simple[1].lower().encode(), simple[2].encode()
-            parts.add(letters)
-            if closing:
-                parts.add(closing)
-                made.append((piece, letters, closing))
-            elif letters != piece:
-                made.append((piece, letters, b""))
-        new = list(parts.difference(self.cache))
+                self.cache[piece] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if not letters:
+            return
+        # All in one call, a lone digit between them, whose id shows where one ends.
+        text = f" {MARK} ".join(p.decode() for p in letters)
+        ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        data, at = ids.tobytes(), 0
+        for piece, end in zip(as_written, [*(4 * np.flatnonzero(ids == self.between)).tolist(), len(data)], strict=True):
+            self.cache[piece] = data[at:end]
+            at = end + 4
+
+    def _meet(self, pieces: set[bytes]) -> None:
+        """Put pieces that the young cache lacks into it."""
+        if self.held > self.cache_bytes:
+            self.old, self.cache, self.held = self.cache, {}, 0
+        known = [piece for piece in pieces if piece in self.old]
+        for piece in known:
+            self.cache[piece] = self.old[piece]
+        new = pieces.difference(known)
         if new:
-            # All in one call, a lone digit between them, whose id shows where one ends.
-            text = f" {MARK} ".join(p.decode() for p in new)
-            ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-            data, at = ids.tobytes(), 0
-            for part, end in zip(new, [*(4 * np.flatnonzero(ids == self.between)).tolist(), len(data)], strict=True):
-                self.cache[part] = data[at:end]
-                at = end + 4
-        for piece, letters, closing in made:
-            self.cache[piece] = self.cache[letters] + self.cache[closing] if closing else self.cache[letters]
+            self._learn(new)
+        self.held += sum(map(len, pieces)) + sum(len(self.cache[p]) for p in pieces) + _ENTRY * len(pieces)
 
     def encode(self, text: bytes) -> bytes:
         """The ids of the UTF-8 ``text``, four little-endian bytes each."""
-        pieces = text.split()
+        pieces = _CLOSING.sub(rb" \1", text.lower()).split()
         new = set(pieces).difference(self.cache)
         if new:
-            if len(self.cache) > self.cache_words:
-                self.cache.clear()
-                new = set(pieces)
-            self._learn(new)
+            before = self.cache
+            self._meet(new)
+            if self.cache is not before:
+                self._meet(set(pieces).difference(self.cache))
         return b"".join(map(self.cache.__getitem__, pieces))
 
 

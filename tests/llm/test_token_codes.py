@@ -39,7 +39,7 @@ def test_block_borders(n):
 
 
 def test_pieces_encode_like_whole_texts():
-    encoder, draw = C.WordEncoder(PATH, cache_words=500), random.Random(1)
+    encoder, draw = C.WordEncoder(PATH, cache_bytes=100_000), random.Random(1)
     parts = [*"abAB'st  \t\n\x0b\x0c\r\x1c\x1f\x85 ̸́éÉİΣσς1٣中<|>", "<|endoftext|>", "<|startoftext|>", "'re", "é"]
     for _ in range(5000):
         text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 14)))
