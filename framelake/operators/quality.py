@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framelake.functions.framing import (
@@ -81,6 +81,27 @@ def subject_name(topic, message):
     return F.concat_ws("-", topic, message)
 
 
+GAP_RANGE = 1 << 20  # offsets of a partition that are looked at together
+
+
+def offset_gaps(records: DataFrame, width: int = GAP_RANGE) -> DataFrame:
+    """DEC-5: the offsets that are missing between a partition's first and last
+    record: ``topic, partition, first_missing, last_missing, missing``.
+
+    Offsets are looked at in ranges of ``width``; the gaps at the borders of
+    ranges come from their first and last offsets alone, so a partition with a
+    third of all records is many tasks. Repeated offsets leave no gap; records
+    without an offset are not counted."""
+    keys = ["topic", "partition"]
+    placed = records.where(F.col("offset").isNotNull()).select(*keys, "offset", F.floor(F.col("offset") / width).alias("range"))
+    after = F.lead("offset").over(Window.partitionBy(*keys, "range").orderBy("offset"))
+    inner = placed.select(*keys, F.col("offset").alias("before"), after.alias("after"))
+    ends = placed.groupBy(*keys, "range").agg(F.min("offset").alias("first"), F.max("offset").alias("last"))
+    border = ends.select(*keys, F.col("last").alias("before"), F.lead("first").over(Window.partitionBy(*keys).orderBy("range")).alias("after"))
+    missing = F.col("after") - F.col("before") - 1
+    return inner.unionByName(border).where(missing > 0).select(*keys, (F.col("before") + 1).alias("first_missing"), (F.col("after") - 1).alias("last_missing"), missing.alias("missing"))
+
+
 def registry_table(spark: SparkSession, entries: Iterable[tuple[int, str, str]]) -> DataFrame:
     """Registered schemas as a table: ``schema_id, topic, message, subject``."""
     rows = [

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from framelake.functions.framing import frame
 from framelake.operators.protobuf import to_protobuf
-from framelake.schemas import DEMO_ENVELOPE, DEMO_EVENT, TEST_ROOT, demo_descriptor_set
+from framelake.schemas import DEMO_ENVELOPE, DEMO_EVENT, DEMO_EVENT_BYTES, TEST_ROOT, demo_descriptor_set
 from framelake.session import scratch_path
 from framelake.settings import Settings
 from framelake.sources.topic import HEADER_TYPE, RECORD_COLUMNS
@@ -38,6 +38,14 @@ HARD_INDEX_BYTES = bytes.fromhex("840005AC02")
 HARD_EVERY, HARD_REMAINDER, HARD_VALUE = 20, 17, bytes.fromhex("010203")
 ENVELOPE_SCHEMA_ID = 2
 ROOT_SCHEMA_ID = 3
+# The mixed topic: every third record is an envelope (message 0 of its own
+# file), every other third the second message of the event's file, whose id is
+# bytes that no string field accepts.
+MIXED_TOPIC = "demo.mixed"
+MIXED_EVERY, MIXED_ENVELOPE, MIXED_BYTES = 3, 0, 1
+BYTES_MARK = bytes.fromhex("FF")
+BYTES_SCHEMA_ID = 1
+SCHEMA_FILES = {1: "acme/demo/v1/demo.proto", 2: "acme/demo/v1/envelope.proto"}
 
 _materialized: dict[tuple, str] = {}
 
@@ -138,14 +146,35 @@ def root_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _record_columns(ev, ROOT_TOPIC, frame(message, ROOT_SCHEMA_ID), F.lit(None))
 
 
+def mixed_topic(spark: SparkSession, sf_dir: str, envelopes: bool = True) -> DataFrame:
+    """Frames of three messages in one topic, or of two, without envelopes."""
+    ev = _spread(events(spark, sf_dir))
+    ds = demo_descriptor_set()
+    key, ms = F.col("event_id").cast("string"), F.unix_millis(F.col("ts").cast("timestamp"))
+    event = F.struct(key.alias("id"), ms.alias("created_at_epoch_ms"), F.col("props").alias("payload"))
+    header_map = F.create_map(F.lit("ce_type"), F.col("event_type"))
+    envelope = to_protobuf(F.struct(event.alias("event"), header_map.alias("headers")), DEMO_ENVELOPE, ds)
+    marked = F.concat(F.lit(bytearray(BYTES_MARK)), key.cast("binary"))
+    raw = to_protobuf(F.struct(marked.alias("id"), ms.alias("created_at_epoch_ms"), F.col("props").alias("payload")), DEMO_EVENT_BYTES, ds)
+    kind = F.pmod(F.col("event_id"), F.lit(MIXED_EVERY))
+    value = (
+        F.when(F.lit(envelopes) & (kind == MIXED_ENVELOPE), frame(envelope, ENVELOPE_SCHEMA_ID))
+        .when(kind == MIXED_BYTES, frame(raw, BYTES_SCHEMA_ID, (1,)))
+        .otherwise(frame(event_message(ds), 1))
+    )
+    return _record_columns(ev, MIXED_TOPIC, value, F.lit(None))
+
+
 _BUILDERS = {
     "events": lambda spark, sf: event_topic(spark, sf),
     "events_raw": lambda spark, sf: event_topic(spark, sf, raw=True),
     "events_hard": lambda spark, sf: event_topic(spark, sf, hard=True),
     "envelopes": envelope_topic,
     "roots": root_topic,
+    "mixed": mixed_topic,
+    "revised": lambda spark, sf: mixed_topic(spark, sf, envelopes=False),
 }
-TOPIC_NAMES = {"events": EVENT_TOPIC, "events_raw": EVENT_TOPIC, "events_hard": EVENT_TOPIC, "envelopes": ENVELOPE_TOPIC, "roots": ROOT_TOPIC}
+TOPIC_NAMES = {"events": EVENT_TOPIC, "events_raw": EVENT_TOPIC, "events_hard": EVENT_TOPIC, "envelopes": ENVELOPE_TOPIC, "roots": ROOT_TOPIC, "mixed": MIXED_TOPIC, "revised": MIXED_TOPIC}
 
 
 def topic_path(spark: SparkSession, sf_dir: str, kind: str) -> str:

@@ -10,17 +10,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.functions.framing import register_sql_functions
 from framelake.functions.headers import cloudevents_columns
-from framelake.operators.quality import classify, frame_census, quarantined, registry_table, schema_reconcile
+from framelake.operators.mixed import decode_mixed
+from framelake.operators.protobuf import PERMISSIVE
+from framelake.operators.quality import classify, frame_census, offset_gaps, quarantined, registry_table, schema_reconcile
 from framelake.operators.readback import latest_table_rows, read_table, sample_rows
 from framelake.operators.views import decoded_message, headers_view, ingest_view, payload_view, raw_view, record_view
-from framelake.plans.fixtures import EVENT_TOPIC, topic_settings
-from framelake.schemas import DEMO_ENVELOPE, DEMO_EVENT, TEST_ROOT, demo_descriptor_set
+from framelake.plans.fixtures import EVENT_TOPIC, MIXED_TOPIC, SCHEMA_FILES, topic_settings
+from framelake.schemas import DEMO_ENVELOPE, DEMO_EVENT, DEMO_EVENT_BYTES, TEST_ROOT, demo_descriptor_set
 from framelake.session import scratch_path
+from framelake.sources.descriptors import load_descriptor_set, save_descriptor_set
 from framelake.sources.topic import read_topic, write_topic
 from framelake.streaming.jobs import (
     INSPECT_QUERY_NAMES,
@@ -30,7 +33,7 @@ from framelake.streaming.jobs import (
     start_ingest_with_quarantine,
     start_inspect,
 )
-from framelake.streaming.sinks import ReplaySafeAppend, ensure_target, read_complete, run_id_for
+from framelake.streaming.sinks import RECOVERED, ReplaySafeAppend, ensure_target, read_complete, read_quarantine, recover, run_id_for
 
 RECORD_KEYS = ["topic", "partition", "offset"]
 TARGET_VIEW = ["id", "payload", "topic", "partition", "offset"]
@@ -299,6 +302,76 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_reconcile(classify(_topic(spark, sf_dir)), registry_table(spark, REGISTERED))
 
 
+def descriptor_file_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-4: the decoded view with a descriptor set read from a file."""
+    path = scratch_path(spark, "descriptors") + "/demo.desc"
+    save_descriptor_set(spark, path, demo_descriptor_set())
+    return payload_view(record_view(_topic(spark, sf_dir)), DEMO_EVENT, load_descriptor_set(spark, path))
+
+
+def _unmarked(id_bytes: Column) -> Column:
+    """The text of an id in bytes, which has a mark of one byte before it."""
+    return F.decode(F.substring(id_bytes, F.lit(2), F.length(id_bytes)), "UTF-8")
+
+
+def mixed_topic_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEC-1 + DEC-2 by message indexes: three messages in one topic."""
+    decoded = decode_mixed(_topic(spark, sf_dir, "mixed"), SCHEMA_FILES, demo_descriptor_set())
+    field = lambda path, kind: F.try_variant_get("body", path, kind)
+    event = F.when(F.col("message") == DEMO_ENVELOPE, F.lit("$.event.")).otherwise(F.lit("$."))
+    return decoded.select(
+        *RECORD_KEYS,
+        "message",
+        F.when(F.col("message") == DEMO_EVENT_BYTES, _unmarked(field("$.id", "binary"))).otherwise(field(F.concat(event, F.lit("id")), "string")).alias("id"),
+        field(F.concat(event, F.lit("created_at_epoch_ms")), "long").alias("created_at_epoch_ms"),
+        field(F.concat(event, F.lit("payload")), "string").alias("payload"),
+        field("$.headers.ce_type", "string").alias("ce_type"),
+    )
+
+
+def ingest_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1 across runs: the same records through two checkpoints land once."""
+    settings = topic_settings(spark, sf_dir, "events").replace(table=f"demo_rerun_{scratch_path(spark, 't').rsplit('-', 1)[-1]}")
+    location = scratch_path(spark, "table-rerun")
+    for _ in range(2):
+        run = settings.replace(checkpoint_location=scratch_path(spark, "checkpoint-rerun"))
+        query = start_ingest(spark, run, demo_descriptor_set(), trigger={"availableNow": True}, table_location=location, across_runs=True)
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+    return read_table(spark, settings.table_name).select(*TARGET_VIEW)
+
+
+def quarantine_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEC-4, the way back: records of a revised message, quarantined at first,
+    are recovered with its schema, twice over; ``open`` counts what is left."""
+    suffix = scratch_path(spark, "t").rsplit("-", 1)[-1]
+    settings = topic_settings(spark, sf_dir, "revised").replace(table=f"demo_recovered_{suffix}", checkpoint_location=scratch_path(spark, "checkpoint-recovered"))
+    ds, quarantine_table = demo_descriptor_set(), f"{settings.catalog}.{settings.namespace}.demo_unrecovered_{suffix}"
+    query = start_ingest_with_quarantine(
+        spark, settings, ds, quarantine_table=f"demo_unrecovered_{suffix}", trigger={"availableNow": True},
+        table_location=scratch_path(spark, "table-recovered"), quarantine_location=scratch_path(spark, "table-unrecovered"),
+    )
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    msg = decoded_message("value", DEMO_EVENT_BYTES, ds, mode=PERMISSIVE)
+    for _ in range(2):
+        decoded = read_quarantine(spark, quarantine_table).select(msg.alias("msg"), *RECORD_KEYS)
+        decoded = decoded.select(_unmarked(F.col("msg.id")).alias("id"), F.col("msg.payload").alias("payload"), F.current_timestamp().alias("ingested_at"), *RECORD_KEYS)
+        recover(decoded, settings.table_name, "revised")
+    left = read_quarantine(spark, quarantine_table, settings.table_name).agg(F.count(F.lit(1)).alias("open"))
+    rows = read_table(spark, settings.table_name).select(*TARGET_VIEW, F.col("run_id").startswith(RECOVERED).alias("recovered"))
+    return rows.join(F.broadcast(left))
+
+
+def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEC-5: missing offsets of a topic with holes, one of them wide."""
+    number = F.col("offset") * 4 + F.col("partition")
+    holes = (number % 13).isin(2, 6) | (F.col("offset").between(100, 120) & (F.col("partition") == 3))
+    return offset_gaps(_topic(spark, sf_dir).where(~holes), width=64)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decoded_payload": decoded_payload,
     "decoded_payload_filtered": decoded_payload_filtered,
@@ -323,6 +396,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "census_stream": census_stream,
     "census_beside_ingest": census_beside_ingest,
     "schema_reconcile": reconcile,
+    "descriptor_file_decode": descriptor_file_decode,
+    "mixed_topic_decode": mixed_topic_decode,
+    "ingest_rerun": ingest_rerun,
+    "quarantine_recovered": quarantine_recovered,
+    "offset_gaps": gaps,
 }
 
 # --- DuckDB statements of the expected rows ------------------------------------
@@ -417,3 +495,13 @@ ORACLE_SQL["census_stream"] = ORACLE_SQL["frame_census"]
 ORACLE_SQL["census_beside_ingest"] = ORACLE_SQL["frame_census"].replace(_HARD_OUTCOME, _OUTCOME)
 ORACLE_SQL["publish_replay"] = ORACLE_SQL["publish_roundtrip"]
 ORACLE_SQL["decoded_payload_filtered"] = f"""{ORACLE_SQL["decoded_payload"]} WHERE event_id % 4 = 1 AND ts >= TIMESTAMP '2024-01-15 00:00:00'"""
+ORACLE_SQL["descriptor_file_decode"] = ORACLE_SQL["decoded_payload"]
+ORACLE_SQL["ingest_rerun"] = ORACLE_SQL["ingest_append"]
+_MIXED_KEYS = _KEYS.replace(EVENT_TOPIC, MIXED_TOPIC)
+ORACLE_SQL["mixed_topic_decode"] = f"""SELECT {_MIXED_KEYS}, CASE event_id % 3 WHEN 0 THEN '{DEMO_ENVELOPE}' WHEN 1 THEN '{DEMO_EVENT_BYTES}' ELSE '{DEMO_EVENT}' END AS message,
+  CAST(event_id AS VARCHAR) AS id, {_MS} AS created_at_epoch_ms, props AS payload, CASE WHEN event_id % 3 = 0 THEN event_type END AS ce_type
+FROM events"""
+ORACLE_SQL["quarantine_recovered"] = f"""SELECT CAST(event_id AS VARCHAR) AS id, props AS payload, {_MIXED_KEYS}, event_id % 3 = 1 AS recovered, 0::BIGINT AS open FROM events"""
+ORACLE_SQL["offset_gaps"] = f"""WITH t AS (SELECT {_KEYS} FROM events WHERE event_id % 13 NOT IN (2, 6) AND NOT (event_id // 4 BETWEEN 100 AND 120 AND event_id % 4 = 3)),
+g AS (SELECT topic, "partition", "offset" AS b, lead("offset") OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS a FROM t)
+SELECT topic, "partition", b + 1 AS first_missing, a - 1 AS last_missing, a - b - 1 AS missing FROM g WHERE a - b > 1"""

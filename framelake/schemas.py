@@ -96,11 +96,13 @@ def descriptor_set(files: Iterable[descriptor_pb2.FileDescriptorProto]) -> bytes
 
 # --- Fixed values: the message schemas of the event topic --------------------
 # acme/demo/v1/demo.proto      DemoEvent    { string id = 1; int64 created_at_epoch_ms = 2; string payload = 3; }
+#                              DemoEventBytes { bytes id = 1; int64 created_at_epoch_ms = 2; string payload = 3; }
 # acme/demo/v1/envelope.proto  DemoEnvelope { DemoEvent event = 1; map<string, string> headers = 2; }
 # acme/test/v1/base.proto      Base         { string id = 1; }
 # acme/test/v1/common.proto    Common       { int64 ts = 1; }
 # acme/test/v1/root.proto      Root         { Base base = 1; Common common = 2; }  (imports base, common)
 DEMO_EVENT = "acme.demo.v1.DemoEvent"
+DEMO_EVENT_BYTES = "acme.demo.v1.DemoEventBytes"
 DEMO_ENVELOPE = "acme.demo.v1.DemoEnvelope"
 TEST_ROOT = "acme.test.v1.Root"
 
@@ -109,7 +111,10 @@ def demo_files() -> list[descriptor_pb2.FileDescriptorProto]:
     demo = file_proto(
         "acme/demo/v1/demo.proto",
         "acme.demo.v1",
-        [("DemoEvent", [("id", 1, "string"), ("created_at_epoch_ms", 2, "int64"), ("payload", 3, "string")])],
+        [
+            ("DemoEvent", [("id", 1, "string"), ("created_at_epoch_ms", 2, "int64"), ("payload", 3, "string")]),
+            ("DemoEventBytes", [("id", 1, "bytes"), ("created_at_epoch_ms", 2, "int64"), ("payload", 3, "string")]),
+        ],
     )
     envelope = file_proto(
         "acme/demo/v1/envelope.proto",

@@ -30,3 +30,14 @@ def load_descriptor_set(spark: SparkSession, path: str) -> bytes:
     if found != 1:
         raise ValueError(f"expected one descriptor set file at {p}, found {found}")
     return bytes(files.select(F.col("content")).first()[0])
+
+
+def save_descriptor_set(spark: SparkSession, path: str, descriptor_set: bytes) -> None:
+    """Write a descriptor set as one file through Hadoop's file systems, where
+    ``load_descriptor_set`` of any machine finds it. Replaces an earlier one."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
+    try:
+        out.write(bytearray(descriptor_set))
+    finally:
+        out.close()

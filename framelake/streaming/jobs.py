@@ -55,15 +55,18 @@ def start_ingest(
     descriptor_set: bytes,
     trigger: dict | None = None,
     table_location: str | None = None,
+    across_runs: bool = False,
 ) -> StreamingQuery:
     """Topic -> strip -> decode -> (id, payload, ingested_at, lineage) ->
-    replay-safe append. The target is created before the query starts."""
+    replay-safe append. The target is created before the query starts. With
+    ``across_runs`` a run with a fresh checkpoint does not land a record that
+    an earlier run has landed (parquet targets)."""
     records = read_topic(spark, settings.replace(include_headers=False), streaming=True)
     decoded = ingest_view(
         records, settings.message_name, descriptor_set, mode=settings.decode_mode, impl=settings.protobuf_impl
     )
     ensure_target(spark, settings, location=table_location or settings.table_path)
-    return append_stream(decoded, settings, _checkpoint(spark, settings, "ingest"), trigger=trigger)
+    return append_stream(decoded, settings, _checkpoint(spark, settings, "ingest"), trigger=trigger, across_runs=across_runs)
 
 
 def start_ingest_with_quarantine(

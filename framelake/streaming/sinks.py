@@ -100,15 +100,77 @@ def overwrite_batch_partition(batch: DataFrame, table: str, columns, run_id: str
         batch.sparkSession.catalog.dropTempView(view)
 
 
+RECORD_ID = ("topic", "partition", "offset")
+
+
+def not_landed(batch: DataFrame, table: str, run_id: str) -> DataFrame:
+    """The records of ``batch``, one per record id, that no run but ``run_id``
+    has put into ``table``; records without an id all stay. This run's own
+    partitions are not looked at: its checkpoint keeps it from reading a record
+    twice, and a replayed batch must find all its rows again. The other runs'
+    lineage columns are read within the batch's range of offsets only, which
+    the Parquet statistics of their files answer."""
+    known = F.col("offset").isNotNull() & F.col("partition").isNotNull() & F.col("topic").isNotNull()
+    others = other_runs(batch.sparkSession, table, run_id)
+    if others is None:
+        return batch.where(known).dropDuplicates(list(RECORD_ID)).select(*batch.columns).union(batch.where(~known))
+    bounds = batch.agg(F.min("offset").alias("low"), F.max("offset").alias("high")).first()
+    landed = others.where(F.col("offset").between(bounds["low"], bounds["high"])).select(*RECORD_ID)
+    fresh = batch.where(known).dropDuplicates(list(RECORD_ID)).join(landed, list(RECORD_ID), "left_anti")
+    return fresh.select(*batch.columns).union(batch.where(~known))
+
+
+def other_runs(spark: SparkSession, table: str, run_id: str) -> DataFrame | None:
+    """The rows of ``table`` that other runs have landed, None if there is no
+    other run. They are read by their folders, since Spark lets no statement
+    overwrite a partition of a table that it reads."""
+    run = F.regexp_extract("partition", r"^run_id=([^/]+)/", 1).alias("run")
+    runs = [r["run"] for r in spark.sql(f"SHOW PARTITIONS {table}").select(run).distinct().where(F.col("run") != run_id).collect()]
+    if not runs:
+        return None
+    (location,) = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type").first()
+    return spark.read.schema(f"{TARGET_DDL}, {LINEAGE_DDL}").parquet(*[f"{location.rstrip('/')}/run_id={r}" for r in runs])
+
+
+RECOVERED = "recovered_"  # run ids of recoveries
+
+
+def recover(decoded: DataFrame, table: str, name: str) -> None:
+    """DEC-4, the way back: put quarantined records that decode by now into
+    ``table``. ``decoded`` is the quarantine with the target's columns, decoded
+    with another message or descriptor set; rows whose ``id`` is NULL did not
+    decode and stay. The recovery called ``name`` has a partition of its own,
+    which running it again replaces; what other runs have landed in the meantime
+    is not landed twice."""
+    fresh = not_landed(decoded.where(F.col("id").isNotNull()), table, RECOVERED + name)
+    overwrite_batch_partition(fresh, table, TARGET_COLUMNS, RECOVERED + name, 0)
+
+
+def read_quarantine(spark: SparkSession, quarantine_table: str, table: str | None = None) -> DataFrame:
+    """The quarantine; with ``table``, only what has not been recovered into it."""
+    spark.catalog.refreshTable(quarantine_table)
+    kept = spark.table(quarantine_table)
+    if table is None:
+        return kept
+    spark.catalog.refreshTable(table)
+    recovered = spark.table(table).where(F.col("run_id").startswith(RECOVERED)).select(*RECORD_ID)
+    return kept.join(recovered, list(RECORD_ID), "left_anti").select(*kept.columns)
+
+
 class ReplaySafeAppend:
     """``foreachBatch`` function writing each micro-batch into its own
-    ``(run_id, batch_id)`` partition of a parquet table."""
+    ``(run_id, batch_id)`` partition of a parquet table. With ``across_runs``
+    records that another run has landed are left out, so a fresh checkpoint over
+    the same records lands them once."""
 
-    def __init__(self, table: str, run_id: str):
+    def __init__(self, table: str, run_id: str, across_runs: bool = False):
         self.table = table
         self.run_id = run_id
+        self.across_runs = across_runs
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.across_runs:
+            batch = not_landed(batch, self.table, self.run_id)
         overwrite_batch_partition(batch, self.table, TARGET_COLUMNS, self.run_id, batch_id)
 
 
@@ -144,6 +206,7 @@ def append_stream(
     checkpoint: str,
     trigger: dict | None = None,
     query_name: str | None = None,
+    across_runs: bool = False,
 ) -> StreamingQuery:
     """SNK-1 + SNK-5: append the ingest projection to the target table with
     checkpointed progress. The table must exist (``ensure_target``). A table
@@ -162,7 +225,7 @@ def append_stream(
     if "batch_id" not in present:
         in_order = [c for c in spark.table(settings.table_name).columns if c in columns]
         return writer.foreachBatch(lambda batch, _: batch.select(*in_order).write.insertInto(settings.table_name)).start()
-    return writer.foreachBatch(ReplaySafeAppend(settings.table_name, run_id_for(spark, checkpoint))).start()
+    return writer.foreachBatch(ReplaySafeAppend(settings.table_name, run_id_for(spark, checkpoint), across_runs)).start()
 
 
 def console_stream(view: DataFrame, checkpoint: str, query_name: str | None = None, trigger: dict | None = None) -> StreamingQuery:
