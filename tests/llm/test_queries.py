@@ -41,7 +41,7 @@ def test_oracle(spark, con, name):
 
 
 def test_each_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
