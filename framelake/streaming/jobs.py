@@ -17,8 +17,10 @@ from framelake.operators.views import ingest_view, inspect_views
 from framelake.session import checkpoint_root
 from framelake.settings import Settings
 from framelake.sources.topic import read_topic, write_topic
+from framelake.streaming.layout import ZonedAppend, ensure_zones
 from framelake.streaming.sinks import (
     QuarantineSplitAppend,
+    ReplaySafeAppend,
     append_stream,
     complete_stream,
     console_stream,
@@ -56,17 +58,22 @@ def start_ingest(
     trigger: dict | None = None,
     table_location: str | None = None,
     across_runs: bool = False,
+    zone_map: bool = False,
 ) -> StreamingQuery:
     """Topic -> strip -> decode -> (id, payload, ingested_at, lineage) ->
     replay-safe append. The target is created before the query starts. With
     ``across_runs`` a run with a fresh checkpoint does not land a record that
-    an earlier run has landed (parquet targets)."""
+    an earlier run has landed, with ``zone_map`` the target can be compacted
+    and read back by its zones (both for parquet targets)."""
     records = read_topic(spark, settings.replace(include_headers=False), streaming=True)
     decoded = ingest_view(
         records, settings.message_name, descriptor_set, mode=settings.decode_mode, impl=settings.protobuf_impl
     )
-    ensure_target(spark, settings, location=table_location or settings.table_path)
-    return append_stream(decoded, settings, _checkpoint(spark, settings, "ingest"), trigger=trigger, across_runs=across_runs)
+    table = ensure_target(spark, settings, location=table_location or settings.table_path)
+    if zone_map:
+        ensure_zones(spark, table)
+    append = ZonedAppend if zone_map else ReplaySafeAppend
+    return append_stream(decoded, settings, _checkpoint(spark, settings, "ingest"), trigger=trigger, across_runs=across_runs, append=append)
 
 
 def start_ingest_with_quarantine(

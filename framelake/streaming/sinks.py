@@ -128,8 +128,14 @@ def other_runs(spark: SparkSession, table: str, run_id: str) -> DataFrame | None
     runs = [r["run"] for r in spark.sql(f"SHOW PARTITIONS {table}").select(run).distinct().where(F.col("run") != run_id).collect()]
     if not runs:
         return None
+    location = table_location(spark, table)
+    return spark.read.schema(f"{TARGET_DDL}, {LINEAGE_DDL}").parquet(*[f"{location}/run_id={r}" for r in runs])
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """The folder of a table."""
     (location,) = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type").first()
-    return spark.read.schema(f"{TARGET_DDL}, {LINEAGE_DDL}").parquet(*[f"{location.rstrip('/')}/run_id={r}" for r in runs])
+    return location.rstrip("/")
 
 
 RECOVERED = "recovered_"  # run ids of recoveries
@@ -207,6 +213,7 @@ def append_stream(
     trigger: dict | None = None,
     query_name: str | None = None,
     across_runs: bool = False,
+    append: type[ReplaySafeAppend] = ReplaySafeAppend,
 ) -> StreamingQuery:
     """SNK-1 + SNK-5: append the ingest projection to the target table with
     checkpointed progress. The table must exist (``ensure_target``). A table
@@ -225,7 +232,7 @@ def append_stream(
     if "batch_id" not in present:
         in_order = [c for c in spark.table(settings.table_name).columns if c in columns]
         return writer.foreachBatch(lambda batch, _: batch.select(*in_order).write.insertInto(settings.table_name)).start()
-    return writer.foreachBatch(ReplaySafeAppend(settings.table_name, run_id_for(spark, checkpoint), across_runs)).start()
+    return writer.foreachBatch(append(settings.table_name, run_id_for(spark, checkpoint), across_runs)).start()
 
 
 def console_stream(view: DataFrame, checkpoint: str, query_name: str | None = None, trigger: dict | None = None) -> StreamingQuery:
