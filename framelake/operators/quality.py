@@ -76,6 +76,20 @@ def frame_census(classified: DataFrame) -> DataFrame:
     )
 
 
+def windowed_census(classified: DataFrame, width: str, delay: str) -> DataFrame:
+    """DEC-5 by event time: the census per window of ``width`` of the records'
+    timestamps. On a stream a window closes once a timestamp lies ``delay`` past
+    its end; its state goes then, and records that come later are left out.
+    Records without a timestamp are in no window."""
+    timed = classified.withWatermark("timestamp", delay)
+    counted = timed.groupBy(F.window("timestamp", width).alias("w"), "topic", "partition", "schema_id", "outcome").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.min("offset").alias("min_offset"),
+        F.max("offset").alias("max_offset"),
+    )
+    return counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *[c for c in counted.columns if c != "w"])
+
+
 def subject_name(topic, message):
     """Subject under the topic-record-name strategy: ``<topic>-<message>``."""
     return F.concat_ws("-", topic, message)
@@ -121,11 +135,16 @@ def schema_reconcile(classified: DataFrame, registry: DataFrame) -> DataFrame:
     subjects: a row each); ``registered`` is false for ids the registry does
     not hold for that topic. The seen side is pre-aggregated; the join strategy
     is left to adaptive execution."""
-    seen = (
-        classified.where(F.col("schema_id").isNotNull())
-        .groupBy("topic", "schema_id")
-        .agg(F.count(F.lit(1)).alias("records"))
-    )
+    return with_subjects(seen_ids(classified), registry)
+
+
+def seen_ids(classified: DataFrame) -> DataFrame:
+    """``topic, schema_id, records`` of the framed records."""
+    return classified.where(F.col("schema_id").isNotNull()).groupBy("topic", "schema_id").agg(F.count(F.lit(1)).alias("records"))
+
+
+def with_subjects(seen: DataFrame, registry: DataFrame) -> DataFrame:
+    """``seen_ids`` with the subjects that the registry holds for them."""
     subjects = registry.select("topic", "schema_id", "subject", "message").distinct()
     return seen.join(subjects, ["topic", "schema_id"], "left").select(
         "topic",

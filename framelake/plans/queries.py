@@ -18,7 +18,7 @@ from framelake.functions.headers import cloudevents_columns
 from framelake.operators.mixed import decode_mixed
 from framelake.operators.protobuf import PERMISSIVE
 from framelake.operators.quality import classify, frame_census, offset_gaps, quarantined, registry_table, schema_reconcile
-from framelake.operators.readback import latest_table_rows, read_table, sample_rows
+from framelake.operators.readback import read_table, sample_rows
 from framelake.operators.views import decoded_message, headers_view, ingest_view, payload_view, raw_view, record_view
 from framelake.plans.fixtures import EVENT_TOPIC, MIXED_TOPIC, SCHEMA_FILES, topic_settings
 from framelake.schemas import DEMO_ENVELOPE, DEMO_EVENT, DEMO_EVENT_BYTES, TEST_ROOT, demo_descriptor_set
@@ -32,7 +32,10 @@ from framelake.streaming.jobs import (
     start_ingest,
     start_ingest_with_quarantine,
     start_inspect,
+    start_reconcile,
+    start_windowed_census,
 )
+from framelake.streaming.layout import ZonedAppend, compact, ensure_zones, latest_target_rows, live_partitions, read_target
 from framelake.streaming.sinks import RECOVERED, ReplaySafeAppend, ensure_target, read_complete, read_quarantine, recover, run_id_for
 
 RECORD_KEYS = ["topic", "partition", "offset"]
@@ -40,6 +43,7 @@ TARGET_VIEW = ["id", "payload", "topic", "partition", "offset"]
 # The registry the reconciliation check uses (id 9 is absent, two
 # messages of one file share id 1).
 REGISTERED = [(1, EVENT_TOPIC, DEMO_EVENT), (1, EVENT_TOPIC, DEMO_ENVELOPE), (8, EVENT_TOPIC, DEMO_ENVELOPE)]
+LATE_REGISTERED = (9, EVENT_TOPIC, DEMO_EVENT)  # registered while reconcile_stream runs
 PUBLISH_SCHEMA_ID = 1
 
 _ingested: dict[tuple, str] = {}
@@ -197,12 +201,31 @@ def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     of which are small."""
     settings = topic_settings(spark, sf_dir, "events").replace(table=f"demo_latest_{scratch_path(spark, 't').rsplit('-', 1)[-1]}")
     table = ensure_target(spark, settings, location=scratch_path(spark, "table-latest"))
-    writer = ReplaySafeAppend(table, run_id_for(spark, scratch_path(spark, "checkpoint-latest")))
+    ensure_zones(spark, table)
+    writer = ZonedAppend(table, run_id_for(spark, scratch_path(spark, "checkpoint-latest")))
     rows = ingest_view(read_topic(spark, settings, streaming=False), DEMO_EVENT, demo_descriptor_set())
     kind = (F.col("offset") * 4 + F.col("partition")) % 100
     for batch_id, (hour, keep) in enumerate(((1, kind > 1), (3, kind == 0), (2, kind == 1))):
         writer(rows.where(keep).withColumn("ingested_at", F.expr(f"TIMESTAMP '2024-02-01 0{hour}:00:00'")), batch_id)
-    return latest_table_rows(spark, table).select(*TARGET_VIEW)
+    return latest_target_rows(spark, table).select(*TARGET_VIEW)
+
+
+def ingest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1/SNK-2 layout: five batches of two days, packed by day; afterwards
+    the newest batch and a packed one are replayed."""
+    settings = topic_settings(spark, sf_dir, "events").replace(table=f"demo_compacted_{scratch_path(spark, 't').rsplit('-', 1)[-1]}")
+    table = ensure_target(spark, settings, location=scratch_path(spark, "table-compacted"))
+    ensure_zones(spark, table)
+    writer = ZonedAppend(table, run_id_for(spark, scratch_path(spark, "checkpoint-compacted")))
+    rows = ingest_view(read_topic(spark, settings, streaming=False), DEMO_EVENT, demo_descriptor_set())
+    parts = [rows.where(F.col("offset") % 5 == i).withColumn("ingested_at", F.expr(f"TIMESTAMP '2024-02-0{1 + i // 2} 0{i}:00:00'")) for i in range(5)]
+    for batch_id, batch in enumerate(parts):
+        writer(batch, batch_id)
+    compact(spark, table)
+    for batch_id in (4, 0):
+        writer(parts[batch_id], batch_id)
+    left = live_partitions(spark, table).agg(F.count(F.lit(1)).alias("partitions"))
+    return read_target(spark, table).select(*TARGET_VIEW, "run_id").withColumn("packed", F.col("run_id").startswith("packed_")).drop("run_id").join(F.broadcast(left))
 
 
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,6 +395,35 @@ def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offset_gaps(_topic(spark, sf_dir).where(~holes), width=64)
 
 
+def _finished(query) -> None:
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
+def census_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEC-5 by event time: the days that the watermark has closed."""
+    settings, path = topic_settings(spark, sf_dir, "events_hard", checkpoint_location=scratch_path(spark, "checkpoint-windows")), scratch_path(spark, "census-windows")
+    _finished(start_windowed_census(spark, settings, path, "1 day", "6 hours", demo_descriptor_set(), trigger={"availableNow": True}))
+    return spark.read.parquet(path)
+
+
+def reconcile_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEC-6 on the stream: the report after each half of the topic; an id that
+    the first half shows to be missing is registered in between."""
+    path, registry = scratch_path(spark, "topic-halves"), scratch_path(spark, "registry")
+    result = scratch_path(spark, "reconcile")
+    settings = topic_settings(spark, sf_dir, "events", checkpoint_location=scratch_path(spark, "checkpoint-reconcile")).replace(topic_path=path)
+    registered, reports = REGISTERED, []
+    for half in (0, 1):
+        _topic(spark, sf_dir).where(F.col("offset") % 2 == half).write.parquet(f"{path}/half-{half}")
+        registry_table(spark, registered).write.mode("overwrite").parquet(registry)
+        _finished(start_reconcile(spark, settings, registry, result, trigger={"availableNow": True}))
+        reports.append(read_complete(spark, result).withColumn("half", F.lit(half)))
+        registered = [*registered, LATE_REGISTERED]
+    return reports[0].unionByName(reports[1])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decoded_payload": decoded_payload,
     "decoded_payload_filtered": decoded_payload_filtered,
@@ -401,6 +453,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_rerun": ingest_rerun,
     "quarantine_recovered": quarantine_recovered,
     "offset_gaps": gaps,
+    "ingest_compacted": ingest_compacted,
+    "census_windows": census_windows,
+    "reconcile_stream": reconcile_stream,
 }
 
 # --- DuckDB statements of the expected rows ------------------------------------
@@ -505,3 +560,18 @@ ORACLE_SQL["quarantine_recovered"] = f"""SELECT CAST(event_id AS VARCHAR) AS id,
 ORACLE_SQL["offset_gaps"] = f"""WITH t AS (SELECT {_KEYS} FROM events WHERE event_id % 13 NOT IN (2, 6) AND NOT (event_id // 4 BETWEEN 100 AND 120 AND event_id % 4 = 3)),
 g AS (SELECT topic, "partition", "offset" AS b, lead("offset") OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS a FROM t)
 SELECT topic, "partition", b + 1 AS first_missing, a - 1 AS last_missing, a - b - 1 AS missing FROM g WHERE a - b > 1"""
+ORACLE_SQL["ingest_compacted"] = f"""SELECT CASE WHEN {_GOOD} THEN CAST(event_id AS VARCHAR) END AS id,
+  CASE WHEN {_GOOD} THEN props END AS payload, {_KEYS}, event_id // 4 % 5 < 4 AS packed, 3::BIGINT AS partitions
+FROM events"""
+ORACLE_SQL["census_windows"] = f"""WITH t AS (SELECT {_KEYS}, {_SCHEMA_ID} AS schema_id, {_HARD_OUTCOME} AS outcome, date_trunc('day', ts) AS window_start FROM events)
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, topic, "partition", schema_id, outcome, count(*) AS records,
+  min("offset") AS min_offset, max("offset") AS max_offset
+FROM t WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 6 HOUR GROUP BY ALL"""
+ORACLE_SQL["reconcile_stream"] = f"""WITH seen AS (
+  SELECT '{EVENT_TOPIC}' AS topic, {_SCHEMA_ID} AS schema_id, h.half, count(*) AS records
+  FROM events JOIN (VALUES (0), (1)) AS h(half) ON event_id // 4 % 2 <= h.half
+  WHERE event_id % 10 IN (0, 1, 8, 9) GROUP BY ALL),
+reg AS (SELECT * FROM (VALUES (1, '{EVENT_TOPIC}', '{DEMO_EVENT}', 0), (1, '{EVENT_TOPIC}', '{DEMO_ENVELOPE}', 0), (8, '{EVENT_TOPIC}', '{DEMO_ENVELOPE}', 0), (9, '{EVENT_TOPIC}', '{DEMO_EVENT}', 1)) AS r(schema_id, topic, message, since))
+SELECT s.topic, s.schema_id, s.records, r.topic || '-' || r.message AS subject, r.message,
+  r.message IS NOT NULL AS registered, CAST(s.half AS INTEGER) AS half
+FROM seen s LEFT JOIN reg r ON s.topic = r.topic AND s.schema_id = r.schema_id AND r.since <= s.half"""

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from framelake.functions.framing import USABLE_OUTCOMES, frame
 from framelake.functions.headers import cloudevents_headers
 from framelake.operators.protobuf import to_protobuf
-from framelake.operators.quality import classify, frame_census
+from framelake.operators.quality import classify, frame_census, seen_ids, windowed_census, with_subjects
 from framelake.operators.views import ingest_view, inspect_views
 from framelake.session import checkpoint_root
 from framelake.settings import Settings
@@ -129,6 +129,38 @@ def start_census(
     return complete_stream(census, result_path, _checkpoint(spark, settings, "census"), trigger=trigger)
 
 
+def start_windowed_census(
+    spark: SparkSession,
+    settings: Settings,
+    result_path: str,
+    width: str,
+    delay: str,
+    descriptor_set: bytes | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Streaming census by windows of event time (DEC-5): each window's counts
+    are appended to ``result_path`` once, when the watermark closes it. State is
+    kept for open windows only."""
+    records = read_topic(spark, settings.replace(include_headers=False), streaming=True)
+    message = settings.message_name if descriptor_set is not None else None
+    census = windowed_census(classify(records, message, descriptor_set, impl=settings.protobuf_impl), width, delay)
+    return file_stream(census, result_path, _checkpoint(spark, settings, "census-windows"), trigger=trigger)
+
+
+def start_reconcile(
+    spark: SparkSession, settings: Settings, registry_path: str, result_path: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Reconciliation beside the stream (DEC-6): counts by topic and schema id
+    are the state, and each micro-batch joins them with the registry table at
+    ``registry_path`` as it stands then, so an unregistered id shows in the first
+    batch that holds it and clears in the first after its registration.
+    ``read_complete`` reads the report."""
+    records = read_topic(spark, settings.replace(include_headers=False), streaming=True)
+    report = lambda seen: with_subjects(seen, seen.sparkSession.read.parquet(registry_path))
+    checkpoint = _checkpoint(spark, settings, "reconcile")
+    return complete_stream(seen_ids(classify(records)), result_path, checkpoint, trigger=trigger, finish=report)
+
+
 def start_inspect(
     spark: SparkSession,
     settings: Settings,

@@ -12,6 +12,7 @@ Iceberg targets use Iceberg's streaming sink, which commits each batch id once.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -251,18 +252,30 @@ def console_stream(view: DataFrame, checkpoint: str, query_name: str | None = No
 
 
 DONE_DIR = "_done"  # hidden from file sources: batch ids whose result is whole
+KEPT_RESULTS = 8  # newest results of a complete_stream that stay readable
 
 
-def complete_stream(aggregated: DataFrame, table_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def complete_stream(
+    aggregated: DataFrame,
+    table_path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
     """A streaming aggregate in complete mode (the state is the aggregate
     itself, so it stays as small as its key set). Each micro-batch writes its
-    result to a folder of its own and then notes that it is whole;
+    result, through ``finish`` if given, and then notes that it is whole;
     ``read_complete`` reads the newest whole one, so a reader or a crash in
-    between never sees a missing or half-written result."""
+    between never sees a missing or half-written result. Results take turns in
+    ``KEPT_RESULTS`` folders, so the space they need does not grow with the
+    number of batches. A replay of a batch whose result is whole leaves it."""
 
     def replace(result: DataFrame, batch_id: int) -> None:
-        result.write.mode("overwrite").parquet(f"{table_path}/batch_id={int(batch_id)}")
-        result.sparkSession.range(1).select(F.lit(str(batch_id)).alias("value")).write.mode("append").text(f"{table_path}/{DONE_DIR}")
+        spark, slot = result.sparkSession, f"slot={int(batch_id) % KEPT_RESULTS}"
+        if batch_id in _whole_results(spark, table_path):
+            return
+        (finish(result) if finish else result).write.mode("overwrite").parquet(f"{table_path}/{slot}")
+        spark.range(1).select(F.lit(str(batch_id)).alias("value")).write.mode("overwrite").text(f"{table_path}/{DONE_DIR}/{slot}")
 
     writer = aggregated.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(replace)
     if trigger:
@@ -270,10 +283,22 @@ def complete_stream(aggregated: DataFrame, table_path: str, checkpoint: str, tri
     return writer.start()
 
 
+def _whole_results(spark: SparkSession, table_path: str) -> list[int]:
+    """Batch ids of the results that are whole, ``KEPT_RESULTS`` at most."""
+    try:
+        return [int(r["value"]) for r in spark.read.text(f"{table_path}/{DONE_DIR}").select("value").collect()]
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
 def read_complete(spark: SparkSession, table_path: str) -> DataFrame:
     """The newest whole result of a ``complete_stream``."""
-    newest = spark.read.text(f"{table_path}/{DONE_DIR}").agg(F.max(F.col("value").cast("bigint"))).first()[0]
-    return spark.read.parquet(f"{table_path}/batch_id={newest}")
+    whole = _whole_results(spark, table_path)
+    if not whole:
+        raise ValueError(f"no result yet under {table_path}")
+    return spark.read.parquet(f"{table_path}/slot={max(whole) % KEPT_RESULTS}")
 
 
 def file_stream(view: DataFrame, path: str, checkpoint: str, query_name: str | None = None, trigger: dict | None = None) -> StreamingQuery:
