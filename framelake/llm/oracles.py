@@ -67,6 +67,9 @@ SELECT doc_id, size, source_size, target,
 """
 
 _SLACK = {"symbols": (60, None), "dup_lines": (400, None), "repeats": (350, None), "capitals": (350, None), "word_length": (600, 250)}
+_REACH = "3 * (quantile_disc(bin, 0.75) - quantile_disc(bin, 0.25))"
+_ENDS = f"""count(*) AS n, quantile_disc(bin, 0.75) + greatest({_REACH}, CASE any_value(measure) {" ".join(f"WHEN '{k}' THEN {up}" for k, (up, _) in _SLACK.items())} END) AS above,
+  greatest(quantile_disc(bin, 0.25) - greatest({_REACH}, 250), 0) AS below"""
 QUALITY = rf"""
 a AS (SELECT *, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
 b AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: trim(x, {_GAPS}) <> '') AS l,
@@ -83,18 +86,14 @@ q AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 m AS (SELECT lang, source, measure, CAST(value AS BIGINT) AS value FROM (SELECT * FROM q WHERE NOT base_failed)
   UNPIVOT (value FOR measure IN (symbols, dup_lines, repeats, capitals, word_length))),
 n AS (SELECT *, (value >> greatest(length(bin(value)) - 10, 0)) << greatest(length(bin(value)) - 10, 0) AS bin FROM m),
-o AS (SELECT lang, source, measure, count(*) AS n, quantile_disc(bin, 0.25) AS low, quantile_disc(bin, 0.75) AS high FROM n GROUP BY ALL),
-o1 AS (SELECT lang, measure, count(*) AS n, quantile_disc(bin, 0.25) AS low, quantile_disc(bin, 0.75) AS high FROM n GROUP BY ALL),
-o2 AS (SELECT measure, quantile_disc(bin, 0.25) AS low, quantile_disc(bin, 0.75) AS high FROM n GROUP BY ALL),
-th AS (SELECT o.lang, o.source, o.measure, CASE WHEN o.n >= 100 THEN o.low WHEN o1.n >= 100 THEN o1.low ELSE o2.low END AS low,
-  CASE WHEN o.n >= 100 THEN o.high WHEN o1.n >= 100 THEN o1.high ELSE o2.high END AS high
+o AS (SELECT lang, source, measure, {_ENDS} FROM n GROUP BY ALL),
+o1 AS (SELECT lang, measure, {_ENDS} FROM n GROUP BY ALL),
+o2 AS (SELECT measure, {_ENDS} FROM n GROUP BY ALL),
+th AS (SELECT o.lang, o.source, o.measure, {", ".join(f"(o.n * o.{e} + 100 * ((o1.n * o1.{e} + 100 * o2.{e}) // (o1.n + 100))) // (o.n + 100) AS {e}" for e in ("above", "below"))}
   FROM o JOIN o1 ON o.lang IS NOT DISTINCT FROM o1.lang AND o.measure = o1.measure JOIN o2 ON o.measure = o2.measure),
-fence AS (SELECT lang, source, {", ".join(
-    f"max(CASE WHEN measure = '{k}' THEN high + greatest(3 * (high - low), {up}) END) AS {k}_max"
-    + (f", min(CASE WHEN measure = '{k}' THEN low - greatest(3 * (high - low), {down}) END) AS {k}_min" if down is not None else "")
-    for k, (up, down) in _SLACK.items())} FROM th GROUP BY lang, source),
-judged AS (SELECT q.*, coalesce(NOT base_failed AND {" AND ".join(
-    f"q.{k} <= {k}_max" + (f" AND q.{k} >= {k}_min" if down is not None else "") for k, (_, down) in _SLACK.items())}, false) AS kept
+fence AS (SELECT lang, source, {", ".join(f"max(CASE WHEN measure = '{k}' THEN above END) AS {k}_max" for k in _SLACK)},
+  max(CASE WHEN measure = 'word_length' THEN below END) AS word_length_min FROM th GROUP BY lang, source),
+judged AS (SELECT q.*, coalesce(NOT base_failed AND {" AND ".join(f"q.{k} <= {k}_max" for k in _SLACK)} AND q.word_length >= word_length_min, false) AS kept
   FROM q LEFT JOIN fence f ON q.lang IS NOT DISTINCT FROM f.lang AND q.source IS NOT DISTINCT FROM f.source)
 """
 OP9 = f"WITH {QUALITY.strip()}\nSELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged"

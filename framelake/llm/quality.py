@@ -3,12 +3,14 @@
 Each document has five measures in whole numbers. Per language, source and
 measure the values are summed up in a quantile sketch: counts by bin, where a
 value below 1024 is its own bin and a larger one keeps its ten leading bits, so
-a quantile is off by less than 0.2 %. Sketches merge by adding counts: a group
-with fewer than ``MIN_DOCS`` documents takes the sketch of its language, and a
-language with fewer that of the whole corpus. A measure's fences are
-Tukey's, the quartiles moved out by ``SPREAD`` times their distance, and by the
-measure's ``slack`` at least, so a group of nearly equal clean documents loses
-none of them.
+a quantile is off by less than 0.2 %. Sketches merge by adding counts, upwards
+to languages and to the whole corpus. A measure's fences are Tukey's, the
+quartiles moved out by ``SPREAD`` times their distance, and by the measure's
+``slack`` at least, so a group of nearly equal clean documents loses none of
+them. Fences of small groups lean on larger ones, without a jump at any size: a
+group's fence is the mean of its own, weighted by its number of documents, and
+its language's, weighted by ``PRIOR_DOCS``; the language's leans on the corpus's
+in the same way.
 """
 
 from __future__ import annotations
@@ -21,9 +23,8 @@ from framelake.llm.common import GAP_CHARS, GAP_RE, written
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
-MIN_DOCS = 100
+PRIOR_DOCS = 100  # documents that the fence a group leans on counts for
 SPREAD = 3
-BROADCAST_GROUPS = 20_000
 # Measure -> least distance of the upper fence from the upper quartile, and of
 # the lower fence from the lower one (null: no lower fence).
 SLACK = {
@@ -33,6 +34,8 @@ SLACK = {
     "capitals": (350, None),  # A-Z per 1000 word characters
     "word_length": (600, 250),  # word characters per 100 words
 }
+MEASURES = tuple(SLACK)
+BOUNDED_BELOW = tuple(k for k, (_, below) in SLACK.items() if below is not None)
 
 _LET = "element_at(transform(array({value}), {name} -> {body}), 1)"
 
@@ -101,7 +104,7 @@ def bin_of(value: Column | str) -> Column:
 def sketch(measured: DataFrame, name: str = "q") -> DataFrame:
     """Quantile sketches ``lang, source, measure, bin, n`` of the documents that
     pass the base rules, by partial aggregation before the only shuffle."""
-    pairs = F.array(*[F.struct(F.lit(k).alias("measure"), F.col(f"{name}.{k}").alias("value")) for k in SLACK])
+    pairs = F.array(*[F.struct(F.lit(k).alias("measure"), F.col(f"{name}.{k}").alias("value")) for k in MEASURES])
     values = measured.where(~F.col(f"{name}.base_failed")).select("lang", "source", F.inline(pairs))
     return values.groupBy("lang", "source", "measure", bin_of("value").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -111,37 +114,47 @@ def merge(sketches: DataFrame, keys: list[str]) -> DataFrame:
     return sketches.groupBy(*keys, "measure", "bin").agg(F.sum("n").alias("n"))
 
 
-def _quartiles(sketches: DataFrame, keys: list[str], tag: str) -> DataFrame:
-    """Per ``keys`` and measure the sketch's size and quartiles (nearest rank)."""
+def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """Per ``keys`` and measure the sketch's size ``n`` and its quartiles
+    ``low`` and ``high`` (nearest rank)."""
     group = [*keys, "measure"]
     up_to = F.sum("n").over(Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
     total = F.sum("n").over(Window.partitionBy(*group))
-    ranked = sketches.select(*group, "bin", up_to.alias("up_to"), total.alias("total"))
-    return ranked.groupBy(*group).agg(
-        F.max("total").alias(f"n{tag}"),
-        F.min(F.when(4 * F.col("up_to") >= F.col("total"), F.col("bin"))).alias(f"low{tag}"),
-        F.min(F.when(4 * F.col("up_to") >= 3 * F.col("total"), F.col("bin"))).alias(f"high{tag}"),
-    )
-
-
-def thresholds(sketches: DataFrame, min_docs: int = MIN_DOCS, spread: int = SPREAD) -> DataFrame:
-    """One row per language and source: ``<measure>_min`` and ``<measure>_max``.
-    Works on sketches only, whose size does not follow the number of documents."""
-    own = _quartiles(sketches, ["lang", "source"], "0")
-    by_lang = _quartiles(merge(sketches, ["lang"]), ["lang"], "1").withColumnsRenamed({"lang": "lang1", "measure": "measure1"})
-    overall = _quartiles(merge(sketches, []), [], "2").withColumnsRenamed({"measure": "measure2"})
-    known = own.join(by_lang, F.col("lang").eqNullSafe(F.col("lang1")) & (F.col("measure") == F.col("measure1")))
-    known = known.join(overall, F.col("measure") == F.col("measure2"))
-    pick = lambda c: F.when(F.col("n0") >= min_docs, F.col(f"{c}0")).when(F.col("n1") >= min_docs, F.col(f"{c}1")).otherwise(F.col(f"{c}2"))
-    chosen = known.select("lang", "source", "measure", pick("low").alias("low"), pick("high").alias("high"))
-    fences = []
-    for k, (above, below) in SLACK.items():
-        at = F.col("measure") == k
-        reach = spread * (F.col("high") - F.col("low"))
-        fences.append(F.max(F.when(at, F.col("high") + F.greatest(reach, F.lit(above)))).alias(f"{k}_max"))
-        if below is not None:
-            fences.append(F.min(F.when(at, F.col("low") - F.greatest(reach, F.lit(below)))).alias(f"{k}_min"))
-    return chosen.groupBy("lang", "source").agg(*fences)
+    ranked = sketches.select(*group, "bin", (4 * up_to).alias("up_to"), total.alias("total"))
+    at = lambda quarter: F.min(F.when(F.col("up_to") >= quarter * F.col("total"), F.col("bin")))
+    return ranked.groupBy(*group).agg(F.max("total").alias("n"), at(1).alias("low"), at(3).alias("high"))
+
+
+def _slack(side: int) -> Column:
+    """The measure's least distance above (0) or below (1); null if it has no such fence."""
+    return F.coalesce(*[F.when(F.col("measure") == k, F.lit(v[side])) for k, v in SLACK.items() if v[side] is not None])
+
+
+def _fences(sketches: DataFrame, keys: list[str], level: int) -> DataFrame:
+    """Per ``keys`` and measure the size and fences of the sketch itself, the
+    columns numbered by ``level``; a lower fence is 0 at least."""
+    found = quartiles(sketches, keys)
+    reach = SPREAD * (F.col("high") - F.col("low"))
+    above = F.col("high") + F.greatest(reach, _slack(0))
+    below = F.when(_slack(1).isNotNull(), F.greatest(F.col("low") - F.greatest(reach, _slack(1)), F.lit(0)))
+    return found.select(*[F.col(k).alias(f"{k}{level}") for k in [*keys, "measure", "n"]], above.alias(f"above{level}"), below.alias(f"below{level}"))
+
+
+def thresholds(sketches: DataFrame, prior: int = PRIOR_DOCS) -> DataFrame:
+    """One row per language and source: ``<measure>_max``, and ``<measure>_min``
+    of those bounded below. Works on sketches only, whose size does not follow
+    the number of documents."""
+    own = _fences(sketches, ["lang", "source"], 0)
+    by_lang = _fences(merge(sketches, ["lang"]), ["lang"], 1)
+    overall = _fences(merge(sketches, []), [], 2)
+    known = own.join(by_lang, F.col("lang0").eqNullSafe(F.col("lang1")) & (F.col("measure0") == F.col("measure1")))
+    known = known.join(overall, F.col("measure0") == F.col("measure2"))
+    leaning = lambda side, level, on: f"(n{level} * {side}{level} + {prior} * ({on})) div (n{level} + {prior})"
+    fence = lambda side: F.expr(leaning(side, 0, leaning(side, 1, f"{side}2")))
+    chosen = known.select(F.col("lang0").alias("lang"), F.col("source0").alias("source"), F.col("measure0").alias("measure"), fence("above").alias("above"), fence("below").alias("below"))
+    ends = [F.max(F.when(F.col("measure") == k, F.col("above"))).alias(f"{k}_max") for k in MEASURES]
+    ends += [F.max(F.when(F.col("measure") == k, F.col("below"))).alias(f"{k}_min") for k in BOUNDED_BELOW]
+    return chosen.groupBy("lang", "source").agg(*ends)
 
 
 def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -155,19 +168,18 @@ def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     group none of whose documents passes the base rules has no thresholds and
     keeps nothing. Counted once: the counted documents are written, the
     sketches read only their numbers, and the thresholds (one row per language
-    and source) are joined back to them: by broadcast if there are
-    ``BROADCAST_GROUPS`` of them at most (100 bytes each), else by a join that
+    and source, written, so that adaptive execution knows their size) are joined
+    back to them: by broadcast below Spark's threshold, else by a join that
     adaptive execution splits where a group is hot.
     """
     measured = written(with_counts(docs, carry or docs.columns), "quality-docs")
     fences = written(thresholds(sketch(measured)), "quality-fences").withColumnsRenamed({"lang": "lang_", "source": "source_"})
-    fences = F.broadcast(fences) if fences.count() <= BROADCAST_GROUPS else fences
     met = measured.join(fences, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")), "left")
     inside = ~F.col("q.base_failed")
-    for k, (_, below) in SLACK.items():
+    for k in MEASURES:
         inside = inside & (F.col(f"q.{k}") <= F.col(f"{k}_max"))
-        if below is not None:
-            inside = inside & (F.col(f"q.{k}") >= F.col(f"{k}_min"))
+    for k in BOUNDED_BELOW:
+        inside = inside & (F.col(f"q.{k}") >= F.col(f"{k}_min"))
     return met.select("row", "q", F.coalesce(inside, F.lit(False)).alias("kept"))
 
 

@@ -28,7 +28,7 @@ def rows():
         if kind > 0.9:
             text = "same line again\n" * 30 + text
         out.append((i, text, draw.choice(["en", "en", "en", "de", None]), draw.choice(["a", "a", "a", "b", "c", None, "é"])))
-    out += [(1000, None, "en", "a"), (1001, "", "fr", "only empty"), (1002, " \n ", None, None), (None, "word " * 60, "en", "b"), (1003, "very long " * 2000, "en", "c"), out[0], out[0], out[1]]
+    out += [(1000, None, "en", "a"), (1001, "", "fr", "only empty"), (1002, " \n ", None, None), (None, "word " * 60, "en", "b"), (1003, "very long " * 2000, "en", "c"), (1004, ("w" * 3000 + " ") * 60, "en", "a"), out[0], out[0], out[1]]
     return out
 
 
@@ -102,13 +102,40 @@ def test_sketches_merge(spark):
     values = [random.Random(8).randint(0, 10**6) for _ in range(500)]
     df = spark.createDataFrame([(v, "en" if i % 2 else "de") for i, v in enumerate(values)], "value long, lang string")
     sketch = df.withColumn("measure", F.lit("m")).groupBy("lang", "measure", quality.bin_of("value").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    r = quality._quartiles(quality.merge(sketch, []), [], "").first()
+    r = quality.quartiles(quality.merge(sketch, []), []).first()
     exact = sorted(values)
     assert r["n"] == 500
     for got, at in ((r["low"], 125), (r["high"], 375)):
         assert 0.998 * exact[at - 1] <= got <= exact[at - 1]
 
 
+def test_fences_lean_on_larger_groups_without_a_jump(spark):
+    def measured(lang, source, values):
+        return [(lang, source, *([v] * 5)) for v in values]
+
+    rows = measured("en", "low", range(400)) + measured("en", "high", range(5000, 5400)) + measured("en", "one", [100_000]) + measured(None, None, range(10))
+    df = spark.createDataFrame(rows, "lang string, source string, " + ", ".join(f"{m} long" for m in quality.MEASURES))
+    df = df.select("lang", "source", F.struct(F.lit(False).alias("base_failed"), *quality.MEASURES).alias("q"))
+    fence = {(r["lang"], r["source"]): r for r in quality.thresholds(quality.sketch(df)).collect()}
+    lean = lambda n, own, other: (n * own + quality.PRIOR_DOCS * other) // (n + quality.PRIOR_DOCS)
+    bin_ = lambda v: v >> max(v.bit_length() - 10, 0) << max(v.bit_length() - 10, 0)
+    groups = {("en", "low"): range(400), ("en", "high"): range(5000, 5400), ("en", "one"): [100_000], (None, None): range(10)}
+
+    def own(values):
+        bins = sorted(bin_(v) for v in values)
+        at = lambda percent: bins[-(-percent * len(bins) // 100) - 1]
+        reach = quality.SPREAD * (at(75) - at(25))
+        above, below = quality.SLACK["word_length"]
+        return at(75) + max(reach, above), max(at(25) - max(reach, below), 0)
+
+    everything = [v for values in groups.values() for v in values]
+    for (lang, source), values in groups.items():
+        language = [v for (other, _), more in groups.items() if other == lang for v in more]
+        for side, end in ((0, "max"), (1, "min")):
+            want = lean(len(values), own(values)[side], lean(len(language), own(language)[side], own(everything)[side]))
+            assert fence[lang, source][f"word_length_{end}"] == want
+
+
 def test_empty_tables(documents):
     empty = documents([], clashes=True)
     assert mixing.mix_plan(empty).collect() == [] and mixing.mix(empty).collect() == []
