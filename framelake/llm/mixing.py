@@ -98,13 +98,13 @@ def mix_plan(docs: DataFrame, seed: int = SEED, **shares) -> DataFrame:
 def mix(docs: DataFrame, seed: int = SEED, **shares) -> DataFrame:
     """The mix itself: the rows of ``docs``, all columns, each as often as
     ``mix_plan`` says. Rows equal in ``doc_id``, source and text share their
-    copies in turn."""
+    copies in turn, by the hash of all their columns, so reruns emit the same rows."""
     keys = ["id_key", "no_id", "key", "hash"]
     plan = mix_plan(docs, seed, **shares).select(*id_keys(), _source_key(F.col("source")).alias("key"), "hash", "copies")
     plan = plan.groupBy(*keys).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where(F.col("copies") > 0)
     packed = docs.select(F.struct("*").alias("row"), *id_keys(), _source_key(F.col("source")).alias("key"), text_hash("text").alias("hash"))
     met = packed.join(plan, keys)
-    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("row")))
     share = lambda k: F.floor(F.col("copies") * k / F.col("rows"))
     dealt = met.withColumn("turn", turn).withColumn("n", (share(F.col("turn")) - share(F.col("turn") - 1)).cast("int"))
     return dealt.where(F.col("n") > 0).select("row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")).select("row.*")

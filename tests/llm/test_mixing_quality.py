@@ -64,6 +64,14 @@ def test_targets_and_emission(documents, rows):
     assert emitted["count"].sum() == plan["copies"].sum()
 
 
+def test_rows_that_share_their_copies_are_dealt_alike_in_reruns(documents):
+    docs = documents([(1, "one two", "en", "a"), (2, "three", "en", "a"), (3, "four five six", "en", "b")] * 7)
+    docs = docs.withColumn("n_chars", F.xxhash64(F.monotonically_increasing_id()))
+    fixed = docs.sparkSession.createDataFrame(docs.collect(), docs.schema)
+    runs = [sorted(map(repr, mixing.mix(fixed.repartition(k)).collect())) for k in (1, 3, 7)]
+    assert runs[0] == runs[1] == runs[2] and runs[0]
+
+
 def test_targets_by_water_level(spark):
     sizes = [("a", 10), ("b", 1000), ("c", 500), ("d", 5), (None, 300)]
     weights = [5.0, 2.0, 1.0, 5.0, 2.0]
