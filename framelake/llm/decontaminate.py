@@ -174,14 +174,22 @@ def without(text: bytes, automaton: ItemAutomaton) -> tuple[bytes, int, list]:
         text = b"".join([*kept, text[done:]])
 
 
-def _blocks(items: DataFrame, block_bytes: int) -> Iterator[Block]:
-    """The items in broadcast blocks of bounded size."""
+def _item_texts(items: DataFrame) -> DataFrame:
+    """The distinct items with a text: a repeated one would be in one block as
+    often as it repeats, whatever the number of blocks."""
     texts = items.select("item_id", F.col("text").cast("binary").alias("text")).where(F.col("text").isNotNull())
+    return written(texts.distinct(), "decontaminate-items")
+
+
+def _block_count(texts: DataFrame, block_bytes: int) -> int:
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(1, -(-total // block_bytes))
-    for block in range(count):
-        rows = texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block).collect()
-        yield uuid.uuid4().hex, items.sparkSession.sparkContext.broadcast([(r["item_id"], bytes(r["text"])) for r in rows])
+    return max(1, -(-total // block_bytes))
+
+
+def _block(texts: DataFrame, number: int, count: int) -> Block:
+    """One of ``count`` parts of the items, broadcast."""
+    rows = texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == number).collect()
+    return uuid.uuid4().hex, texts.sparkSession.sparkContext.broadcast([(r["item_id"], bytes(r["text"])) for r in rows])
 
 
 _built: dict[tuple[str, int], ItemAutomaton] = {}  # in a Python worker: the automaton of the block it works with
@@ -209,6 +217,7 @@ def mark(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: i
     with an occurring window, sorted).
 
     ``docs`` needs ``text`` and should hold only what is to be carried along;
+    a column of its own called like one of the results gives way to it.
     ``items`` has ``item_id`` and ``text``. Null and empty texts have no words
     and no spans; items without words match nothing; items of equal texts are
     all reported, of equal ids once; an item without an id marks words and is
@@ -224,11 +233,14 @@ def mark(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: i
     ]
     state = python_ready(docs).select(*[f"`{f.name}`" for f in kept], "text", *[F.lit(None).cast(f.dataType).alias(f.name) for f in marks])
     schema = T.StructType([*kept, T.StructField("text", T.StringType()), *marks])
-    blocks = list(_blocks(items, block_bytes))
-    for at, block in enumerate(blocks):
-        if at:
-            state = written(state, "decontaminate-marks")
+    texts = _item_texts(items)
+    count = _block_count(texts, block_bytes)
+    for number in range(count):
+        block = _block(texts, number, count)
         state = state.mapInArrow(_marker(block, window), schema)
+        if number < count - 1:
+            state = written(state, "decontaminate-marks")
+            block[1].unpersist()
     return state.drop("text")
 
 
@@ -273,13 +285,17 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_c
     state = python_ready(docs).select(
         F.struct(*[f"`{c}`" for c in others]).alias("row"), "text", F.lit(None).cast("long").alias("words"), F.lit(0).cast("long").alias("removed"), F.lit(0).cast("long").alias("lately")
     )
-    blocks = list(_blocks(items, block_bytes))
+    texts = _item_texts(items)
+    count = _block_count(texts, block_bytes)
     while True:
-        for at, block in enumerate(blocks):
-            state = (written(state, "decontaminate-cuts") if at else state).mapInArrow(_cutter(block, window), state.schema)
-        if len(blocks) == 1:
+        for number in range(count):
+            block = _block(texts, number, count)
+            state = state.mapInArrow(_cutter(block, window), state.schema)
+            if count > 1:
+                state = written(state, "decontaminate-cuts")
+                block[1].unpersist()
+        if count == 1:
             break
-        state = written(state, "decontaminate-cuts")
         if state.where("lately > 0").isEmpty():
             break
         state = state.withColumn("lately", F.lit(0).cast("long"))

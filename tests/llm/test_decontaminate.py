@@ -101,6 +101,24 @@ def test_cuts(case, block_bytes):
     assert out[102]["text"] == "A  here"
 
 
+def test_repeated_items_are_taken_once(case, monkeypatch):
+    rows, items, docs, table = case
+    sizes, block = [], D._block
+    monkeypatch.setattr(D, "_block", lambda *a: (lambda b: (sizes.append(len(b[1].value)), b)[1])(block(*a)))
+    often = table
+    for _ in range(4):
+        often = often.unionAll(often)
+    marks = lambda items: sorted(repr(r) for r in D.mark(docs.select("doc_id", "text"), items, block_bytes=700).collect())
+    assert marks(often) == marks(table)
+    assert sum(sizes) == 2 * len({i for i in items if i[1] is not None})
+
+
+def test_columns_called_like_results_give_way(case):
+    _, _, docs, table = case
+    got = D.mark(docs.select("doc_id", "text", "spans", "n_words"), table)
+    assert got.columns == ["doc_id", "n_words", "spans", "items"] and got.where("n_words IS NULL").isEmpty()
+
+
 def test_empty_tables(spark, documents, case):
     _, _, docs, table = case
     assert D.decontaminate(documents([]), table).collect() == []
