@@ -218,7 +218,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= SIMILARITY_PERCENT * (len(a) + len(b) - both)
 
 
-def open_links(members: DataFrame, candidates: DataFrame, nodes: DataFrame, docs: DataFrame, tile_shingles: int = TILE_SHINGLES) -> DataFrame:
+def open_links(members: DataFrame, candidates: DataFrame, nodes: DataFrame, texts: DataFrame, tile_shingles: int = TILE_SHINGLES) -> DataFrame:
     """Links ``a, b`` that join the components of all near pairs of the
     ``candidates`` (``node``) in the open buckets, verified on full sets."""
 
@@ -227,7 +227,7 @@ def open_links(members: DataFrame, candidates: DataFrame, nodes: DataFrame, docs
             found = pa.array([shingle_set(t.as_py()).tobytes() for t in batch.column(1).cast(pa.large_binary())], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), found], ["node", "shingles"])
 
-    full = written(python_ready(node_texts(candidates, docs)).mapInArrow(sets, "node long, shingles binary"), "minhash-sets")
+    full = written(python_ready(texts.join(candidates, "node", "left_semi")).mapInArrow(sets, "node long, shingles binary"), "minhash-sets")
     rows = written(members.join(candidates, "node", "left_semi").select("hub", "node", "n_shingles", "label").distinct(), "minhash-left")
     tiles = rows.groupBy("hub").agg(F.ceil(F.sum("n_shingles") / F.lit(tile_shingles)).cast("int").alias("tiles"))
     rows = rows.join(nodes.select("node", "signature"), "node").join(full, "node")
@@ -252,7 +252,8 @@ def open_links(members: DataFrame, candidates: DataFrame, nodes: DataFrame, docs
 
 
 def node_texts(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``node, text`` of some nodes."""
+    """``node, text`` of some nodes, each once. The only join that the table of
+    all documents takes part in."""
     return docs.select(text_hash("text").alias("node"), "text").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
 
 
@@ -260,10 +261,10 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough. A task reads a hub's text
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose full sets are similar enough, by the ``texts`` of their
+    nodes. A task reads a hub's text
     once and holds up to about ``SALT`` members against it, one at a time."""
-    texts = written(node_texts(_ends(pairs), docs), "minhash-texts")
     dealt = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / F.lit(SALT)).alias("salts"))
     pairs = pairs.join(dealt, "b").select("a", "b", F.pmod(F.xxhash64("a", "b"), F.col("salts")).alias("salt"))
     members = pairs.join(texts.withColumnRenamed("node", "a"), "a").select("b", "salt", "a", "text")
@@ -290,14 +291,16 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 def node_components(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """``node, component`` of the nodes that are linked to another."""
     members = written(bucket_members(nodes), "minhash-members")
-    links = verified(written(hub_pairs(members), "minhash-pairs"), docs)
+    shared = written(members.select("node").distinct(), "minhash-shared-nodes")
+    texts = written(node_texts(shared, docs), "minhash-texts")
+    links = verified(written(hub_pairs(members), "minhash-pairs"), texts)
     components = connected_components(links, "minhash-components")
     left = written(open_members(members, components), "minhash-open")
     pairs = written(best_pairs(left, nodes), "minhash-best")
-    links = links.union(verified(pairs, docs))
+    links = links.union(verified(pairs, texts))
     components = connected_components(links, "minhash-components")
     left = open_members(members, components)
-    links = links.union(open_links(left, _ends(pairs), nodes, docs))
+    links = links.union(open_links(left, _ends(pairs), nodes, texts))
     return connected_components(links, "minhash-components")
 
 
