@@ -34,11 +34,22 @@ def bloom_blocks(keys: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     return masked.groupBy("block").agg(*[F.bit_or(f"m{i}").alias(f"w{i}") for i in range(WORDS)])
 
 
+def _held(key: Column) -> Column:
+    hit = F.lit(True)
+    for i, mask in enumerate(_masks(key)):
+        hit = hit & (F.col(f"w{i}").bitwiseAND(mask) == mask)
+    return hit
+
+
 def possible_hits(candidates: DataFrame, bloom: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     """Rows of ``candidates`` whose ``key`` the filter may hold: all that it
     does, and a few that it does not."""
     probe = candidates.withColumn("block", _block(F.col("key"), blocks)).join(F.broadcast(bloom), "block")
-    hit = F.lit(True)
-    for i, mask in enumerate(_masks(F.col("key"))):
-        hit = hit & (F.col(f"w{i}").bitwiseAND(mask) == mask)
-    return probe.where(hit).select(*candidates.columns)
+    return probe.where(_held(F.col("key"))).select(*candidates.columns)
+
+
+def marked_hits(candidates: DataFrame, bloom: DataFrame, name: str, blocks: int = BLOCKS) -> DataFrame:
+    """All rows of ``candidates``, with whether the filter may hold their
+    ``key`` as the column ``name``."""
+    probe = candidates.withColumn("block", _block(F.col("key"), blocks)).join(F.broadcast(bloom), "block", "left")
+    return probe.select(*candidates.columns, F.coalesce(_held(F.col("key")), F.lit(False)).alias(name))

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framelake.llm.bloom import bloom_blocks, marked_hits, possible_hits
 from framelake.llm.common import python_ready, text_hash, written
 from framelake.llm.components import connected_components
 from framelake.llm.simhash_dedup import Forest
@@ -44,6 +45,7 @@ BANDS = 2 * PERMUTATIONS // ROWS
 MIN_AGREE = 177
 TILE = 512
 TILE_SHINGLES = 1 << 18  # of a tile with full sets, unless one set has more
+FILTER_BLOCKS = 1 << 18  # of Bloom filters, which take 19 MB at most
 SALT = 1024  # members that a task holds against one copy of their hub
 _CHUNK = 1 << 17  # hashes at a time: in cache
 _WORDS = 1 << 18
@@ -130,12 +132,26 @@ def signed_rows(docs: DataFrame) -> DataFrame:
     return python_ready(docs).select("doc_id", text_hash("text").alias("node"), "text").mapInArrow(run, schema)
 
 
+def one_per_node(rows: DataFrame) -> DataFrame:
+    """``node, n_shingles, keys, signature``, once for each node. Only rows
+    whose node a Bloom filter of the repeated ones may hold are shuffled."""
+    rows = rows.select("node", "n_shingles", "keys", "signature").withColumn("key", F.col("node"))
+    repeated = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    bloom = written(bloom_blocks(repeated, FILTER_BLOCKS), "minhash-repeated")
+    marked = marked_hits(rows, bloom, "repeated", FILTER_BLOCKS).drop("key")
+    several = written(marked.where("repeated").drop("repeated").dropDuplicates(["node"]), "minhash-nodes")
+    return marked.where("NOT repeated").drop("repeated").unionByName(several)
+
+
 def bucket_members(nodes: DataFrame) -> DataFrame:
     """``key, node, n_shingles, hub, hub_size`` of the buckets of several
-    nodes. The hub is the node whose own buckets have most members in all."""
+    nodes. The hub is the node whose own buckets have most members in all.
+    Most keys have one node; a Bloom filter of the others keeps them out of
+    the join."""
     entries = nodes.select(F.explode("keys").alias("key"), "node", "n_shingles")
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = written(entries.join(shared, "key"), "minhash-shared")
+    shared = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "minhash-shared-keys")
+    possible = possible_hits(entries, bloom_blocks(shared.select("key"), FILTER_BLOCKS), FILTER_BLOCKS)
+    members = written(possible.join(shared, "key"), "minhash-shared")
     weighed = members.drop("n").join(members.groupBy("node").agg(F.sum("n").alias("weight")), "node")
     hub = F.max(F.struct("weight", F.col("node").alias("hub"), F.col("n_shingles").alias("hub_size"))).alias("h")
     return weighed.drop("weight").join(weighed.groupBy("key").agg(hub).select("key", "h.hub", "h.hub_size"), "key")
@@ -173,12 +189,15 @@ def _near(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> Iterator[tuple[
 
 def _tile_pairs(rows: DataFrame, group: str, tiles: DataFrame, fields: list[str], name: str) -> DataFrame:
     """Pairs ``a, b`` of tiles of a ``group``'s rows, as arrays of structs; a
-    group is cut into as many as ``tiles`` says, so a large one is many tasks."""
+    group is cut into as many as ``tiles`` says, so a large one is many tasks.
+    A lone tile meets itself where it lies."""
     part = F.pmod(F.xxhash64("node", F.lit("tile")), F.col("tiles")).cast("int")
     cut = rows.join(tiles, group).groupBy(group, part.alias("part"), "tiles").agg(F.collect_list(F.struct(*fields)).alias("members"))
     cut = written(cut, name)
-    visits = cut.select(group, F.col("members").alias("a"), F.explode(F.sequence(F.col("part"), F.col("tiles") - 1)).alias("part"))
-    return visits.join(cut.select(group, "part", F.col("members").alias("b")), [group, "part"]).select("a", "b")
+    lone, several = cut.where("tiles = 1"), cut.where("tiles > 1")
+    visits = several.select(group, F.col("members").alias("a"), F.explode(F.sequence(F.col("part"), F.col("tiles") - 1)).alias("part"))
+    met = visits.join(several.select(group, "part", F.col("members").alias("b")), [group, "part"]).select("a", "b")
+    return lone.select(F.col("members").alias("a"), F.col("members").alias("b")).unionByName(met)
 
 
 def _arrays(members: pa.Array) -> dict:
@@ -252,9 +271,11 @@ def open_links(members: DataFrame, candidates: DataFrame, nodes: DataFrame, text
 
 
 def node_texts(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``node, text`` of some nodes, each once. The only join that the table of
-    all documents takes part in."""
-    return docs.select(text_hash("text").alias("node"), "text").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    """``node, text`` of some nodes, each once, and of a few more: those that
+    a Bloom filter of the nodes lets through. No other text is shuffled."""
+    keyed = docs.select(text_hash("text").alias("key"), "text")
+    possible = possible_hits(keyed, bloom_blocks(nodes.select(F.col("node").alias("key")), FILTER_BLOCKS), FILTER_BLOCKS)
+    return possible.groupBy(F.col("key").alias("node")).agg(F.first("text").alias("text"))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -317,7 +338,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     gives none.
     """
     rows = written(signed_rows(docs), "minhash-rows")
-    nodes = written(rows.where("n_shingles > 0").select("node", "n_shingles", "keys", "signature").dropDuplicates(["node"]), "minhash-nodes")
+    nodes = one_per_node(rows.where("n_shingles > 0"))
     components = node_components(nodes, docs)
     least = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(components, "node", "left")
     least = least.withColumn("component", F.coalesce("component", "node"))
