@@ -3,16 +3,16 @@ naive Bayes log-count ratio.
 
 The classifier is fitted on a bounded sample of labelled rows: the
 ``FIT_ROWS`` labels outside the held-out fold whose ``doc_id`` has the least
-hash. That many ids at most are broadcast to the documents, so no text is
-shuffled, however many documents and labels there are.
+hash. That many ids at most are broadcast to the documents, and only their texts
+are shuffled, one kept for each, however many documents and labels there are.
 
 A feature is the presence, somewhere in the lower-cased text, of an n-gram's
 hash bucket, of which there are ``BUCKETS``. The log-count ratios come from the
 sample's document counts, summed up in Spark. Buckets whose counts differ
 between the classes by less than ``MIN_Z`` standard errors are noise and left
-out, which matters for long texts that hold nearly every common n-gram; of the
-others the ``MAX_FEATURES`` clearest stay. Ridge logistic regression over the
-scaled features then takes each row as its list of remaining buckets.
+out, which matters for long texts that hold nearly every common n-gram. Ridge
+logistic regression over the scaled features then takes each row as its list of
+remaining buckets, in blocks of rows.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ BITS = 18
 BUCKETS = 1 << BITS
 SMOOTHING = 1.0
 MIN_Z = 5.0
-MAX_FEATURES = 1024
 FIT_ROWS = 20_000
 RIDGE = 1e-3
 ROUNDS = 300
@@ -40,6 +39,7 @@ THRESHOLD = 0.3
 HELD_OUT = 2  # remainder, modulo 4, of the CRC-32 of doc_id as text
 
 _CHUNK = 1 << 20
+_ENTRIES = 1 << 17  # whose values are held at a time in a gradient step, or a run's
 
 
 def held_out(doc_id: Column) -> Column:
@@ -98,9 +98,8 @@ def log_count_ratios(counts: DataFrame, toxic: int, clean: int) -> tuple[np.ndar
     z = (p - q) / F.sqrt(F.greatest(both * (1 - both), F.lit(1e-12)) * F.lit(1 / toxic + 1 / clean))
     share = lambda n, of: (F.col(n) + F.lit(SMOOTHING)) / F.lit(of + 2 * SMOOTHING)
     ratio = F.log(share("toxic", toxic) / share("clean", clean))
-    # At most BUCKETS rows in all; those kept are ordered so that ties do not matter.
-    best = counts.select("bucket", F.abs(z).alias("z"), ratio.alias("ratio")).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "bucket").limit(MAX_FEATURES)
-    rows = sorted((r["bucket"], r["ratio"]) for r in best.collect())
+    clear = counts.select("bucket", F.abs(z).alias("z"), ratio.alias("ratio")).where(F.col("z") >= MIN_Z)
+    rows = sorted((r["bucket"], r["ratio"]) for r in clear.collect())  # BUCKETS at most
     return np.array([b for b, _ in rows], dtype=np.int64), np.array([r for _, r in rows])
 
 
@@ -112,26 +111,44 @@ def feature_lists(train: DataFrame, buckets: np.ndarray) -> tuple[np.ndarray, np
         presence, wanted = Presence(), np.zeros(BUCKETS, dtype=bool)
         wanted[buckets] = True
         for batch in batches:
-            found = [np.searchsorted(buckets, presence.of(t or "", wanted)).astype("<i2").tobytes() for t in batch.column(0).to_pylist()]
+            found = [np.searchsorted(buckets, presence.of(t or "", wanted)).astype("<i4").tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.binary())], ["toxic", "features"])
 
     found = python_ready(train).select("text", "toxic").mapInArrow(run, "toxic int, features binary").toArrow().sort_by([("toxic", "ascending"), ("features", "ascending")])
     lists = found.column("features").to_pylist()
-    return found.column("toxic").to_numpy(), np.array([len(f) // 2 for f in lists], dtype=np.int64), np.frombuffer(b"".join(lists), "<i2").astype(np.int64)
+    return found.column("toxic").to_numpy(), np.array([len(f) // 4 for f in lists], dtype=np.int64), np.frombuffer(b"".join(lists), "<i4")
+
+
+class _Runs:
+    """Runs of places in an array of values, whose values are summed up run by run."""
+
+    def __init__(self, places: np.ndarray, lengths: np.ndarray) -> None:
+        self.size, self.full = len(lengths), np.flatnonzero(lengths)
+        starts = (np.cumsum(lengths) - lengths)[self.full]
+        cuts = np.searchsorted(starts, np.arange(0, len(places), _ENTRIES)).tolist() + [len(starts)]
+        ends = np.append(starts, len(places))
+        self.blocks = [(a, b, places[ends[a] : ends[b]], starts[a:b] - starts[a]) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b]
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.size)
+        for a, b, places, starts in self.blocks:
+            out[self.full[a:b]] = np.add.reduceat(values[places], starts)
+        return out
 
 
 def fit(labels: np.ndarray, lengths: np.ndarray, columns: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
     """Ridge logistic regression over the scaled presence features, by
     adaptive gradient steps: weight of each feature (scale included), bias."""
     n, k = len(labels), len(ratios)
-    rows = np.repeat(np.arange(n), lengths)
-    values = ratios[columns]
+    by_row = _Runs(columns, lengths)
+    rows = np.repeat(np.arange(n, dtype=np.int32), lengths)[np.argsort(columns, kind="stable")]
+    by_column = _Runs(rows, np.bincount(columns, minlength=k))
     weights, bias = np.zeros(k), float(np.log((labels.sum() + 1) / (n - labels.sum() + 1)))
     first, second, first_b, second_b = np.zeros(k), np.zeros(k), 0.0, 0.0
     for step in range(1, ROUNDS + 1):
-        margin = np.bincount(rows, weights[columns] * values, minlength=n) + bias
+        margin = by_row.sums(weights * ratios) + bias
         error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels
-        gradient = np.bincount(columns, error[rows] * values, minlength=k) / n + RIDGE * weights
+        gradient = by_column.sums(error) * ratios / n + RIDGE * weights
         gradient_b = float(error.mean())
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         first_b, second_b = 0.9 * first_b + 0.1 * gradient_b, 0.999 * second_b + 0.001 * gradient_b**2
@@ -142,12 +159,14 @@ def fit(labels: np.ndarray, lengths: np.ndarray, columns: np.ndarray, ratios: np
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
-    """``text, toxic`` of the labelled rows to fit on. Null labels do not count;
-    of several labels of a document the highest does."""
+    """``text, toxic`` of the labelled rows to fit on, ``fit_rows`` at most. Null
+    labels do not count; of several labels of a document the highest does, of
+    several texts the greatest."""
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id")))
     marked = marked.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     sample = marked.orderBy(F.xxhash64(F.lit("fit"), "doc_id"), "doc_id").limit(fit_rows)
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    return found.groupBy("doc_id").agg(F.max("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
@@ -171,7 +190,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
     The score is a function of the text alone. Null and empty texts have no
     n-gram but that of the padding and score near the bias; repeated rows score
     alike; a null ``doc_id`` counts as an empty one for the fold; an empty
-    table gives an empty result. The model (``MAX_FEATURES`` weights) goes to
+    table gives an empty result. The model (``BUCKETS`` weights at most) goes to
     the tasks with their code.
     """
     buckets, weights, bias = train(docs, labels, fit_rows)

@@ -83,3 +83,36 @@ def test_one_class_and_empty_tables(spark, documents):
     assert len(scores) == 1 and scores.pop() < 0.3
     assert {r["score"] for r in X.score_toxicity(docs, labels.limit(0)).collect()} == {0.5}
     assert X.score_toxicity(documents([]), labels).collect() == []
+
+
+@pytest.mark.parametrize("entries", [5, 1 << 17])
+def test_runs_and_fit_against_plain_sums(monkeypatch, entries):
+    """Runs of any length, empty ones too, in blocks of any size; the fit
+    stands where the gradient of the whole loss is nearly nothing."""
+    monkeypatch.setattr(X, "_ENTRIES", entries)
+    draw = np.random.Generator(np.random.PCG64(3))
+    lengths = draw.integers(0, 12, 300)
+    columns = np.concatenate([np.sort(draw.choice(30, n, replace=False)) for n in lengths]).astype(np.int32)
+    values, rows = draw.normal(size=33), np.repeat(np.arange(300), lengths)
+    assert np.allclose(X._Runs(columns, lengths).sums(values), np.bincount(rows, values[columns], minlength=300))
+    labels, ratios = (draw.random(300) < 0.3).astype(int), draw.random(33) + 0.5
+    monkeypatch.setattr(X, "ROUNDS", 3000)
+    weights, bias = X.fit(labels, lengths, columns, ratios)
+    error = 1 / (1 + np.exp(-np.bincount(rows, weights[columns], minlength=300) - bias)) - labels
+    gradient = np.bincount(columns, error[rows], minlength=33) * ratios / 300 + X.RIDGE * weights / ratios
+    assert abs(error.mean()) < 1e-3 and np.abs(gradient).max() < 1e-3
+    assert X.fit(labels, np.zeros(300, dtype=int), columns[:0], ratios[:0])[0].size == 0
+
+
+def test_no_feature_is_cut(spark):
+    """However many buckets are clear, all are features."""
+    counts = spark.range(40_000).selectExpr("id AS bucket", "id % 2 * 50 AS toxic", "0L AS clean")
+    assert X.log_count_ratios(counts, 60, 60)[0].tolist() == list(range(1, 40_000, 2))
+
+
+def test_repeated_sampled_id(spark, documents):
+    """Rows of one sampled id count once, whatever their number and texts."""
+    docs = documents([(0, t) for t in ["b", None, "c", "a"] * 50] + [(1, None), (1, None), (3, "d")])
+    labels = spark.createDataFrame([(0, 1), (1, 0), (1, 1), (3, 0)], "doc_id long, toxic int")
+    got = [tuple(r) for r in X.training_rows(docs, labels, 10).collect()]
+    assert sorted(got, key=repr) == sorted([(t, y) for i, t, y in [(0, "c", 1), (1, None, 1), (3, "d", 0)] if not fold(i)], key=repr)
